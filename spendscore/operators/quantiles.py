@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spendscore.operators.skew import join_by_key
+
 
 def grouped_quantiles(
     df: DataFrame,
@@ -42,7 +42,7 @@ def grouped_quantiles(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(value, cuts, accuracy).alias("_bounds"),
     )
-    ranged = _join_group(rows, bounds, [group]).withColumn(
+    ranged = join_by_key(rows, bounds, [group]).withColumn(
         "_range", sum((F.col(value) > F.col("_bounds")[i]).cast("int") for i in range(len(cuts)))
     )
 
@@ -71,7 +71,7 @@ def grouped_quantiles(
         Window.unboundedPreceding, -1
     )
     hits = (
-        _join_group(ranged.drop("_bounds"), wanted, [group, "_range"])
+        join_by_key(ranged.drop("_bounds"), wanted, [group, "_range"])
         .groupBy(group, "_n", "_range", "_before", value)
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_first", F.col("_before") + F.coalesce(F.sum("_size").over(smaller), F.lit(0)))
@@ -90,9 +90,3 @@ def grouped_quantiles(
         *[interpolated(q).alias(name) for name, q in quantiles.items()],
     )
 
-
-def _join_group(rows: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach the one row that ``per_group`` has per key; NULL is a key too."""
-    renamed = per_group.withColumnsRenamed({key: "_of_" + key for key in keys})
-    same = [F.col(key).eqNullSafe(F.col("_of_" + key)) for key in keys]
-    return rows.join(F.broadcast(renamed), same, "inner").drop(*["_of_" + key for key in keys])

@@ -10,9 +10,8 @@ one. Both ways give the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is heavy from this many rows on; a task sorts that many with ease.
@@ -21,53 +20,38 @@ HOT_ROWS = 2_000_000
 # key beyond them holds less than 1 / MAX_HOT of all rows and goes the plain way.
 MAX_HOT = 10_000
 
-ROWS = "_rows"
-_HOT = "_hot_"
-
 
 def heavy_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    *measures: Column,
-    hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
+    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
 ) -> DataFrame:
-    """The heaviest keys with their row count and any further ``measures``."""
-    return heaviest(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS), *measures),
-        keys,
-        hot_rows=hot_rows,
-        max_hot=max_hot,
+    """The heaviest keys of ``df``: at most ``max_hot`` rows."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return (
+        counted.filter(F.col("_rows") > hot_rows)
+        .orderBy(F.desc("_rows"), *keys)
+        .limit(max_hot)
+        .select(*keys)
     )
 
 
-def heaviest(
-    counted: DataFrame,
-    keys: Sequence[str],
-    *,
-    hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
+def join_by_key(
+    df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """The heaviest keys of a frame that has one row per key and ``ROWS``."""
-    return counted.filter(F.col(ROWS) > hot_rows).orderBy(F.desc(ROWS), *keys).limit(max_hot)
+    """Broadcast ``per_key``, one row per heavy key; NULL is a key like any other."""
+    renamed = per_key.withColumnsRenamed({key: "_key_" + key for key in keys})
+    same = [F.col(key).eqNullSafe(F.col("_key_" + key)) for key in keys]
+    return df.join(F.broadcast(renamed), same, how).drop(*["_key_" + key for key in keys])
 
 
 def split_heavy(
     df: DataFrame, heavy: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Split into (rows of heavy keys with the heavy columns, all other rows).
+    """Split into the rows of the ``heavy`` keys and all others, without a shuffle.
 
-    ``heavy`` has at most ``MAX_HOT`` rows, one per key, so it is broadcast and
-    the rows themselves are not shuffled. NULL counts as a key like any other.
+    Both sides use the same broadcast. Where no key is heavy the first side is
+    found empty at run time and nothing is read for it.
     """
-    renamed = heavy.drop(ROWS).withColumnsRenamed({key: _HOT + key for key in keys})
-    names = [_HOT + key for key in keys]
-    matches = reduce(
-        Column.__and__, (F.col(key).eqNullSafe(F.col(_HOT + key)) for key in keys)
-    )
-    hot = df.join(F.broadcast(renamed), matches, "inner").drop(*names)
-    cold = df.join(F.broadcast(renamed.select(*names)), matches, "left_anti")
-    return hot, cold
+    return join_by_key(df, heavy, keys), join_by_key(df, heavy, keys, "left_anti")
 
 
 def expand_copies(df: DataFrame, copies: str, *, block: int = 100_000) -> DataFrame:
@@ -80,11 +64,12 @@ def expand_copies(df: DataFrame, copies: str, *, block: int = 100_000) -> DataFr
     few = df.filter(F.col(copies) <= block).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
     )
-    blocks = df.filter(F.col(copies) > block).withColumn(
-        "_start", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies), F.lit(block).cast("long")))
-    )
+    starts = F.sequence(F.lit(1).cast("long"), F.col(copies), F.lit(block).cast("long"))
+    blocks = df.filter(F.col(copies) > block).withColumn("_start", F.explode(starts))
     last = F.least(F.col(copies), F.col("_start") + block - 1)
-    many = blocks.repartition("_start", F.xxhash64(*kept)).withColumn(
+    # a fixed number of tasks: by their size alone the few block rows would be merged
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = blocks.repartition(tasks, "_start", F.xxhash64(*kept)).withColumn(
         "_copy", F.explode(F.sequence(F.col("_start"), last))
     )
     return few.select(*kept).unionByName(many.select(*kept))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscore.config import CATEGORY_EXAMPLES, OTHER_CATEGORY
-from spendscore.operators.skew import HOT_ROWS, MAX_HOT, ROWS, heaviest, split_heavy
+from spendscore.operators.skew import HOT_ROWS, MAX_HOT, heavy_keys, join_by_key, split_heavy
 
 # Equal similarities may differ in their last bits; they count as equal here.
 _TIE_DIGITS = 12
@@ -40,7 +40,8 @@ def _weighted_examples(
         )
         for index, (label, name) in enumerate(flat)
     ]
-    known = spark.range(1).select(F.inline(F.array(*literals)))
+    # one partition: the token table of a short list needs no shuffle
+    known = spark.range(0, 1, 1, numPartitions=1).select(F.inline(F.array(*literals)))
     counts = (
         known.select("example", "label", F.explode(tokenize(F.col("name"))).alias("token"))
         .groupBy("example", "label", "token")
@@ -78,7 +79,7 @@ def nearest_category(
     """
     tokenize = _TOKENIZERS[tokenizer]
     vocabulary = _weighted_examples(names.sparkSession, examples, tokenize)
-    distinct = names.groupBy(merchant).agg(F.count(F.lit(1)).alias(ROWS))
+    distinct = names.groupBy(merchant).agg(F.count(F.lit(1)).alias("n_rows"))
 
     tokens = (
         distinct.select(merchant, F.explode(tokenize(F.col(merchant))).alias("token"))
@@ -116,7 +117,7 @@ def nearest_category(
     first_label = F.lit(examples[0][0])
     matched = distinct.join(ranked, merchant, "left").select(
         merchant,
-        F.col(ROWS).alias("n_rows"),
+        "n_rows",
         F.coalesce("rank", F.lit(1)).alias("rank"),
         F.when(F.col(merchant).isNotNull(), F.coalesce("category", first_label)).alias("category"),
         F.when(F.col(merchant).isNotNull(), F.coalesce("similarity", F.lit(0.0))).alias(
@@ -148,10 +149,11 @@ def label_nearest(
     """
     matched = nearest_category(
         df, examples, tokenizer=tokenizer, min_similarity=min_similarity, merchant=merchant
-    ).select(merchant, F.col("n_rows").alias(ROWS), "category")
-    heavy = heaviest(matched, [merchant], hot_rows=hot_rows, max_hot=max_hot)
+    ).select(merchant, "category")
     rows = df.drop("category")
+    heavy = heavy_keys(df, [merchant], hot_rows=hot_rows, max_hot=max_hot)
     hot, cold = split_heavy(rows, heavy, [merchant])
-    joined = cold.join(matched.drop(ROWS), merchant, "left")
-    columns = [*rows.columns, "category"]
-    return hot.select(*columns).unionByName(joined.select(*columns))
+    labels = join_by_key(matched, heavy, [merchant])
+    return join_by_key(hot, labels, [merchant]).unionByName(
+        cold.join(matched, merchant, "left").select(*rows.columns, "category")
+    )

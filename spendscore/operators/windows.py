@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscore.functions.expressions import month_index, null_skipping_sum
-from spendscore.operators.skew import HOT_ROWS, MAX_HOT, expand_copies, heavy_keys, split_heavy
+from spendscore.operators.skew import (
+    HOT_ROWS,
+    MAX_HOT,
+    expand_copies,
+    heavy_keys,
+    join_by_key,
+    split_heavy,
+)
 
 
 def with_total_spend(
@@ -25,12 +32,11 @@ def with_total_spend(
     Plain keys use one window. Heavy keys get their total, a combining
     aggregate, by broadcast; their rows are not shuffled at all.
     """
-    heavy = heavy_keys(
-        debit, [key], F.sum(value).alias(name), hot_rows=hot_rows, max_hot=max_hot
-    )
+    heavy = heavy_keys(debit, [key], hot_rows=hot_rows, max_hot=max_hot)
     hot, cold = split_heavy(debit, heavy, [key])
+    totals = hot.groupBy(key).agg(F.sum(value).alias(name))
     summed = cold.withColumn(name, F.sum(value).over(Window.partitionBy(key)))
-    return summed.unionByName(hot.select(*debit.columns, name))
+    return summed.unionByName(join_by_key(hot, totals, [key]))
 
 
 def rolling_rows(
@@ -43,7 +49,7 @@ def rolling_rows(
     name: str = "three_month_category_spend",
     hot_rows: int = HOT_ROWS,
     max_hot: int = MAX_HOT,
-    slices: int = 256,
+    halvings: int = 8,
 ) -> DataFrame:
     """Sum of ``value`` over a row and the ``n - 1`` rows before it in its group.
 
@@ -51,15 +57,33 @@ def rolling_rows(
     broken by the remaining columns, so the rows do not depend on arrival.
     """
     ties = [column for column in debit.columns if column not in (*keys, *order_by)]
-    slice_bounds = F.percentile_approx(
-        order_by[1], [i / slices for i in range(1, slices)], 10_000
-    ).alias("_bounds")
-    heavy = heavy_keys(debit, keys, slice_bounds, hot_rows=hot_rows, max_hot=max_hot)
+    heavy = heavy_keys(debit, keys, hot_rows=hot_rows, max_hot=max_hot)
     hot, cold = split_heavy(debit, heavy, keys)
+    slices = 2**halvings
+    cuts = [i / slices for i in range(1, slices)]
+    bounds = hot.groupBy(*keys).agg(
+        F.percentile_approx(order_by[1], cuts, 10_000).alias("_bounds")
+    )
 
     frame = Window.partitionBy(*keys).orderBy(*order_by, *ties).rowsBetween(-(n - 1), 0)
     plain = cold.withColumn(name, F.sum(value).over(frame))
-    return plain.unionByName(_rolling_in_chunks(hot, n, keys, order_by, ties, value, name))
+    return plain.unionByName(
+        _rolling_in_chunks(
+            join_by_key(hot, bounds, keys).withColumn("_slice", _slice_of(order_by[1], halvings)),
+            n, keys, order_by, ties, value, name,
+        )
+    )
+
+
+def _slice_of(number: str, halvings: int) -> Column:
+    """How many of the ``2 ** halvings - 1`` sorted ``_bounds`` lie below a number."""
+
+    def halve(below: Column, step: Column) -> Column:
+        beyond = F.get("_bounds", below + step - 1) < F.col(number)
+        return F.when(beyond, below + step).otherwise(below)
+
+    steps = [2**power for power in reversed(range(halvings))]
+    return F.aggregate(F.lit(steps), F.lit(0), halve)
 
 
 def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
@@ -73,12 +97,7 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
     period, number = order_by
     chunk = [*keys, period, "_slice"]
 
-    below = F.filter("_bounds", lambda bound: bound < F.col(number))
-    counted = (
-        hot.withColumn("_slice", F.size(below))
-        .groupBy(*chunk, number, *ties)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    counted = hot.groupBy(*chunk, number, *ties).agg(F.count(F.lit(1)).alias("_copies"))
     # copies 1 .. n-1 as rows of their own, the n-th standing for all the rest
     unrolled = counted.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(n))))

@@ -368,8 +368,10 @@ def stream_debit(spark, sf_dir):
 def stream_daily_spend(spark, sf_dir):
     """Days that the watermark has closed, from the event table as a stream."""
     out, log = (work_dir(spark, f"stream-{part}") for part in ("days", "log"))
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    raw = streams.stream_files(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    # a stream source is a folder or a pattern; the pattern fits one file as well
+    pattern = f"{sf_dir.rstrip('/')}/event[s].parquet"
+    raw = streams.stream_files(spark, pattern, spark.read.parquet(table).schema)
     stream = streams.stream_daily_spend(fixtures.event_columns(raw))
     streams.write_stream(stream, out, log).awaitTermination()
     return _round(spark.read.schema(stream.schema).parquet(out), 2, "daily_spend")

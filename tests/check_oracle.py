@@ -26,25 +26,28 @@ def connect(sf_dir: str):
     return connection
 
 
-def sorted_rows(frame):
+def kinds(table) -> dict[str, str]:
+    return {field.name: str(field.type).replace("large_", "") for field in table.schema}
+
+
+def sorted_rows(table):
     """Rows as sortable text, columns by name."""
-    names = sorted(frame.columns)
-    rows = [tuple(repr(value) for value in row) for row in zip(*[frame[n].tolist() for n in names])]
-    return names, sorted(rows)
+    names = sorted(table.column_names)
+    columns = [table[name].to_pylist() for name in names]
+    return names, sorted(tuple(map(repr, row)) for row in zip(*columns))
 
 
 def compare(spark, connection, name: str, sf_dir: str) -> list[str]:
     """What differs between a query and its SQL; nothing if they agree."""
     query, sql = spark_entry.queries()[name], spark_entry.oracle_sql()[name]
     ours = query(spark, sf_dir).toArrow()
-    theirs = connection.execute(sql).to_arrow_table()
+    theirs = connection.sql(sql).to_arrow_table()
     found = []
-    kinds = lambda table: {f.name: str(f.type).replace("large_", "") for f in table.schema}
     if kinds(ours) != kinds(theirs):
         found.append(f"columns {kinds(ours)} against {kinds(theirs)}")
         if set(ours.column_names) != set(theirs.column_names):
             return found
-    (names, left), (_, right) = sorted_rows(_Table(ours)), sorted_rows(_Table(theirs))
+    (names, left), (_, right) = sorted_rows(ours), sorted_rows(theirs)
     if len(left) != len(right):
         found.append(f"{len(left)} rows against {len(right)}")
     if left != right:
@@ -53,23 +56,6 @@ def compare(spark, connection, name: str, sf_dir: str) -> list[str]:
     return found
 
 
-class _Table:
-    def __init__(self, table):
-        self.columns = table.column_names
-        self._table = table
-
-    def __getitem__(self, name):
-        return _Column(self._table[name])
-
-
-class _Column:
-    def __init__(self, column):
-        self._column = column
-
-    def tolist(self):
-        return self._column.to_pylist()
-
-
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(spark_entry.queries())

@@ -1,0 +1,40 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as spark_entry
+from tests.check_oracle import compare, connect
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(SF)
+
+
+def test_only_the_random_query_goes_without_sql():
+    assert set(spark_entry.queries()) - set(spark_entry.oracle_sql()) == {"audit_log"}
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
+def test_query_equals_sql(spark, connection, name):
+    assert compare(spark, connection, name, SF) == []
+
+
+def test_entry(spark):
+    rows = spark_entry.entry(spark)
+    assert rows.count() > 0 and "sds_score" in rows.columns
+
+
+def test_known_score_counts(spark):
+    """Customers per score on the middle tables, worked out beforehand."""
+    got = {
+        r["sds_score"]: r["customers"]
+        for r in spark_entry.queries()["score_histogram"](spark, "/root/testdata/sf0.01").collect()
+    }
+    assert got == {250: 9, 300: 248, 325: 1, 350: 44, 375: 95, 400: 460, 425: 16, 475: 251,
+                   500: 23, 550: 181, 575: 22, 625: 150}

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from spendscore.operators import bronze
+from spendscore.sources import fixtures
+from spendscore.streaming import streams
+
+SF = "/root/testdata/sf0.001"
+DAY = date(2024, 4, 1)
+
+
+def differ(left, right):
+    return left.exceptAll(right).count() + right.exceptAll(left).count()
+
+
+def test_debit_stream_equals_batch_and_goes_on(spark, tmp_path):
+    raw, out, log = (str(tmp_path / name) for name in ("raw", "out", "log"))
+    batch = fixtures.transactions(spark, SF)
+    first, second = batch.filter("mcc_code % 2 = 0"), batch.filter("mcc_code % 2 = 1")
+
+    def run():
+        stream = streams.stream_debit(streams.stream_files(spark, raw, batch.schema), DAY)
+        query = streams.write_stream(stream, out, log, partition_by=["ingestion_date"])
+        query.awaitTermination()
+        return query, spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+
+    def expected(df):
+        return bronze.debit_transactions(bronze.conform_transactions(df, DAY))
+
+    first.write.parquet(raw)
+    assert differ(run()[1], expected(first)) == 0
+    query, got = run()  # nothing new: nothing is added
+    assert differ(got, expected(first)) == 0
+    assert all(progress.numInputRows == 0 for progress in query.recentProgress)
+    second.write.mode("append").parquet(raw)
+    assert differ(run()[1], expected(batch)) == 0
+
+
+def daily(spark, tmp_path, mode):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    raw = streams.stream_files(spark, SF, events.schema, pathGlobFilter="events.parquet")
+    query = (
+        streams.stream_daily_spend(fixtures.event_columns(raw))
+        .writeStream.format("memory").queryName(f"daily_{mode}").outputMode(mode)
+        .option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.table(f"daily_{mode}")
+
+
+def test_daily_spend_update_gives_every_day(spark, tmp_path):
+    got = daily(spark, tmp_path, "update")
+    batch = (
+        fixtures.events(spark, SF)
+        .groupBy("customer_id", F.to_date("ts").alias("txn_date"))
+        .agg(F.sum("amount").alias("daily_spend"))
+    )
+    assert got.count() == batch.count() == 397
+    rounded = lambda df: df.withColumn("daily_spend", F.round("daily_spend", 6))
+    assert differ(rounded(got), rounded(batch)) == 0
+
+
+def test_daily_spend_append_gives_closed_days(spark, tmp_path):
+    assert daily(spark, tmp_path, "append").count() == 356
+
+
+def test_late_rows_are_dropped_once_their_day_is_closed(spark, tmp_path):
+    raw, out, log = (str(tmp_path / name) for name in ("raw", "out", "log"))
+    schema = "customer_id int, ts timestamp, amount double"
+
+    def feed(*rows):
+        df = spark.createDataFrame(list(rows), "customer_id int, ts string, amount double")
+        df.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(raw)
+        stream = streams.stream_daily_spend(spark.readStream.schema(schema).parquet(raw))
+        streams.write_stream(stream, out, log).awaitTermination()
+        rows = spark.read.schema(stream.schema).parquet(out).collect()
+        return sorted((r["customer_id"], str(r["txn_date"]), r["daily_spend"]) for r in rows)
+
+    assert feed((1, "2024-01-01 10:00:00", 5.0), (1, "2024-01-02 10:00:00", 7.0)) == []
+    # in time: the first day is still open
+    assert feed((1, "2024-01-01 11:00:00", 1.0), (2, "2024-01-04 01:00:00", 1.0)) == [
+        (1, "2024-01-01", 6.0)
+    ]
+    # too late for the first day, in time for the second
+    assert feed((1, "2024-01-01 12:00:00", 9.0), (1, "2024-01-02 12:00:00", 1.0),
+                (2, "2024-01-05 01:00:00", 1.0)) == [(1, "2024-01-01", 6.0), (1, "2024-01-02", 8.0)]
