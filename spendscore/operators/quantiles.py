@@ -28,7 +28,9 @@ def grouped_quantiles(
     3. only the values of those narrow ranges are shuffled, counted by value
        and walked in order.
 
-    The sketch decides how narrow the ranges are, never the result.
+    The sketch decides how narrow the ranges are, never the result. ``df`` is
+    read more than once and has to give the same values each time: a stored
+    table, or sums rounded to what they stand for.
     """
     rows = df.filter(F.col(value).isNotNull()).select(group, value)
     cuts = sorted(
@@ -42,8 +44,15 @@ def grouped_quantiles(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(value, cuts, accuracy).alias("_bounds"),
     )
-    ranged = join_by_key(rows, bounds, [group]).withColumn(
-        "_range", sum((F.col(value) > F.col("_bounds")[i]).cast("int") for i in range(len(cuts)))
+    edges = [F.get("_bounds", F.lit(i)) for i in range(len(cuts))]
+    number = sum((F.col(value) > edge).cast("int") for edge in edges)
+    ranged = join_by_key(rows, bounds, [group]).select(
+        group,
+        "_n",
+        number.alias("_range"),
+        # its ends go along: the rows between them are looked up by value
+        F.get("_bounds", number - 1).alias("_above"),
+        F.get("_bounds", number).alias("_upto"),
     )
 
     def ranks(position_of):
@@ -60,18 +69,23 @@ def grouped_quantiles(
         Window.unboundedPreceding, -1
     )
     wanted = (
-        ranged.groupBy(group, "_n", "_range")
+        ranged.groupBy(group, "_n", "_range", "_above", "_upto")
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_before", F.coalesce(F.sum("_size").over(preceding), F.lit(0)))
         .filter(F.size(ranks_within(F.col("_before"), F.col("_size"))) > 0)
-        .select(group, "_range", "_before")
+        .drop("_size")
     )
 
+    # a few ranges per group at most, which do not overlap
+    inside = F.coalesce(F.col(value) > F.col("_above"), F.lit(True)) & F.coalesce(
+        F.col(value) <= F.col("_upto"), F.lit(True)
+    )
     smaller = Window.partitionBy(group, "_range").orderBy(value).rowsBetween(
         Window.unboundedPreceding, -1
     )
     hits = (
-        join_by_key(ranged.drop("_bounds"), wanted, [group, "_range"])
+        join_by_key(rows, wanted, [group])
+        .filter(inside)
         .groupBy(group, "_n", "_range", "_before", value)
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_first", F.col("_before") + F.coalesce(F.sum("_size").over(smaller), F.lit(0)))

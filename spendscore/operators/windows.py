@@ -49,7 +49,6 @@ def rolling_rows(
     name: str = "three_month_category_spend",
     hot_rows: int = HOT_ROWS,
     max_hot: int = MAX_HOT,
-    halvings: int = 8,
 ) -> DataFrame:
     """Sum of ``value`` over a row and the ``n - 1`` rows before it in its group.
 
@@ -59,31 +58,24 @@ def rolling_rows(
     ties = [column for column in debit.columns if column not in (*keys, *order_by)]
     heavy = heavy_keys(debit, keys, hot_rows=hot_rows, max_hot=max_hot)
     hot, cold = split_heavy(debit, heavy, keys)
-    slices = 2**halvings
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = hot.groupBy(*keys).agg(
-        F.percentile_approx(order_by[1], cuts, 10_000).alias("_bounds")
-    )
-
     frame = Window.partitionBy(*keys).orderBy(*order_by, *ties).rowsBetween(-(n - 1), 0)
     plain = cold.withColumn(name, F.sum(value).over(frame))
-    return plain.unionByName(
-        _rolling_in_chunks(
-            join_by_key(hot, bounds, keys).withColumn("_slice", _slice_of(order_by[1], halvings)),
-            n, keys, order_by, ties, value, name,
-        )
-    )
+    return plain.unionByName(_rolling_in_chunks(hot, n, keys, order_by, ties, value, name))
 
 
-def _slice_of(number: str, halvings: int) -> Column:
-    """How many of the ``2 ** halvings - 1`` sorted ``_bounds`` lie below a number."""
+# Slices per factor e of the amount: a slice spans about 1.6 percent.
+_SLICES_PER_E = 64
 
-    def halve(below: Column, step: Column) -> Column:
-        beyond = F.get("_bounds", below + step - 1) < F.col(number)
-        return F.when(beyond, below + step).otherwise(below)
 
-    steps = [2**power for power in reversed(range(halvings))]
-    return F.aggregate(F.lit(steps), F.lit(0), halve)
+def _slice_of(number: Column) -> Column:
+    """A slice number that never falls as ``number`` grows.
+
+    Slices widen with the amount, so large and small ones are cut alike. A plain
+    function of the row gives the same slice whenever it is computed again.
+    """
+    size = F.least(F.log1p(F.abs(number)), F.lit(1e6))  # infinite amounts have a slice too
+    cut = (F.floor(size * _SLICES_PER_E) * F.signum(number)).cast("long")
+    return F.when(F.isnan(number), F.lit(2**31)).otherwise(cut)
 
 
 def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
@@ -95,9 +87,14 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
     the shuffle: from the n-th copy on all copies have the same sum.
     """
     period, number = order_by
-    chunk = [*keys, period, "_slice"]
-
-    counted = hot.groupBy(*chunk, number, *ties).agg(F.count(F.lit(1)).alias("_copies"))
+    # one key for the chunk: unknown parts are equal in a struct, and the window
+    # and the join below share its partitioning
+    chunk = F.struct(*keys, period, _slice_of(F.col(number)).alias("_slice"))
+    counted = (
+        hot.select(chunk.alias("_chunk"), number, *ties)
+        .groupBy("_chunk", number, *ties)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
     # copies 1 .. n-1 as rows of their own, the n-th standing for all the rest
     unrolled = counted.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(n))))
@@ -105,7 +102,7 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
         "_copies", F.when(F.col("_copy") == n, F.col("_copies") - (n - 1)).otherwise(F.lit(1))
     )
 
-    in_chunk = Window.partitionBy(*chunk).orderBy(number, *ties, "_copy")
+    in_chunk = Window.partitionBy("_chunk").orderBy(number, *ties, "_copy")
     local = (
         unrolled.withColumn("_at", F.row_number().over(in_chunk))
         .withColumn("_local", F.sum(value).over(in_chunk.rowsBetween(-(n - 1), 0)))
@@ -114,28 +111,27 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
 
     # The last n-1 rows of every chunk, in group order, hold what the next
     # chunk needs: a few rows per chunk, however many rows the group has.
-    in_group = Window.partitionBy(*keys).orderBy(period, "_slice", "_at")
-    here = F.struct(period, "_slice")
+    in_group = Window.partitionBy(*[f"_chunk.{key}" for key in keys]).orderBy("_chunk", "_at")
     carried = [f"_carry{back}" for back in range(1, n)]
     carry = (
         local.filter(F.col("_last") if n > 1 else F.lit(False))
         .select(
-            *chunk,
-            (~here.eqNullSafe(F.lag(here).over(in_group))).alias("_first"),
+            F.col("_chunk").alias("_next"),
+            (~F.col("_chunk").eqNullSafe(F.lag("_chunk").over(in_group))).alias("_first"),
             *[F.lag(value, back).over(in_group).alias(column)
               for back, column in enumerate(carried, start=1)],
         )
         .filter("_first")
         .drop("_first")
-        .withColumnsRenamed({column: "_to_" + column for column in chunk})
     )
-    same_chunk = [F.col(column).eqNullSafe(F.col("_to_" + column)) for column in chunk]
     parts = [F.col("_local")] + [
         F.when(F.col("_at") <= n - back, F.col(column))
         for back, column in enumerate(carried, start=1)
     ]
-    summed = local.join(carry, same_chunk, "left").withColumn(name, null_skipping_sum(parts))
-    return expand_copies(summed.select(*keys, *order_by, *ties, name, "_copies"), "_copies")
+    summed = local.join(carry, F.col("_chunk") == F.col("_next"), "left").select(
+        "_chunk.*", number, *ties, null_skipping_sum(parts).alias(name), "_copies"
+    )
+    return expand_copies(summed.drop("_slice"), "_copies")
 
 
 def rolling_months(

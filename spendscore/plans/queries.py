@@ -57,6 +57,11 @@ def _score(spark, sf_dir):
     return gold.gold_score(_debit(spark, sf_dir), _salary(spark, sf_dir), AS_OF)
 
 
+def _cent_score(spark, sf_dir):
+    """Scores with the spend in whole cents, the same however it is summed."""
+    return _round(_score(spark, sf_dir), 2, "total_spend")
+
+
 # --- sources and bronze ---------------------------------------------------
 
 
@@ -290,13 +295,13 @@ def ratio_buckets(spark, sf_dir):
 
 @_query
 def spend_boxstats(spark, sf_dir):
-    stats = reports.spend_boxstats(_score(spark, sf_dir))
+    stats = reports.spend_boxstats(_cent_score(spark, sf_dir))
     return _round(_round(stats, 4, "q1", "median", "q3"), 2, "lo", "hi")
 
 
 @_query
 def spend_outliers(spark, sf_dir):
-    return _round(reports.spend_outliers(_score(spark, sf_dir)), 2, "total_spend")
+    return reports.spend_outliers(_cent_score(spark, sf_dir))
 
 
 @_query

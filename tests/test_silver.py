@@ -95,7 +95,7 @@ def test_rolling_rows_against_brute_force(spark, debit, hot_rows, n):
                      rng.choice("ab")))
     rows += [(1, "2024-01-02", 3.0, "Rent", "a")] * 150  # a large group of copies
     expected = brute_rolling([(r[0], r[3], r[1], r[2], r[4]) for r in rows], n)
-    got = windows.rolling_rows(debit(*rows), n, hot_rows=hot_rows, halvings=2).collect()
+    got = windows.rolling_rows(debit(*rows), n, hot_rows=hot_rows).collect()
     assert sorted(
         (
             (r["customer_id"], r["category"], str(r["txn_date"]), r["amount"], r["merchant"],
