@@ -126,11 +126,10 @@ def spend_share(
         slices = score.groupBy("discretionary_ratio")
     else:
         raise ValueError(f"by must be 'bucket' or 'ratio', not {by!r}")
-    total = score.agg(F.sum("total_spend")).scalar()
-    spend = F.col("total_spend")
-    return slices.agg(F.sum("total_spend").alias("total_spend")).withColumn(
-        "percent", F.try_divide(spend * 100, total)
-    )
+    spent = slices.agg(F.sum("total_spend").alias("total_spend"))
+    # summed from the slices, whose shuffle both uses share
+    total = spent.agg(F.sum("total_spend")).scalar()
+    return spent.withColumn("percent", F.try_divide(F.col("total_spend") * 100, total))
 
 
 def top_spenders(score: DataFrame, k: int = 5) -> DataFrame:

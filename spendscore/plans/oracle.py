@@ -234,6 +234,7 @@ _RATIOS = """round(discretionary_ratio, 6) AS discretionary_ratio,
     round(recurring_spend_ratio, 6) AS recurring_spend_ratio"""
 _SCORE = f"""customer_id, round(total_spend, 2) AS total_spend, {_RATIOS},
     round(volatility_index, 4) AS volatility_index, sds_score, score_month"""
+_SALARY = "customer_id, round(salary_amount, 2) AS salary_amount, pay_date, ingestion_date"
 _FAR = "CASE WHEN similarity < 0.1 THEN 'Other' ELSE category END AS category"
 
 
@@ -268,6 +269,11 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "bronze_subscriptions": (("subs",), f"SELECT *, {_STAMP} FROM subs"),
     "bronze_statements": (("statements",), "SELECT * FROM statements"),
     "bronze_statements_csv": (("statements",), "SELECT * FROM statements"),
+    "bronze_transactions_text": (
+        ("transactions",),
+        """SELECT * REPLACE (CASE WHEN txn_type = 'debit' THEN amount END AS amount)
+        FROM transactions""",
+    ),
     "debit_only": (
         ("transactions",),
         "SELECT * FROM transactions WHERE txn_type = 'debit'",
@@ -296,6 +302,28 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
                 ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS three_month_category_spend
         FROM debit""",
     ),
+    "table_append": (
+        ("salary",),
+        f"SELECT {_SALARY} FROM salary UNION ALL SELECT {_SALARY} FROM salary",
+    ),
+    "table_replace_partition": (
+        ("salary",),
+        f"""SELECT {_SALARY} FROM salary UNION ALL
+        SELECT * REPLACE (ingestion_date + 1 AS ingestion_date) FROM (SELECT {_SALARY} FROM salary)""",
+    ),
+    "table_since": (
+        ("salary",),
+        f"""SELECT * REPLACE (ingestion_date + 1 AS ingestion_date)
+        FROM (SELECT {_SALARY} FROM salary)""",
+    ),
+    "table_merge_schema": (
+        ("salary",),
+        f"""SELECT *, CAST(NULL AS INT) AS pay_year FROM (SELECT {_SALARY} FROM salary) UNION ALL
+        SELECT * REPLACE (ingestion_date + 1 AS ingestion_date), CAST(year(pay_date) AS INT)
+        FROM (SELECT {_SALARY} FROM salary)""",
+    ),
+    "table_overwrite": (("score",), f"SELECT {_SCORE} FROM score"),
+    "typed_debit": (("debit",), "SELECT customer_id, txn_date, amount, category FROM debit"),
     "rolling_3_months": (
         ("debit",),
         """SELECT customer_id, category, CAST(idx // 12 AS INT) AS year,
@@ -458,6 +486,10 @@ def _statement(needs: tuple[str, ...], body: str) -> str:
     return f"WITH {tables}\nSELECT * FROM ({body})" if tables else body
 
 
+# Where a second query takes another way to the same rows, it has the same SQL.
+for _name in ("total_spend_window", "rolling_3_rows"):
+    _BODIES[f"{_name}_heavy"] = _BODIES[_name]
+
 ORACLE: dict[str, str] = {
     name: _statement(needs, body) for name, (needs, body) in _BODIES.items()
 }

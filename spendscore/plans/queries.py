@@ -17,11 +17,12 @@ from spendscore.operators import bronze, gold, reports, silver, text, windows
 from spendscore.plans import pipeline
 from spendscore.sources import fixtures
 from spendscore.sources.readers import read_files
+from spendscore.sources.tables import read_table, write_table
 from spendscore.sources.workdir import work_dir
 from spendscore.streaming import streams
 
 # The run's date and time, given so that stamps can be compared.
-AS_OF = date(2024, 4, 1)
+AS_OF, NEXT_DAY = date(2024, 4, 1), date(2024, 4, 2)
 AT = datetime(2024, 4, 1, 6, 30)
 
 # All months the orders span.
@@ -41,8 +42,12 @@ def _round(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
+def _transactions_of(raw):
+    return bronze.conform_transactions(raw, AS_OF)
+
+
 def _transactions(spark, sf_dir):
-    return bronze.conform_transactions(fixtures.transactions(spark, sf_dir), AS_OF)
+    return _transactions_of(fixtures.transactions(spark, sf_dir))
 
 
 def _debit(spark, sf_dir):
@@ -98,6 +103,22 @@ def bronze_statements_csv(spark, sf_dir):
     return bronze.conform_statements(read_files(spark, path, "csv"), AS_OF)
 
 
+@_query
+def bronze_transactions_text(spark, sf_dir):
+    """Transactions delivered as text, with fractions and bad amounts in it."""
+    raw = fixtures.transactions(spark, sf_dir)
+    text_only = raw.select([F.col(name).cast("string").alias(name) for name in raw.columns])
+    return _transactions_of(
+        text_only.withColumns(
+            {
+                "customer_id": F.concat(F.lit(" "), "customer_id", F.lit(" ")),
+                "mcc_code": F.concat("mcc_code", F.lit(".75")),
+                "amount": F.when(F.col("txn_type") == "Credit", "n/a").otherwise(F.col("amount")),
+            }
+        )
+    )
+
+
 @_query
 def debit_only(spark, sf_dir):
     return bronze.debit_only(_transactions(spark, sf_dir))
@@ -138,9 +159,14 @@ def total_spend_window(spark, sf_dir):
 
 
 @_query
-def rolling_3_rows(spark, sf_dir):
+def total_spend_window_heavy(spark, sf_dir):
+    """The same where every customer that fits the broadcast counts as heavy."""
+    rows = windows.with_total_spend(_debit(spark, sf_dir), hot_rows=0)
+    return _round(rows, 2, "total_spend")
+
+
+def _rolling_columns(rows):
     """Rows of equal date and amount share out their sums in any order."""
-    rows = windows.rolling_rows(_debit(spark, sf_dir), 3)
     return _round(
         rows.select("customer_id", "category", "txn_date", "amount", "three_month_category_spend"),
         2,
@@ -148,6 +174,17 @@ def rolling_3_rows(spark, sf_dir):
     )
 
 
+@_query
+def rolling_3_rows(spark, sf_dir):
+    return _rolling_columns(windows.rolling_rows(_debit(spark, sf_dir), 3))
+
+
+@_query
+def rolling_3_rows_heavy(spark, sf_dir):
+    """The same where every group that fits the broadcast counts as heavy."""
+    return _rolling_columns(windows.rolling_rows(_debit(spark, sf_dir), 3, hot_rows=0))
+
+
 @_query
 def rolling_3_months(spark, sf_dir):
     rows = windows.rolling_months(_debit(spark, sf_dir), 3)
@@ -183,9 +220,79 @@ def profile_fanout_size(spark, sf_dir):
     return size.withColumn("joined_rows", F.col("joined_rows").cast("string"))
 
 
+# --- stored tables ----------------------------------------------------------
+
+
+def _salary_of(spark, sf_dir, day):
+    return bronze.conform_salary(fixtures.salary_income(spark, sf_dir), day)
+
+
+def _store_salary(config, df, mode="append"):
+    write_table(df, config, "salary_income", mode=mode, partition_by=["ingestion_date"])
+
+
+@_query
+def table_append(spark, sf_dir):
+    """A load that is repeated on the same day is in the table twice."""
+    config = PipelineConfig(work_dir(spark, "append"))
+    for _ in range(2):
+        _store_salary(config, _salary_of(spark, sf_dir, AS_OF))
+    return _round(read_table(spark, config, "salary_income"), 2, "salary_amount")
+
+
+@_query
+def table_replace_partition(spark, sf_dir):
+    """Two days are loaded, the second one twice; each is there once."""
+    config = PipelineConfig(work_dir(spark, "replace"))
+    for day in (AS_OF, NEXT_DAY, NEXT_DAY):
+        _store_salary(config, _salary_of(spark, sf_dir, day), "replace_partition")
+    return _round(read_table(spark, config, "salary_income"), 2, "salary_amount")
+
+
+@_query
+def table_since(spark, sf_dir):
+    """Of two loaded days, the rows since the second."""
+    config = PipelineConfig(work_dir(spark, "since"))
+    for day in (AS_OF, NEXT_DAY):
+        _store_salary(config, _salary_of(spark, sf_dir, day))
+    return _round(
+        read_table(spark, config, "salary_income", since=NEXT_DAY), 2, "salary_amount"
+    )
+
+
+@_query
+def table_merge_schema(spark, sf_dir):
+    """The second load brings a column that the first one lacks."""
+    config = PipelineConfig(work_dir(spark, "merge"))
+    _store_salary(config, _salary_of(spark, sf_dir, AS_OF))
+    second = _salary_of(spark, sf_dir, NEXT_DAY)
+    _store_salary(config, second.withColumn("pay_year", F.year("pay_date")))
+    table = read_table(spark, config, "salary_income", merge_schema=True)
+    return _round(table, 2, "salary_amount")
+
+
+@_query
+def table_overwrite(spark, sf_dir):
+    """A second month's scores take the place of the first month's."""
+    config = PipelineConfig(work_dir(spark, "overwrite"))
+    summary = gold.gold_summary(_debit(spark, sf_dir), _salary(spark, sf_dir))
+    for day in (date(2024, 3, 1), AS_OF):
+        scored = gold.score_customers(summary, day)
+        write_table(scored, config, "score", mode="overwrite", partition_by=["score_month"])
+    return _rounded_score(read_table(spark, config, "score"))
+
+
 # --- gold -------------------------------------------------------------------
 
 
+@_query
+def typed_debit(spark, sf_dir):
+    """Debits whose dates and amounts arrive as text."""
+    rows = _debit(spark, sf_dir).select("customer_id", "txn_date", "amount", "category")
+    as_text = {name: F.col(name).cast("string") for name in ("txn_date", "amount")}
+    return gold.typed_debit(rows.withColumns(as_text))
+
+
 @_query
 def avg_salary(spark, sf_dir):
     return _round(gold.avg_salary(_salary(spark, sf_dir)), 6, "avg_salary")
