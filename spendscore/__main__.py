@@ -1,4 +1,4 @@
-"""``spark-submit ... -m spendscore``-style launcher for the pipeline steps."""
+"""Command line of the pipeline steps."""
 
 from __future__ import annotations
 

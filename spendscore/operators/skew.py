@@ -37,7 +37,7 @@ def heavy_keys(
 def join_by_key(
     df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Broadcast ``per_key``, one row per heavy key; NULL is a key like any other."""
+    """Join ``per_key``, which has few rows, by broadcast; NULL is a key like any other."""
     renamed = per_key.withColumnsRenamed({key: "_key_" + key for key in keys})
     same = [F.col(key).eqNullSafe(F.col("_key_" + key)) for key in keys]
     return df.join(F.broadcast(renamed), same, how).drop(*["_key_" + key for key in keys])

@@ -84,7 +84,7 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
     A group is cut along its order into chunks: one per period and slice of the
     number column. Each chunk is summed by itself; its first ``n - 1`` rows then
     receive the values that precede the chunk. Equal rows are counted before
-    the shuffle: from the n-th copy on all copies have the same sum.
+    the shuffle: beyond the n-th, all copies have ``n`` times their own value.
     """
     period, number = order_by
     # one key for the chunk: unknown parts are equal in a struct, and the window
@@ -95,11 +95,15 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
         .groupBy("_chunk", number, *ties)
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    # copies 1 .. n-1 as rows of their own, the n-th standing for all the rest
-    unrolled = counted.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(n))))
-    ).withColumn(
-        "_copies", F.when(F.col("_copy") == n, F.col("_copies") - (n - 1)).otherwise(F.lit(1))
+    # up to n copies take part in the windows; no row can see further back
+    first_copies = F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(n)))
+    unrolled = counted.withColumn("_copy", F.explode(first_copies)).drop("_copies")
+    further = counted.filter(F.col("_copies") > n).select(
+        "_chunk.*",
+        number,
+        *ties,
+        (F.col(value) * F.lit(float(n))).alias(name),
+        (F.col("_copies") - n).alias("_copies"),
     )
 
     in_chunk = Window.partitionBy("_chunk").orderBy(number, *ties, "_copy")
@@ -129,9 +133,9 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
         for back, column in enumerate(carried, start=1)
     ]
     summed = local.join(carry, F.col("_chunk") == F.col("_next"), "left").select(
-        "_chunk.*", number, *ties, null_skipping_sum(parts).alias(name), "_copies"
+        "_chunk.*", number, *ties, null_skipping_sum(parts).alias(name)
     )
-    return expand_copies(summed.drop("_slice"), "_copies")
+    return summed.unionByName(expand_copies(further, "_copies")).drop("_slice")
 
 
 def rolling_months(

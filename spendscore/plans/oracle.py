@@ -375,7 +375,7 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_summary": (("ratios",), f"SELECT customer_id, {_SUMMARY}, {_RATIOS} FROM ratios"),
     "gold_ratios": (("ratios",), f"SELECT customer_id, {_RATIOS} FROM ratios"),
     "gold_score": (("score",), f"SELECT {_SCORE} FROM score"),
-    "pipeline_score": (("score",), f"SELECT {_SCORE} FROM score"),
+    "layered_score": (("score",), f"SELECT {_SCORE} FROM score"),
     "gold_score_corrected": (("score_corrected",), f"SELECT {_SCORE} FROM score_corrected"),
     "audit_check": (
         ("score",),

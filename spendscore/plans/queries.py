@@ -364,7 +364,7 @@ def audit_check(spark, sf_dir):
 
 
 @_query
-def pipeline_score(spark, sf_dir):
+def layered_score(spark, sf_dir):
     """All layers written to files from raw files; the stored scores."""
     raw, root = work_dir(spark, "raw"), work_dir(spark, "tables")
     inputs = {

@@ -35,7 +35,7 @@ def salary(spark):
     return fixtures.salary_income(spark, SF)
 
 
-WRITERS = ("stream_", "table_", "pipeline_", "bronze_statements_csv")
+WRITERS = ("stream_", "table_", "layered_", "bronze_statements_csv")
 BATCH = sorted(name for name in QUERIES if not name.startswith(WRITERS))
 
 

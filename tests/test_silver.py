@@ -6,6 +6,7 @@ from collections import defaultdict
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendscore.operators import silver, windows
 
@@ -41,7 +42,10 @@ def test_pivot(debit):
                (2, "2024-02-09", 1.0, "Rent", "a"), (3, "2020-02-09", 1.0, "Rent", "a"))
     monthly = silver.monthly_spend(df)
     months = ["2024_Jan", "2024_Feb"]
-    rows = lambda agg: sorted(tuple(r) for r in silver.pivot_months(monthly, months, agg).collect())
+
+    def rows(agg):
+        return sorted(tuple(r) for r in silver.pivot_months(monthly, months, agg).collect())
+
     assert rows("sum")[:2] == [(1, 12.0, None), (2, None, 1.0)]
     assert rows("first")[:2] == [(1, 7.0, None), (2, None, 1.0)]
     assert len(rows("sum")) == 3  # a customer without spend in these months stays
@@ -106,6 +110,28 @@ def test_rolling_rows_against_brute_force(spark, debit, hot_rows, n):
     ) == expected
 
 
+def test_chunks_keep_the_order_of_any_number(spark, debit):
+    numbers = [0.0, -0.0, -1.5, -1e-9, 1e-9, 1e9, -1e9, 1e300, -1e300, float("inf"), float("nan"),
+               0.01, 0.02, 3.0, 3.05, None]
+    df = debit(*[(1, "2024-01-01", number, "Rent") for number in numbers])
+    ordered = [
+        (row["amount"], row["slice"])
+        for row in df.select("amount", windows._slice_of(F.col("amount")).alias("slice"))
+        .orderBy("amount").collect()
+    ]
+    known = [cut for _, cut in ordered[1:]]
+    assert ordered[0] == (None, None) and known == sorted(known)
+    assert len(set(known)) > 8
+
+
+def test_heavy_groups_with_refunds(spark, debit):
+    rng = random.Random(9)
+    df = debit(*[(1, f"2024-01-0{rng.randint(1, 3)}", rng.choice([-5.0, -0.25, 0.0, 0.25, 80.0]), "Rent")
+                 for _ in range(200)])
+    left, right = windows.rolling_rows(df, 3), windows.rolling_rows(df, 3, hot_rows=0)
+    assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
+
+
 @pytest.mark.parametrize("hot_rows", [10**9, 0])
 def test_rolling_rows_skips_unknown_amounts(debit, hot_rows):
     df = debit((1, "2024-01-01", None, "Rent"), (1, "2024-01-02", None, "Rent"),

@@ -60,8 +60,12 @@ def test_since_prunes_partitions(spark, config):
 
 
 def test_overwrite_drops_earlier_months_and_replace_keeps_them(spark, config):
-    write = lambda df, mode: write_table(df, config, "score", mode=mode, partition_by=["score_month"])
-    months = lambda: sorted(r["score_month"] for r in read_table(spark, config, "score").collect())
+    def write(df, mode):
+        write_table(df, config, "score", mode=mode, partition_by=["score_month"])
+
+    def months():
+        return sorted(r["score_month"] for r in read_table(spark, config, "score").collect())
+
     write(scores(spark, "2024-03", 1), "overwrite")
     write(scores(spark, "2024-04", 1, 2), "replace_partition")
     write(scores(spark, "2024-04", 1), "replace_partition")
