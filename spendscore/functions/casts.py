@@ -17,14 +17,22 @@ _INTEGRAL_RANGE = {
     T.LongType(): (-(2**63), 2**63 - 1),
 }
 
-# An optionally signed number whose fraction, if any, is cut off: "10.75", ".5".
-# White space and control characters around it do not count.
-_EDGE = r"[\s\x00-\x1f\x7f]*"
-_NUMBER_TEXT = rf"^{_EDGE}([+-]?(?:\d+(?:\.\d*)?|\.\d*)){_EDGE}$"
+# Text that is a whole number once its fraction is cut off, and text that has
+# a fraction only, which is 0. White space and control characters around it do
+# not count.
+_EDGE = r"[\s\x00-\x1f\x7f]*+"
+_WHOLE_PART = rf"^{_EDGE}([+-]?\d++)(?:\.\d*+)?{_EDGE}$"
+_FRACTION_ONLY = rf"^{_EDGE}[+-]?\.\d*+{_EDGE}$"
+# Every spelling of a double has a digit or is one of these words.
+_MAY_BE_DOUBLE = r"\d|(?i:nan|inf)"
 
 
 def lenient_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Cast ``column`` of type ``source`` to ``target``; malformed is NULL."""
+    """Cast ``column`` of type ``source`` to ``target``; malformed is NULL.
+
+    A failing ``try_cast`` costs an exception per row, so text that cannot be a
+    number is kept away from it.
+    """
     if source == target:
         return column
     if target in _INTEGRAL_RANGE:
@@ -32,16 +40,16 @@ def lenient_cast(column: Column, source: T.DataType, target: T.DataType) -> Colu
             return _text_to_integral(column, target)
         if isinstance(source, (T.DoubleType, T.FloatType)):
             return _float_to_integral(column, target)
+    if isinstance(source, T.StringType) and isinstance(target, T.DoubleType):
+        return F.when(column.rlike(_MAY_BE_DOUBLE), column.try_cast(target))
     return column.try_cast(target)
 
 
 def _text_to_integral(column: Column, target: T.DataType) -> Column:
-    number = F.regexp_extract(column, _NUMBER_TEXT, 1)  # "" where nothing matches
-    whole = F.regexp_replace(number, r"\.\d*$", "")
-    whole = F.when(whole.rlike(r"\d"), whole).otherwise(F.lit("0"))
-    truncated = F.when(number != "", whole.try_cast(target))
-    # plain digits take the cheap way; the pattern runs only where that fails
-    return F.coalesce(column.try_cast(target), truncated)
+    whole = F.nullif(F.regexp_extract(column, _WHOLE_PART, 1), F.lit(""))
+    return F.coalesce(
+        whole.try_cast(target), F.when(column.rlike(_FRACTION_ONLY), F.lit(0).cast(target))
+    )
 
 
 def _float_to_integral(column: Column, target: T.DataType) -> Column:

@@ -42,8 +42,16 @@ def test_bigint_beyond_int_is_null_and_not_another_id(spark):
 
 
 def test_text_to_double_and_date(spark):
-    doubles = cast_all(spark, ["1.5", "x", "", "NaN"], T.StringType(), T.DoubleType())
-    assert doubles[:3] == [1.5, None, None] and math.isnan(doubles[3])
+    texts = ["NaN", "1.5", "x", "", "n/a", "1d", " 2 ", "1e3", "-Infinity", "inf", "info", ".5", None]
+    doubles = cast_all(spark, texts, T.StringType(), T.DoubleType())
+    assert math.isnan(doubles[0])
+    assert doubles[1:] == [
+        1.5, None, None, None, 1.0, 2.0, 1000.0, -math.inf, math.inf, None, 0.5, None,
+    ]
+    # the check beforehand takes nothing away that the cast alone accepts
+    df = spark.createDataFrame([(text,) for text in texts], "v string")
+    alone = [row[0] for row in df.select(F.col("v").try_cast("double")).collect()]
+    assert alone[1:] == doubles[1:]
     texts = ["2024-01-05", "2024-1-5", "2024", "2024-02-30", "31/01/2024", None]
     assert cast_all(spark, texts, T.StringType(), T.DateType()) == [
         date(2024, 1, 5), date(2024, 1, 5), date(2024, 1, 1), None, None, None,
