@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 # Category labels with the merchant substrings that select
 # them, in match order, and the label for everything else.
@@ -81,6 +81,16 @@ TABLE_PATHS: Mapping[str, str] = {
     "debit_transactions_silver": "silver/debit_transactions_silver",
     "score": "gold/data_products_sds_financial_health_score",
     "score_audit": "audit_log/sds_score_audit",
+    "debit_transactions_stream": "bronze/debit_transactions_stream",
+    "daily_spend_stream": "silver/daily_spend_stream",
+    "pivot_months": "silver/pivot_months",
+    **{
+        name: f"reports/{name}"
+        for name in (
+            "score_histogram", "ratio_counts", "ratio_buckets", "spend_boxstats", "spend_outliers",
+            "scatter_points", "spend_share", "top_spenders", "correlations",
+        )
+    },
 }
 
 
@@ -117,6 +127,9 @@ class SourceSpec:
     location: str  # path, or table name for "jdbc"
     options: Mapping[str, str] = field(default_factory=dict)
     partition: JdbcPartition | None = None
+    # conditions that split a JDBC table where no column range does
+    predicates: Sequence[str] = ()
+    schema: str | None = None  # as DDL, for files; CSV without one is read as text
 
 
 @dataclass(frozen=True)
@@ -139,9 +152,6 @@ class PipelineConfig:
     def table_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{TABLE_PATHS[name]}"
 
-    def with_root(self, root: str) -> PipelineConfig:
-        return replace(self, root=root)
-
     @staticmethod
     def from_json(path: str) -> PipelineConfig:
         """Read the settings file (see README for its layout)."""
@@ -169,9 +179,6 @@ def _source(raw: Mapping) -> SourceSpec:
         location=raw["location"],
         options=dict(raw.get("options", {})),
         partition=JdbcPartition(**partition) if partition else None,
+        predicates=tuple(raw.get("predicates", ())),
+        schema=raw.get("schema"),
     )
-
-
-def rule_labels(rules: Sequence[tuple[str, Sequence[str]]] = CATEGORY_RULES) -> list[str]:
-    """Every label a rule table can produce, in match order."""
-    return [label for label, _ in rules] + [OTHER_CATEGORY]

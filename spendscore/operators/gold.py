@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendscore import schemas
 from spendscore.config import (
@@ -20,6 +21,7 @@ from spendscore.config import (
     SCORE_RULES,
     ScoreRule,
 )
+from spendscore.functions.casts import lenient_cast
 from spendscore.functions.expressions import run_date
 from spendscore.operators.silver import recurring_merchants
 
@@ -32,8 +34,9 @@ SUMMARY_COLUMNS = (
 
 def typed_debit(debit: DataFrame) -> DataFrame:
     """Dates and amounts as such, also where a source delivers text."""
+    kinds = {"txn_date": T.DateType(), "amount": T.DoubleType()}
     return debit.withColumns(
-        {"txn_date": F.col("txn_date").try_cast("date"), "amount": F.col("amount").try_cast("double")}
+        {name: lenient_cast(F.col(name), debit.schema[name].dataType, kind) for name, kind in kinds.items()}
     )
 
 
@@ -190,13 +193,26 @@ def gold_score_corrected(debit: DataFrame, salary: DataFrame, as_of: date | None
 
 
 def add_audit(
-    score: DataFrame, by: str = AUDIT_USER, at: datetime | None = None
+    score: DataFrame, by: str = AUDIT_USER, at: datetime | None = None, *, ids: str = "random"
 ) -> DataFrame:
-    """Add a random id per row, the run's UTC time and who ran it."""
+    """Add an id per row, the run's UTC time and who ran it.
+
+    ``ids`` is "random", or "content": made from customer, month and time, so that a
+    repeated run gives the same ids.
+    """
     at = at or datetime.now(timezone.utc).replace(tzinfo=None)
+    if ids == "random":
+        calculation_id = F.uuid()
+    elif ids == "content":
+        unknown = F.lit("?")
+        parts = [F.coalesce(F.col(name).cast("string"), unknown) for name in ("customer_id", "score_month")]
+        digest = F.md5(F.concat_ws("|", *parts, F.lit(at.isoformat())).cast("binary"))
+        calculation_id = F.regexp_replace(digest, "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5")
+    else:
+        raise ValueError(f"unknown kind of ids: {ids!r}")
     return score.withColumns(
         {
-            "calculation_id": F.uuid(),
+            "calculation_id": calculation_id,
             "calculation_time": F.lit(at.isoformat()),
             "calculated_by": F.lit(by),
         }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscore.operators.skew import join_by_key
+from spendscore.operators.skew import few_groups, join_by_key
 
 
 def grouped_quantiles(
@@ -16,11 +16,12 @@ def grouped_quantiles(
     *,
     margin: float = 0.002,
     accuracy: int = 10_000,
+    max_groups: int = 100_000,
 ) -> DataFrame:
     """Interpolated quantiles per group: one column per entry of ``quantiles``.
 
     ``group`` must have few values (a clamped score, a bucket): one small row
-    per group is broadcast. The groups themselves may be of any size:
+    per group is broadcast, and more than ``max_groups`` fail. The groups themselves may be of any size:
 
     1. a sketch proposes bounds closely around each quantile;
     2. rows are counted by the ranges between the bounds, which tells exactly
@@ -33,6 +34,7 @@ def grouped_quantiles(
     table, or sums rounded to what they stand for.
     """
     rows = df.filter(F.col(value).isNotNull()).select(group, value)
+    few = few_groups(rows, group, max_groups)
     cuts = sorted(
         {
             min(max(q + side * margin, 0.0), 1.0)
@@ -43,7 +45,7 @@ def grouped_quantiles(
     bounds = rows.groupBy(group).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(value, cuts, accuracy).alias("_bounds"),
-    )
+    ).filter(few)
     edges = [F.get("_bounds", F.lit(i)) for i in range(len(cuts))]
     number = sum((F.col(value) > edge).cast("int") for edge in edges)
     ranged = join_by_key(rows, bounds, [group]).select(

@@ -7,7 +7,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from spendscore.functions.casts import lenient_cast
 from spendscore.functions.expressions import month_label
 
 
@@ -15,7 +17,7 @@ def with_year_month(debit: DataFrame) -> DataFrame:
     """The stored silver row: amount as a double, plus year and month."""
     return debit.withColumns(
         {
-            "amount": F.col("amount").try_cast("double"),
+            "amount": lenient_cast(F.col("amount"), debit.schema["amount"].dataType, T.DoubleType()),
             "year": F.year("txn_date"),
             "month": F.month("txn_date"),
         }

@@ -11,27 +11,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is heavy from this many rows on; a task sorts that many with ease.
 HOT_ROWS = 2_000_000
-# At most this many keys are treated as heavy, which bounds the broadcast. Any
-# key beyond them holds less than 1 / MAX_HOT of all rows and goes the plain way.
-MAX_HOT = 10_000
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
+    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """The heaviest keys of ``df``: at most ``max_hot`` rows."""
+    """The keys of ``df`` with more than ``hot_rows`` rows, of which there are fewer than rows / ``hot_rows``.
+
+    This bounds the broadcast: 10^12 rows have at most 500,000 such keys, some 20 MB.
+    """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counted.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(max_hot)
-        .select(*keys)
-    )
+    return counted.filter(F.col("_rows") > hot_rows).select(*keys)
 
 
 def join_by_key(
@@ -43,6 +38,16 @@ def join_by_key(
     return df.join(F.broadcast(renamed), same, how).drop(*["_key_" + key for key in keys])
 
 
+def few_groups(df: DataFrame, group: str, most: int) -> Column:
+    """A condition that holds, or fails the job where ``group`` has more than ``most`` values.
+
+    For tables with a row per group that are about to be broadcast.
+    """
+    found = df.agg(F.count_distinct(F.coalesce(F.col(group).cast("string"), F.lit("")))).scalar()
+    message = F.concat(F.lit(f"{group} has more than {most} values to broadcast: "), found.cast("string"))
+    return F.when(found > most, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
 def split_heavy(
     df: DataFrame, heavy: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:

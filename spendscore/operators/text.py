@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscore.config import CATEGORY_EXAMPLES, OTHER_CATEGORY
-from spendscore.operators.skew import HOT_ROWS, MAX_HOT, heavy_keys, join_by_key, split_heavy
+from spendscore.operators.skew import HOT_ROWS, heavy_keys, join_by_key, split_heavy
 
 # Equal similarities may differ in their last bits; they count as equal here.
 _TIE_DIGITS = 12
 
 
+# Examples beyond which their token table is not broadcast.
+MOST_EXAMPLES = 10_000
+
+
 def words(text: Column) -> Column:
     """Lower-case words of two or more characters."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
@@ -70,13 +74,15 @@ def nearest_category(
 ) -> DataFrame:
     """Per distinct merchant: its rows, nearest category and similarity.
 
-    ``examples`` is a short list given by the caller, so its token table is
+    ``examples`` is a short list given by the caller, of ``MOST_EXAMPLES`` at most, so its token table is
     broadcast; merchants are counted first and matched once each. Ties go to
     the earlier example. A name without a known token is equally far from all
     examples and gets the first one's label with similarity 0, unless
     ``min_similarity`` turns such names into ``other``. A NULL name has no
     label. With ``k > 1`` there are up to ``k`` ranked rows per merchant.
     """
+    if sum(len(group) for _, group in examples) > MOST_EXAMPLES:
+        raise ValueError(f"more than {MOST_EXAMPLES} examples are no list to broadcast")
     tokenize = _TOKENIZERS[tokenizer]
     vocabulary = _weighted_examples(names.sparkSession, examples, tokenize)
     distinct = names.groupBy(merchant).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -140,7 +146,6 @@ def label_nearest(
     min_similarity: float | None = None,
     merchant: str = "merchant",
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Every row of ``df`` with the nearest ``category`` of its merchant.
 
@@ -151,7 +156,7 @@ def label_nearest(
         df, examples, tokenizer=tokenizer, min_similarity=min_similarity, merchant=merchant
     ).select(merchant, "category")
     rows = df.drop("category")
-    heavy = heavy_keys(df, [merchant], hot_rows=hot_rows, max_hot=max_hot)
+    heavy = heavy_keys(df, [merchant], hot_rows=hot_rows)
     hot, cold = split_heavy(rows, heavy, [merchant])
     labels = join_by_key(matched, heavy, [merchant])
     return join_by_key(hot, labels, [merchant]).unionByName(

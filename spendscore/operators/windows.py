@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from spendscore.functions.expressions import month_index, null_skipping_sum
 from spendscore.operators.skew import (
     HOT_ROWS,
-    MAX_HOT,
     expand_copies,
     heavy_keys,
     join_by_key,
@@ -25,14 +24,13 @@ def with_total_spend(
     value: str = "amount",
     name: str = "total_spend",
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Every row with the sum of ``value`` over all rows of its key.
 
     Plain keys use one window. Heavy keys get their total, a combining
     aggregate, by broadcast; their rows are not shuffled at all.
     """
-    heavy = heavy_keys(debit, [key], hot_rows=hot_rows, max_hot=max_hot)
+    heavy = heavy_keys(debit, [key], hot_rows=hot_rows)
     hot, cold = split_heavy(debit, heavy, [key])
     totals = hot.groupBy(key).agg(F.sum(value).alias(name))
     summed = cold.withColumn(name, F.sum(value).over(Window.partitionBy(key)))
@@ -48,7 +46,6 @@ def rolling_rows(
     value: str = "amount",
     name: str = "three_month_category_spend",
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Sum of ``value`` over a row and the ``n - 1`` rows before it in its group.
 
@@ -56,10 +53,12 @@ def rolling_rows(
     broken by the remaining columns, so the rows do not depend on arrival.
     """
     ties = [column for column in debit.columns if column not in (*keys, *order_by)]
-    heavy = heavy_keys(debit, keys, hot_rows=hot_rows, max_hot=max_hot)
+    heavy = heavy_keys(debit, keys, hot_rows=hot_rows)
     hot, cold = split_heavy(debit, heavy, keys)
-    frame = Window.partitionBy(*keys).orderBy(*order_by, *ties).rowsBetween(-(n - 1), 0)
-    plain = cold.withColumn(name, F.sum(value).over(frame))
+    # Values are added from the row itself backwards on both ways, so both give the same bits.
+    in_order = Window.partitionBy(*keys).orderBy(*order_by, *ties)
+    terms = [F.col(value)] + [F.lag(value, back).over(in_order) for back in range(1, n)]
+    plain = cold.withColumn(name, null_skipping_sum(terms))
     return plain.unionByName(_rolling_in_chunks(hot, n, keys, order_by, ties, value, name))
 
 
@@ -102,14 +101,14 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
         "_chunk.*",
         number,
         *ties,
-        (F.col(value) * F.lit(float(n))).alias(name),
+        null_skipping_sum([F.col(value)] * n).alias(name),
         (F.col("_copies") - n).alias("_copies"),
     )
 
     in_chunk = Window.partitionBy("_chunk").orderBy(number, *ties, "_copy")
     local = (
         unrolled.withColumn("_at", F.row_number().over(in_chunk))
-        .withColumn("_local", F.sum(value).over(in_chunk.rowsBetween(-(n - 1), 0)))
+        .withColumns({f"_back{back}": F.lag(value, back).over(in_chunk) for back in range(1, n)})
         .withColumn("_last", F.lead(F.lit(1), n - 1).over(in_chunk).isNull())
     )
 
@@ -128,9 +127,11 @@ def _rolling_in_chunks(hot, n, keys, order_by, ties, value, name) -> DataFrame:
         .filter("_first")
         .drop("_first")
     )
-    parts = [F.col("_local")] + [
-        F.when(F.col("_at") <= n - back, F.col(column))
-        for back, column in enumerate(carried, start=1)
+    # the row's own chunk first, then the last rows of the chunks before it
+    before = F.array(*[F.col(column) for column in carried]) if carried else None
+    parts = [F.col(value)] + [
+        F.when(F.col("_at") > back, F.col(f"_back{back}")).otherwise(F.get(before, back - F.col("_at")))
+        for back in range(1, n)
     ]
     summed = local.join(carry, F.col("_chunk") == F.col("_next"), "left").select(
         "_chunk.*", number, *ties, null_skipping_sum(parts).alias(name)

@@ -13,6 +13,14 @@ _MERCHANTS = """(VALUES (0,'Zillow'),(1,'RentPay'),(2,'Landlord LLC'),(3,'BC Hyd
 
 _STAMP = "DATE '2024-04-01' AS ingestion_date"
 
+# The category rules in match order.
+_RULES = """WHEN regexp_matches(merchant, 'zillow|rentpay|landlord') THEN 'Rent'
+            WHEN regexp_matches(merchant, 'hydro|enbridge|telus') THEN 'Utilities'
+            WHEN regexp_matches(merchant, 'netflix|spotify|amazon prime') THEN 'Subscriptions'
+            WHEN regexp_matches(merchant, 'zomato|costco|uber eats|uber|swiggy') THEN 'Food & Groceries'
+            WHEN regexp_matches(merchant, 'visa|amex|emi') THEN 'Credit Repayment'
+            WHEN regexp_matches(merchant, 'amazon|shopping|flipkart|uber|bigbazaar|myntra|flights') THEN 'Misc. Discretionary'"""
+
 # Common table expressions, each naming the ones it is built on.
 _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "transactions": (
@@ -31,11 +39,11 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "salary": (
         (),
         f"""SELECT CAST(c.c_custkey AS INT) AS customer_id,
-            c.c_acctbal * CAST(16 AS DOUBLE) + CAST(p.bump AS DOUBLE) AS salary_amount,
+            CASE WHEN c.c_custkey % 10 <> 0 THEN c.c_acctbal * CAST(16 AS DOUBLE) + CAST(p.bump AS DOUBLE) END
+                AS salary_amount,
             p.pay_date, {_STAMP}
         FROM customer c CROSS JOIN (VALUES (0, DATE '2024-01-31'), (500, DATE '2024-02-29'),
-            (1000, DATE '2024-03-31')) AS p(bump, pay_date)
-        WHERE c.c_custkey % 10 <> 0""",
+            (1000, DATE '2024-03-31')) AS p(bump, pay_date)""",
     ),
     "subs": (
         (),
@@ -54,21 +62,12 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
             CAST(floor(o_totalprice * 5) / 100 AS DOUBLE) AS minimum_due,
             CAST(trunc(floor(o_totalprice * (o_orderkey % 101)) / 100) AS INT) AS paid_amount,
             {_STAMP}
-        FROM orders WHERE o_orderstatus = 'O'""",
+        FROM orders""",
     ),
     "debit": (
         ("transactions",),
-        """SELECT *, CASE
-            WHEN merchant LIKE '%zillow%' OR merchant LIKE '%rentpay%'
-                OR merchant LIKE '%landlord%' THEN 'Rent'
-            WHEN merchant LIKE '%hydro%' OR merchant LIKE '%enbridge%'
-                OR merchant LIKE '%telus%' THEN 'Utilities'
-            WHEN merchant LIKE '%netflix%' OR merchant LIKE '%spotify%'
-                OR merchant LIKE '%amazon prime%' THEN 'Subscriptions'
-            WHEN regexp_matches(merchant, 'zomato|costco|uber|swiggy') THEN 'Food & Groceries'
-            WHEN regexp_matches(merchant, 'visa|amex|emi') THEN 'Credit Repayment'
-            WHEN regexp_matches(merchant, 'amazon|shopping|flipkart|bigbazaar|myntra|flights')
-                THEN 'Misc. Discretionary'
+        f"""SELECT *, CASE
+            {_RULES}
             ELSE 'Other' END AS category
         FROM transactions WHERE txn_type = 'debit'""",
     ),
@@ -323,7 +322,10 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT {_SALARY} FROM salary)""",
     ),
     "table_overwrite": (("score",), f"SELECT {_SCORE} FROM score"),
-    "typed_debit": (("debit",), "SELECT customer_id, txn_date, amount, category FROM debit"),
+    "typed_debit": (
+        ("debit",),
+        "SELECT customer_id, txn_date, CASE WHEN amount >= 100 THEN amount END AS amount, category FROM debit",
+    ),
     "rolling_3_months": (
         ("debit",),
         """SELECT customer_id, category, CAST(idx // 12 AS INT) AS year,
@@ -382,6 +384,14 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT customer_id, sds_score, score_month, '2024-04-01T06:30:00' AS calculation_time,
             'auto_pipeline' AS calculated_by, CAST(1 AS INT) AS id_is_uuid FROM score""",
     ),
+    "audit_ids": (("score",), "SELECT count(*) AS rows, count(*) AS ids FROM score"),
+    "audit_log": (
+        ("score",),
+        f"""SELECT {_SCORE}, regexp_replace(md5(concat_ws('|', coalesce(CAST(customer_id AS VARCHAR), '?'), score_month, calculation_time)),
+                '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\1-\\2-\\3-\\4-\\5') AS calculation_id,
+            calculation_time, 'auto_pipeline' AS calculated_by
+        FROM score, (VALUES ('2024-04-01T06:30:00'), ('2024-04-01T18:00:00')) AS t(calculation_time)""",
+    ),
     "score_histogram": (
         ("score",),
         "SELECT sds_score, count(*) AS customers FROM score GROUP BY sds_score",
@@ -486,7 +496,18 @@ def _statement(needs: tuple[str, ...], body: str) -> str:
     return f"WITH {tables}\nSELECT * FROM ({body})" if tables else body
 
 
+_BODIES["stream_daily_spend_update"] = (
+    (),
+    """SELECT CAST(user_id AS INT) AS customer_id, CAST(ts AS DATE) AS txn_date,
+        round(sum(value), 2) AS daily_spend FROM events GROUP BY 1, 2""",
+)
+
 # Where a second query takes another way to the same rows, it has the same SQL.
+for _other, _name in {
+    "layered_histogram": "score_histogram", "reports_after_two_months": "score_histogram",
+    "layered_pivot": "pivot_months_sum", "stream_to_score": "gold_score",
+}.items():
+    _BODIES[_other] = _BODIES[_name]
 for _name in ("total_spend_window", "rolling_3_rows"):
     _BODIES[f"{_name}_heavy"] = _BODIES[_name]
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscore.config import AUDIT_USER, PipelineConfig
 from spendscore.operators import bronze, gold, reports, silver, windows
-from spendscore.schemas import INGESTION_DATE
+from spendscore.schemas import DEBIT_TRANSACTIONS, INGESTION_DATE
 from spendscore.sources.readers import read_source
 from spendscore.sources.tables import append_audit, read_table, write_table
-from spendscore.sources.workdir import stage
+from spendscore.sources.workdir import remove
 
 PREVIEW_ROWS = 10
 
@@ -31,31 +33,28 @@ def run_day(spark: SparkSession, as_of: date | None = None) -> date:
     return as_of or spark.range(1).select(F.current_date()).first()[0]
 
 
-def _raw(spark: SparkSession, config: PipelineConfig, name: str) -> DataFrame:
-    """The raw input. A database table that feeds two outputs is pulled once."""
-    df = read_source(spark, config, name)
-    if name == "transactions" and config.sources[name].format == "jdbc":
-        return stage(df, "landed-transactions")
-    return df
-
-
 def run_bronze(
     spark: SparkSession, config: PipelineConfig, as_of: date | None = None
 ) -> dict[str, DataFrame]:
     """Conform the four inputs, label the debits, add all five to bronze."""
     as_of = run_day(spark, as_of)
-    transactions = bronze.conform_transactions(_raw(spark, config, "transactions"), as_of)
+    # The transactions feed two outputs, so they are read and conformed once, whatever their source.
+    landed = f"{config.root.rstrip('/')}/staging/transactions-{uuid.uuid4().hex}"
+    conformed = bronze.conform_transactions(read_source(spark, config, "transactions"), as_of)
+    conformed.write.parquet(landed)
+    transactions = spark.read.schema(conformed.schema).parquet(landed)
     frames = {
-        "salary_income": bronze.conform_salary(_raw(spark, config, "salary_income"), as_of),
+        "salary_income": bronze.conform_salary(read_source(spark, config, "salary_income"), as_of),
         "transactions": transactions,
         "debit_transactions": bronze.debit_transactions(transactions),
-        "subscriptions": bronze.conform_subscriptions(_raw(spark, config, "subscriptions"), as_of),
+        "subscriptions": bronze.conform_subscriptions(read_source(spark, config, "subscriptions"), as_of),
         "credit_card_statements": bronze.conform_statements(
-            _raw(spark, config, "credit_card_statements"), as_of
+            read_source(spark, config, "credit_card_statements"), as_of
         ),
     }
     for name, df in frames.items():
         write_table(df, config, name, mode=config.append_mode, partition_by=[INGESTION_DATE])
+    remove(spark, landed)
     return {name: read_table(spark, config, name) for name in frames}
 
 
@@ -66,11 +65,22 @@ def run_silver(
     since: date | None = None,
     months: Sequence[str] | None = None,
     preview: bool = False,
+    debit_tables: Sequence[str] = ("debit_transactions",),
 ) -> dict[str, DataFrame]:
-    """Store the debits with year and month; return the features unstored."""
-    debit = read_table(spark, config, "debit_transactions", since=since)
+    """Store the debits with year and month, and the pivot of ``months``; return the other features unstored.
+
+    ``debit_tables`` may add "debit_transactions_stream". Silver has a partition per load date.
+    With ``append_mode`` "replace_partition" only the dates read (``since``) are replaced and
+    earlier ones stay; else the table is written anew.
+    """
+    columns = DEBIT_TRANSACTIONS.names
+    tables = [read_table(spark, config, name, since=since).select(*columns) for name in debit_tables]
     write_table(
-        silver.with_year_month(debit), config, "debit_transactions_silver", mode="overwrite"
+        silver.with_year_month(reduce(DataFrame.unionByName, tables)),
+        config,
+        "debit_transactions_silver",
+        mode="replace_partition" if config.append_mode == "replace_partition" else "overwrite",
+        partition_by=[INGESTION_DATE],
     )
     stored = read_table(spark, config, "debit_transactions_silver")
     frames = {
@@ -83,7 +93,9 @@ def run_silver(
         "monthly_spend": silver.monthly_spend(stored),
     }
     if months is not None:
-        frames["pivot_months"] = silver.pivot_months(frames["monthly_spend"], months)
+        pivot = silver.pivot_months(frames["monthly_spend"], months)
+        write_table(pivot, config, "pivot_months", mode="overwrite")
+        frames["pivot_months"] = read_table(spark, config, "pivot_months")
     if preview:
         _show(frames, n=PREVIEW_ROWS)
     return {"debit_transactions_silver": stored, **frames}
@@ -120,10 +132,14 @@ def run_gold(
     return {**frames, "score_audit": read_table(spark, config, "score_audit")}
 
 
-def run_reports(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:
-    """The chart data of the stored scores."""
+def run_reports(
+    spark: SparkSession, config: PipelineConfig, as_of: date | None = None, *, preview: bool = False
+) -> dict[str, DataFrame]:
+    """Store the chart data of one month's scores: that of ``as_of``, or the newest."""
     score = read_table(spark, config, "score")
-    return {
+    month = f"{as_of:%Y-%m}" if as_of else score.agg(F.max("score_month")).first()[0]
+    score = score.filter(F.col("score_month") == month)
+    frames = {
         "score_histogram": reports.score_histogram(score),
         "ratio_counts": reports.ratio_counts(score),
         "ratio_buckets": reports.ratio_buckets(score),
@@ -134,6 +150,12 @@ def run_reports(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFr
         "top_spenders": reports.top_spenders(score),
         "correlations": reports.correlations(score),
     }
+    for name, df in frames.items():
+        write_table(df, config, name, mode="overwrite")
+    stored = {name: read_table(spark, config, name) for name in frames}
+    if preview:
+        _show(stored)
+    return stored
 
 
 def run_pipeline(
@@ -142,15 +164,16 @@ def run_pipeline(
     as_of: date | None = None,
     *,
     at: datetime | None = None,
+    months: Sequence[str] | None = None,
     preview: bool = False,
 ) -> dict[str, DataFrame]:
     """All four steps in order; the frames they stored or can compute."""
     as_of = run_day(spark, as_of)
     return {
         **run_bronze(spark, config, as_of),
-        **run_silver(spark, config, preview=preview),
+        **run_silver(spark, config, months=months, preview=preview),
         **run_gold(spark, config, as_of, at=at, preview=preview),
-        **run_reports(spark, config),
+        **run_reports(spark, config, as_of, preview=preview),
     }
 
 

@@ -16,14 +16,14 @@ from spendscore.config import PipelineConfig, SourceSpec
 from spendscore.operators import bronze, gold, reports, silver, text, windows
 from spendscore.plans import pipeline
 from spendscore.sources import fixtures
-from spendscore.sources.readers import read_files
-from spendscore.sources.tables import read_table, write_table
-from spendscore.sources.workdir import work_dir
+from spendscore.sources.readers import read_source
+from spendscore.sources.tables import append_audit, read_table, write_table
+from spendscore.sources.workdir import stage, work_dir
 from spendscore.streaming import streams
 
 # The run's date and time, given so that stamps can be compared.
 AS_OF, NEXT_DAY = date(2024, 4, 1), date(2024, 4, 2)
-AT = datetime(2024, 4, 1, 6, 30)
+AT, LATER = datetime(2024, 4, 1, 6, 30), datetime(2024, 4, 1, 18, 0)
 
 # All months the orders span.
 FIRST_MONTH, LAST_MONTH = date(1995, 1, 1), date(2001, 8, 1)
@@ -97,10 +97,11 @@ def bronze_statements(spark, sf_dir):
 
 @_query
 def bronze_statements_csv(spark, sf_dir):
-    """The statements by way of CSV files with a header and inferred types."""
+    """The statements by way of CSV files with a header, read as text of the declared columns."""
     path = work_dir(spark, "statements-csv")
     fixtures.credit_card_statements(spark, sf_dir).write.csv(path, header=True)
-    return bronze.conform_statements(read_files(spark, path, "csv"), AS_OF)
+    config = PipelineConfig("", {"credit_card_statements": SourceSpec("csv", path)})
+    return bronze.conform_statements(read_source(spark, config, "credit_card_statements"), AS_OF)
 
 
 @_query
@@ -275,7 +276,7 @@ def table_merge_schema(spark, sf_dir):
 def table_overwrite(spark, sf_dir):
     """A second month's scores take the place of the first month's."""
     config = PipelineConfig(work_dir(spark, "overwrite"))
-    summary = gold.gold_summary(_debit(spark, sf_dir), _salary(spark, sf_dir))
+    summary = stage(gold.gold_summary(_debit(spark, sf_dir), _salary(spark, sf_dir)), "summary")
     for day in (date(2024, 3, 1), AS_OF):
         scored = gold.score_customers(summary, day)
         write_table(scored, config, "score", mode="overwrite", partition_by=["score_month"])
@@ -287,9 +288,12 @@ def table_overwrite(spark, sf_dir):
 
 @_query
 def typed_debit(spark, sf_dir):
-    """Debits whose dates and amounts arrive as text."""
+    """Debits whose dates and amounts arrive as text; amounts below 100 are no numbers."""
     rows = _debit(spark, sf_dir).select("customer_id", "txn_date", "amount", "category")
-    as_text = {name: F.col(name).cast("string") for name in ("txn_date", "amount")}
+    as_text = {
+        "txn_date": F.col("txn_date").cast("string"),
+        "amount": F.when(F.col("amount") < 100, "n/a").otherwise(F.col("amount").cast("string")),
+    }
     return gold.typed_debit(rows.withColumns(as_text))
 
 
@@ -348,8 +352,21 @@ def gold_score_corrected(spark, sf_dir):
 
 @_query
 def audit_log(spark, sf_dir):
-    """Scores with their audit columns; the ids are random."""
-    return gold.add_audit(_rounded_score(_score(spark, sf_dir)), at=AT)
+    """The stored audit log after two runs, with ids made from what they stand for."""
+    config = PipelineConfig(work_dir(spark, "audit"))
+    score = _rounded_score(_score(spark, sf_dir))
+    for at in (AT, LATER):
+        append_audit(gold.add_audit(score, at=at, ids="content"), config)
+    return read_table(spark, config, "score_audit")
+
+
+@_query
+def audit_ids(spark, sf_dir):
+    """How many random ids differ."""
+    audited = gold.add_audit(_score(spark, sf_dir), at=AT)
+    return audited.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("calculation_id").alias("ids")
+    )
 
 
 @_query
@@ -363,9 +380,8 @@ def audit_check(spark, sf_dir):
     )
 
 
-@_query
-def layered_score(spark, sf_dir):
-    """All layers written to files from raw files; the stored scores."""
+def _layered(spark, sf_dir):
+    """The whole job from raw files to reports; where its tables are."""
     raw, root = work_dir(spark, "raw"), work_dir(spark, "tables")
     inputs = {
         "salary_income": (fixtures.salary_income, "parquet"),
@@ -378,8 +394,38 @@ def layered_score(spark, sf_dir):
         sources[name] = SourceSpec(fmt, f"{raw}/{name}")
         options = {"header": "true"} if fmt == "csv" else {}
         load(spark, sf_dir).write.format(fmt).options(**options).save(sources[name].location)
-    frames = pipeline.run_pipeline(spark, PipelineConfig(root, sources), AS_OF, at=AT)
-    return _rounded_score(frames["score"])
+    config = PipelineConfig(root, sources)
+    pipeline.run_pipeline(spark, config, AS_OF, at=AT, months=MONTHS)
+    return config
+
+
+@_query
+def layered_score(spark, sf_dir):
+    """All layers written to files from raw files; the stored scores."""
+    return _rounded_score(read_table(spark, _layered(spark, sf_dir), "score"))
+
+
+@_query
+def layered_histogram(spark, sf_dir):
+    """The same, the stored histogram."""
+    return read_table(spark, _layered(spark, sf_dir), "score_histogram")
+
+
+@_query
+def layered_pivot(spark, sf_dir):
+    """The same, the stored spend by months."""
+    return _round(read_table(spark, _layered(spark, sf_dir), "pivot_months"), 2, *MONTHS)
+
+
+@_query
+def reports_after_two_months(spark, sf_dir):
+    """Scores of two months are kept; the reports are those of the newer."""
+    config = PipelineConfig(work_dir(spark, "two-months"), score_mode="replace_partition")
+    summary = stage(gold.gold_summary(_debit(spark, sf_dir), _salary(spark, sf_dir)), "summary")
+    for day in (date(2024, 3, 1), AS_OF):
+        scored = gold.score_customers(summary, day)
+        write_table(scored, config, "score", mode=config.score_mode, partition_by=["score_month"])
+    return pipeline.run_reports(spark, config)["score_histogram"]
 
 
 # --- reports ----------------------------------------------------------------
@@ -402,13 +448,13 @@ def ratio_buckets(spark, sf_dir):
 
 @_query
 def spend_boxstats(spark, sf_dir):
-    stats = reports.spend_boxstats(_cent_score(spark, sf_dir))
+    stats = reports.spend_boxstats(stage(_cent_score(spark, sf_dir), "cent-score"))
     return _round(_round(stats, 4, "q1", "median", "q3"), 2, "lo", "hi")
 
 
 @_query
 def spend_outliers(spark, sf_dir):
-    return reports.spend_outliers(_cent_score(spark, sf_dir))
+    return reports.spend_outliers(stage(_cent_score(spark, sf_dir), "cent-score"))
 
 
 @_query
@@ -487,3 +533,32 @@ def stream_daily_spend(spark, sf_dir):
     stream = streams.stream_daily_spend(fixtures.event_columns(raw))
     streams.write_stream(stream, out, log).awaitTermination()
     return _round(spark.read.schema(stream.schema).parquet(out), 2, "daily_spend")
+
+
+@_query
+def stream_daily_spend_update(spark, sf_dir):
+    """The same stream in mode "update": open days too, each with its newest sum."""
+    config, log = PipelineConfig(work_dir(spark, "stream-update")), work_dir(spark, "stream-log")
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    pattern = f"{sf_dir.rstrip('/')}/event[s].parquet"
+    raw = streams.stream_files(spark, pattern, spark.read.parquet(table).schema)
+    stream = streams.stream_daily_spend(fixtures.event_columns(raw))
+    streams.stream_to_table(stream, config, "daily_spend_stream", log, output_mode="update").awaitTermination()
+    days = streams.latest_rows(read_table(spark, config, "daily_spend_stream"), ["customer_id", "txn_date"])
+    return _round(days, 2, "daily_spend")
+
+
+@_query
+def stream_to_score(spark, sf_dir):
+    """Raw transaction files by way of a stream into bronze, from there to the stored scores."""
+    raw, root, log = (work_dir(spark, f"stream-{part}") for part in ("in", "tables", "log"))
+    config = PipelineConfig(root)
+    batch = fixtures.transactions(spark, sf_dir)
+    batch.write.parquet(raw)
+    stream = streams.stream_debit(streams.stream_files(spark, raw, batch.schema), AS_OF)
+    streams.stream_to_table(
+        stream, config, "debit_transactions_stream", log, partition_by=["ingestion_date"]
+    ).awaitTermination()
+    _store_salary(config, _salary(spark, sf_dir))
+    pipeline.run_silver(spark, config, debit_tables=["debit_transactions_stream"])
+    return _rounded_score(pipeline.run_gold(spark, config, AS_OF, at=AT)["score"])

@@ -78,6 +78,9 @@ SCORE_AUDIT = T.StructType(
 )
 
 
+# Streamed debits; a batch is a partition, which its repetition replaces.
+DEBIT_STREAM = T.StructType([*DEBIT_TRANSACTIONS, T.StructField("batch", T.LongType())])
+
 # Declared schema per stored table, so that reading one lists no file footers.
 STORED: dict[str, T.StructType] = {
     "salary_income": SALARY_INCOME,
@@ -88,9 +91,15 @@ STORED: dict[str, T.StructType] = {
     "debit_transactions_silver": DEBIT_SILVER,
     "score": SCORE,
     "score_audit": SCORE_AUDIT,
+    "debit_transactions_stream": DEBIT_STREAM,
 }
 
 
+def as_text(table: T.StructType) -> T.StructType:
+    """The delivered columns of ``table`` as text, for lenient casts later."""
+    return T.StructType([T.StructField(column.name, T.StringType()) for column in raw(table)])
+
+
 def raw(table: T.StructType) -> T.StructType:
     """The columns a source delivers: the table without its load stamp."""
     return T.StructType([column for column in table if column.name != INGESTION_DATE])

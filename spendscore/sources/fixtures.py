@@ -59,12 +59,11 @@ def salary_income(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.struct(F.lit(float(bump)).alias("bump"), F.lit(day).alias("pay_date"))
           for bump, day in PAY_DATES]
     )
-    customers = _read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 10 != 0)
-    return customers.select(
-        F.col("c_custkey").cast("int").alias("customer_id"),
-        F.col("c_acctbal"),
-        F.inline(pays),
-    ).select("customer_id", (F.col("c_acctbal") * 16.0 + F.col("bump")).alias("salary_amount"), "pay_date")
+    # every tenth salary is unknown
+    balance = F.when(F.col("c_custkey") % 10 != 0, F.col("c_acctbal"))
+    return _read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("int").alias("customer_id"), balance.alias("balance"), F.inline(pays)
+    ).select("customer_id", (F.col("balance") * 16.0 + F.col("bump")).alias("salary_amount"), "pay_date")
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +78,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def credit_card_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("o_totalprice")
-    return _read(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select(
+    return _read(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("int").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("statement_date"),
         total.alias("total_due"),

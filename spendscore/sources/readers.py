@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from spendscore.config import JdbcConfig, JdbcPartition, PipelineConfig, SourceSpec
+from spendscore.schemas import STORED, as_text
 
 
 def jdbc_options(
@@ -38,10 +40,20 @@ def read_jdbc(
     table: str,
     partition: JdbcPartition | None = None,
     options: Mapping[str, str] | None = None,
+    predicates: Sequence[str] = (),
 ) -> DataFrame:
-    """One database table. Without a partition a single task reads all of it."""
-    reader = spark.read.format("jdbc").options(**jdbc_options(config, table, partition))
-    return reader.options(**(options or {})).load()
+    """One database table.
+
+    A task reads a range of the ``partition`` column, or the rows of one of the
+    ``predicates``, which must not overlap; without either a single task reads all of it.
+    """
+    if partition is not None and predicates:
+        raise ValueError("give a partition column or predicates, not both")
+    settings = {**jdbc_options(config, table, partition), **(options or {})}
+    if predicates:
+        properties = {name: value for name, value in settings.items() if name not in ("url", "dbtable")}
+        return spark.read.jdbc(config.url, table, predicates=list(predicates), properties=properties)
+    return spark.read.format("jdbc").options(**settings).load()
 
 
 def read_files(
@@ -53,12 +65,13 @@ def read_files(
 ) -> DataFrame:
     """Files of any format Spark reads.
 
-    CSV has a header; without a schema its types are inferred, which reads the
-    data once more.
+    CSV has a header. With a schema it has to name the same columns, and nothing is read to
+    open the files; without one all columns are text, named after the first line. Types
+    are inferred, by a pass over the data, only where ``inferSchema`` asks for it.
     """
     defaults = {"header": "true"} if fmt == "csv" else {}
-    if fmt == "csv" and schema is None:
-        defaults["inferSchema"] = "true"
+    if fmt == "csv" and schema is not None:
+        defaults["enforceSchema"] = "false"
     reader = spark.read.format(fmt).options(**{**defaults, **options})
     return (reader if schema is None else reader.schema(schema)).load(path)
 
@@ -69,5 +82,12 @@ def read_source(spark: SparkSession, config: PipelineConfig, name: str) -> DataF
     if source.format == "jdbc":
         if config.jdbc is None:
             raise ValueError(f"source {name!r} is a JDBC table, but no connection is set")
-        return read_jdbc(spark, config.jdbc, source.location, source.partition, source.options)
-    return read_files(spark, source.location, source.format, **source.options)
+        if name == "transactions" and source.partition is None and not source.predicates:
+            warnings.warn("transactions are read by one task: set partition or predicates", stacklevel=2)
+        return read_jdbc(
+            spark, config.jdbc, source.location, source.partition, source.options, source.predicates
+        )
+    schema = source.schema
+    if schema is None and source.format == "csv" and "inferSchema" not in source.options and name in STORED:
+        schema = as_text(STORED[name])
+    return read_files(spark, source.location, source.format, schema, **source.options)

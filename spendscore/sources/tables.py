@@ -27,10 +27,10 @@ def read_table(
     reads the footers of all files.
     """
     reader, path = spark.read.format(config.table_format), config.table_path(name)
-    declared = STORED[name]
+    declared = STORED.get(name)
     if config.table_format == "delta":
         table = reader.load(path)
-    elif merge_schema:
+    elif merge_schema or declared is None:
         table = reader.option("mergeSchema", "true").load(path)
     else:
         table = reader.schema(declared).load(path).select(*declared.names)

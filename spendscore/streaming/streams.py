@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from spendscore.config import CATEGORY_RULES
+from spendscore.config import CATEGORY_RULES, PipelineConfig
 from spendscore.operators.bronze import conform_transactions, debit_transactions
+from spendscore.sources.tables import write_table
 
 
 def stream_files(
@@ -52,6 +53,7 @@ def write_stream(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     trigger: dict | None = None,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Append a stream to files, each row once also after a restart.
 
@@ -60,9 +62,46 @@ def write_stream(
     """
     writer = (
         df.writeStream.format(fmt)
-        .outputMode("append")
+        .outputMode(output_mode)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
+
+
+def stream_to_table(
+    df: DataFrame,
+    config: PipelineConfig,
+    name: str,
+    checkpoint: str,
+    *,
+    partition_by: Sequence[str] = (),
+    output_mode: str = "append",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Write a stream into a stored table that later steps read.
+
+    The table has a ``batch`` column and a partition per batch, which a repeated batch
+    replaces: a restart neither loses nor doubles rows. In mode "update" a batch holds
+    the rows that it has changed, see ``latest_rows``.
+    """
+
+    def store(rows: DataFrame, batch: int) -> None:
+        numbered = rows.withColumn("batch", F.lit(batch).cast("long"))
+        write_table(numbered, config, name, mode="replace_partition", partition_by=[*partition_by, "batch"])
+
+    return (
+        df.writeStream.foreachBatch(store)
+        .outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of a table that a stream in mode "update" has written, each key's newest row."""
+    values = [name for name in table.columns if name not in (*keys, "batch")]
+    newest = F.max_by(F.struct(*values), "batch").alias("_row")
+    return table.groupBy(*keys).agg(newest).select(*keys, "_row.*")

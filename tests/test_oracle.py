@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as spark_entry
+from spendscore.plans.oracle import ORACLE
+from spendscore.plans.queries import QUERIES
 from tests.check_oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -15,12 +17,12 @@ def connection():
     return connect(SF)
 
 
-def test_only_the_random_query_goes_without_sql():
-    assert set(spark_entry.queries()) - set(spark_entry.oracle_sql()) == {"audit_log"}
+def test_queries_have_sql():
+    assert set(QUERIES) == set(ORACLE)
     assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, connection, name):
     assert compare(spark, connection, name, SF) == []
 

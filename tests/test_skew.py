@@ -1,15 +1,17 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from spendscore.operators.quantiles import grouped_quantiles
 from spendscore.operators.skew import expand_copies, heavy_keys, split_heavy
 
 
 def test_heavy_keys_are_the_heaviest(spark):
     df = spark.createDataFrame([(k,) for k in [1] * 5 + [2] * 3 + [3] * 2 + [None] * 4], "k int")
     heavy = lambda **kw: [r["k"] for r in heavy_keys(df, ["k"], **kw).collect()]
-    assert heavy(hot_rows=2) == [1, None, 2]
-    assert heavy(hot_rows=0, max_hot=2) == [1, None]
+    assert sorted(heavy(hot_rows=2), key=str) == [1, 2, None]
+    assert len(heavy(hot_rows=0)) == 4
     assert heavy(hot_rows=5) == []
 
 
@@ -33,3 +35,10 @@ def test_large_groups_of_copies_are_spread_over_tasks(spark):
     spread = expand_copies(df, "n", block=1_000).groupBy(F.spark_partition_id().alias("p")).count()
     sizes = [r["count"] for r in spread.collect()]
     assert sum(sizes) == 100_000 and max(sizes) < 50_000
+
+
+def test_too_many_groups_are_not_broadcast(spark):
+    df = spark.range(60).selectExpr("id % 20 AS g", "id AS v")
+    assert grouped_quantiles(df, "g", "v", {"m": 0.5}, max_groups=20).count() == 20
+    with pytest.raises(Exception, match="more than 19 values to broadcast"):
+        grouped_quantiles(df, "g", "v", {"m": 0.5}, max_groups=19).collect()
