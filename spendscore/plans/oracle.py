@@ -505,7 +505,7 @@ _BODIES["stream_daily_spend_update"] = (
 # Where a second query takes another way to the same rows, it has the same SQL.
 for _other, _name in {
     "layered_histogram": "score_histogram", "reports_after_two_months": "score_histogram",
-    "layered_pivot": "pivot_months_sum", "stream_to_score": "gold_score",
+    "layered_pivot": "pivot_months_first", "stream_to_score": "gold_score",
 }.items():
     _BODIES[_other] = _BODIES[_name]
 for _name in ("total_spend_window", "rolling_3_rows"):
