@@ -12,9 +12,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from spendscore.llm.common import shipped
+from spendscore.llm.common import shipped, written
 
 SLICES = 32
 
@@ -101,3 +102,26 @@ def passing_once(on: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Where hashes may be repeated ones, by a ``repeated_filter``."""
     bits = int(len(on) * 8).bit_length() - 1
     return np.flatnonzero(_set(on, places(hashes, bits)[0]))
+
+
+#: Words of 64 places of a filter that is a table: at most 65,536 rows, 1 MB, to broadcast.
+TABLE_WORDS = 1 << 16
+
+
+def split_by_keys(df: DataFrame, keys: DataFrame, own: Column, key: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose hash ``own`` may be among the hashes ``key`` of ``keys``, and the rows for which it can't.
+
+    Only the first need to meet ``keys`` in a join, so wide rows without a key aren't
+    shuffled. Built-in expressions alone.
+    """
+    word = lambda h: F.pmod(F.shiftrightunsigned(h, 6), F.lit(TABLE_WORDS))
+    place = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
+    hashes = keys.select(key.alias("h"))
+    bit = F.expr("shiftleft(1L, cast(h & 63 AS int))")
+    table = written(
+        hashes.select(word(F.col("h")).alias("__word"), bit.alias("bit")).groupBy("__word").agg(F.bit_or("bit").alias("__bits")),
+        "key-filter",
+    )
+    marked = df.join(F.broadcast(table), word(own) == F.col("__word"), "left")
+    may = F.coalesce(F.getbit("__bits", place(own)) == 1, F.lit(False))
+    return marked.where(may).select(*[df[c] for c in df.columns]), marked.where(~may).select(*[df[c] for c in df.columns])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendscore.llm.common import removed, written_at
+from spendscore.llm.filters import split_by_keys
 
 #: Characters that do not count at either end of a line.
 BLANK = " \t\r"
@@ -84,11 +85,16 @@ def line_windows(
     text = F.col(text_col)
     lines = _lines(text)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__cuts"))
-    return (
-        rest.join(cuts, F.col(id_col).eqNullSafe(F.col("__cut_doc")) & (F.xxhash64(text) == F.col("__cut_mark")), "left")
+    key = F.xxhash64("__cut_doc", "__cut_mark")
+    touched, whole = split_by_keys(rest, cuts, F.xxhash64(F.col(id_col), F.xxhash64(text)), key)
+    changed = (
+        touched.join(cuts, F.col(id_col).eqNullSafe(F.col("__cut_doc")) & (F.xxhash64(text) == F.col("__cut_mark")), "left")
         .withColumn(counts[0], F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("long"))
         .withColumn(counts[1], F.coalesce(F.when(F.col("__cuts").isNotNull(), F.size("__cuts")), F.lit(0)).cast("long"))
         .withColumn(text_col, F.when(F.col("__cuts").isNull(), text).otherwise(
             F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")))
         .drop("__cut_doc", "__cut_mark", "__cuts")
     )
+    same = whole.withColumns({
+        counts[0]: F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("long"), counts[1]: F.lit(0).cast("long")})
+    return changed.unionByName(same)
