@@ -36,15 +36,21 @@ class CapFilters:
     blocks: int
     words: int
     height: float
+    sets: int = 1
     seed: int = 7
 
     @classmethod
-    def fitted(cls, dim: int, rows: int, cosine: float, hits: float = 14.0, bucket: int = 120, seed: int = 7):
-        """Filters for ``rows`` vectors.
+    def fitted(cls, dim: int, rows: int, cosine: float, hits: float = 20.0, sets: int = 4, bucket: int = 120, seed: int = 7):
+        """Filters for ``rows`` vectors, in ``sets`` of independent rotations and codewords.
+
+        Directions of one set hang together, so a few sets miss far fewer pairs than one of the
+        same number of directions.
 
         The cap is as high as leaves about ``bucket`` evenly spread vectors in each,
         and there are as many directions as let a pair at exactly ``cosine``
-        share ``hits`` of them on average. Both follow ``rows`` by one rule.
+        share ``hits`` of them on average. Both follow ``rows`` by one rule. The share of directions
+        is that of the normal distribution, which few components are far from: it is counted
+        over drawn directions there.
         """
         normal = NormalDist()
         share = min(0.02, max(1e-8, bucket / max(rows, 1)))
@@ -54,15 +60,22 @@ class CapFilters:
         density = np.exp(-grid * grid / 2) / np.sqrt(2 * np.pi)
         beyond = np.array([1 - normal.cdf((z - cosine * x) / rest) for x in grid])
         both = float((density * beyond).sum() * (grid[1] - grid[0]))
-        count = hits / max(both, 1e-30)
+        height = z / dim**0.5
+        if dim < 24:
+            height = min(height, 0.75)
+            drawn = np.random.default_rng(seed).standard_normal((100_000, max(dim, 2)))[:, :dim]
+            drawn /= np.linalg.norm(drawn, axis=1, keepdims=True)
+            other = drawn[:, 0] if dim == 1 else cosine * drawn[:, 0] + rest * drawn[:, 1]
+            both = max(1e-4, float(((drawn[:, 0] >= height) & (other >= height)).mean()))
+        count = hits / sets / max(both, 1e-30)
         blocks = 1 if dim < 8 else 2 if count <= 1e6 or dim < 24 else 3
-        return cls(dim, blocks, int(np.ceil(count ** (1 / blocks))), z / dim**0.5, seed)
+        return cls(dim, blocks, int(np.ceil(count ** (1 / blocks))), height, sets, seed)
 
 
-@functools.lru_cache(maxsize=4)
-def _directions(filters: CapFilters) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The rotation and the codewords of every block."""
-    random = np.random.default_rng(filters.seed)
+@functools.lru_cache(maxsize=64)
+def _directions(filters: CapFilters, turn: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The rotation and the codewords of every block of one set."""
+    random = np.random.default_rng([filters.seed, turn])
     rotation = np.linalg.qr(random.standard_normal((filters.dim, filters.dim)))[0]
     words = []
     for part in np.array_split(np.arange(filters.dim), filters.blocks):
@@ -73,7 +86,13 @@ def _directions(filters: CapFilters) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def decode(filters: CapFilters, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, direction) for every direction whose cap holds the row."""
-    rotation, words = _directions(filters)
+    found = [_decode(filters, unit, turn) for turn in range(filters.sets)]
+    size = filters.words**filters.blocks
+    return (np.concatenate([row for row, _ in found]), np.concatenate([code + turn * size for turn, (_, code) in enumerate(found)]))
+
+
+def _decode(filters: CapFilters, unit: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    rotation, words = _directions(filters, turn)
     turned = unit @ rotation
     parts = np.array_split(np.arange(filters.dim), filters.blocks)
     scores = [turned[:, part] @ w.T for part, w in zip(parts, words)]
@@ -156,7 +175,7 @@ def near_vectors(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     cosine: float = 0.95,
-    hits: float = 14.0,
+    hits: float = 20.0,
     chunk: int = CHUNK,
     seed: int = 7,
 ) -> DataFrame:
@@ -174,8 +193,9 @@ def near_vectors(
     """
     spark = shipped(vectors.sparkSession)
     rows, _ = written_at(
-        vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-        .mapInPandas(_classes, "id long, cls string, dim int, unit binary"),
+        vectors.select(F.col(id_col).cast("long").cast("string").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+        .mapInPandas(_classes, "id string, cls string, dim int, unit binary")
+        .withColumn("id", F.col("id").cast("long")),
         "vectors",
     )
     classes, classes_at = written_at(
