@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscore.llm.common import in_training, shipped, written
+from spendscore.llm.filters import split_by_keys
 
 #: Numbered words and shapes, at most VOCABULARY^3 trigrams (8 MB of floats); of them so many shapes, which
 #: occur in this share of the trusted documents.
@@ -32,7 +33,7 @@ QUANTILE = 0.95
 SLACK, SHORT = 1.3, 2.5
 #: The share of trusted documents, by the likelihood of their single words, that is not learned from.
 TRIMMED = 0.08
-WORD_CACHE = 300_000
+WORD_CACHE = 100_000
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
@@ -86,12 +87,16 @@ def _word_counts(batches):
     yield pd.DataFrame(counts.items(), columns=["word", "n"])
 
 
-def _gram_counts(batches, vocabulary, width: int):
+def _gram_counts(batches, vocabulary, width: int, trim):
+    """Trigrams of this task's texts but those that ``trim`` (log probabilities of words, limits by language) drops."""
     numbers = _numbers(vocabulary)
     total = np.zeros(width**3, np.int64)
     for pdf in batches:
-        for text in pdf["text"]:
-            grams, n = np.unique(trigrams(text, numbers, width), return_counts=True)
+        for lang, text in zip(pdf["lang"], pdf["text"]):
+            ids = trigrams(text, numbers, width)
+            if trim is not None and len(ids) and -trim[0][ids % width].mean() > trim[1].get(lang, np.inf):
+                continue
+            grams, n = np.unique(ids, return_counts=True)
             total[grams] += n
     some = np.flatnonzero(total)
     yield pd.DataFrame({"gram": some, "n": total[some]})
@@ -139,14 +144,15 @@ def _order(counts: DataFrame, lower: DataFrame | None, width: int, shared: str)
     )
 
 
-def kneser_ney(trusted: DataFrame, vocabulary: tuple[str, ...], others: int = 1) -> np.ndarray:
+def kneser_ney(trusted: DataFrame, vocabulary: tuple[str, ...], others: int = 1, trim=None) -> np.ndarray:
     """Log probability of every trigram, as a table of a size that the vocabulary fixes.
 
     A word without a number is one of ``others`` shapes and pays for which.
     """
-    spark, width = trusted.sparkSession, len(vocabulary)
+    width = len(vocabulary)
     three = written(
-        trusted.select("text").mapInPandas(functools.partial(_gram_counts, vocabulary=vocabulary, width=width), "gram long, n long")
+        trusted.select("lang", "text")
+        .mapInPandas(functools.partial(_gram_counts, vocabulary=vocabulary, width=width, trim=trim), "gram long, n long")
         .groupBy("gram").agg(F.sum("n").alias("n")),
         "trigrams",
     )
@@ -181,28 +187,26 @@ def _unigram_counts(batches, vocabulary):
     yield pd.DataFrame({"word": np.arange(width), "n": total})
 
 
-def _unlikely(batches, vocabulary, logs):
-    """Mean surprise of a text's single words."""
+def _surprises(batches, vocabulary, logs):
+    """Mean surprise of each text's single words."""
     numbers, width = _numbers(vocabulary), len(vocabulary)
     for pdf in batches:
         words = [trigrams(t, numbers, width) % width for t in pdf["text"]]
         pdf["surprise"] = [float(-logs[w].mean()) if len(w) else None for w in words]
-        yield pdf[["id", "lang", "text", "surprise"]]
+        yield pdf[["lang", "surprise"]]
 
 
-def learned_from(trusted: DataFrame, vocabulary: tuple[str, ...], trimmed: float = TRIMMED) -> DataFrame:
-    """The trusted rows without those whose single words are the least likely of their language."""
+def trimming(trusted: DataFrame, vocabulary: tuple[str, ...], trimmed: float = TRIMMED) -> tuple[np.ndarray, dict[str | None, float]]:
+    """Log probabilities of the vocabulary's words, and by language the mean surprise beyond which a text isn't learned from."""
     rows = trusted.select("text").mapInPandas(functools.partial(_unigram_counts, vocabulary=vocabulary), "word long, n long")
     counts = np.ones(len(vocabulary))
     for row in rows.groupBy("word").agg(F.sum("n").alias("n")).collect():
         counts[row["word"]] += row["n"]
-    judged = written(
-        trusted.mapInPandas(functools.partial(_unlikely, vocabulary=vocabulary, logs=np.log(counts / counts.sum())),
-                            "id string, lang string, text string, surprise double").where("surprise IS NOT NULL"),
-        "judged",
-    )
-    limits = written(judged.groupBy("lang").agg(F.percentile_approx("surprise", 1 - trimmed, 10_000).alias("most")), "trim")
-    return judged.join(limits.withColumnRenamed("lang", "of"), F.col("lang").eqNullSafe(F.col("of"))).where("surprise <= most").select("text")
+    logs = np.log(counts / counts.sum())
+    judged = trusted.select("lang", "text").mapInPandas(
+        functools.partial(_surprises, vocabulary=vocabulary, logs=logs), "lang string, surprise double").where("surprise IS NOT NULL")
+    limits = judged.groupBy("lang").agg(F.percentile_approx("surprise", 1 - trimmed, 10_000).alias("most")).collect()
+    return logs, {r["lang"]: r["most"] for r in limits}
 
 
 def _perplexities(batches, vocabulary, table, width: int):
@@ -240,10 +244,10 @@ def quality(
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = labels.where(in_training(id_col) & (F.col(label_col) == 1)).select(F.col(id_col).alias("id"))
-    trusted = written(own.join(known, "id").select(F.col("id").cast("string").alias("id"), "lang", "text"), "trusted")
+    labelled, _ = split_by_keys(own, known, F.xxhash64("id"), F.xxhash64("id"))
+    trusted = written(labelled.join(known.hint("merge"), "id").select("lang", "text"), "trusted")
     vocabulary, others = vocabulary_of(trusted, size)
-    learned = written(learned_from(trusted, vocabulary), "learned")
-    table = spark.sparkContext.broadcast(kneser_ney(learned, vocabulary, others))
+    table = spark.sparkContext.broadcast(kneser_ney(trusted, vocabulary, others, trimming(trusted, vocabulary)))
     scored = written(
         own.withColumn("id", F.col("id").cast("string")).mapInPandas(
             functools.partial(_perplexities, vocabulary=vocabulary, table=table, width=len(vocabulary)),

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendscore.llm.common import held_out, in_training, shipped, written
+from spendscore.llm.filters import split_by_keys
 
 # Letters of other scripts that look like Latin ones, and signs used for letters.
 HOMOGLYPHS = {
@@ -187,7 +188,8 @@ def toxicity(
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     known = labels.where(in_training(id_col) & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
-    lexicon = learned_lexicon(written(own.join(known, "id"), "labelled"))
+    labelled, _ = split_by_keys(own, known, F.xxhash64("id"), F.xxhash64("id"))
+    lexicon = learned_lexicon(written(labelled.join(known.hint("merge"), "id").select("text", "toxic"), "labelled"))
     entries = spark.sparkContext.broadcast(tuple(sorted(lexicon.items())))
     kind = docs.schema[id_col].dataType.simpleString()
     features = written(
