@@ -37,71 +37,33 @@ def passing(on: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return at[_set(on, places(hashes[at], bits)[1]).astype(bool)]
 
 
-def _sliced(arrays: list[np.ndarray]):
-    packed = [np.array_split(np.packbits(x, bitorder="little"), SLICES) for x in arrays]
-    return pd.DataFrame({"slice": range(SLICES)} | {f"p{k}": [zlib.compress(x.tobytes(), 1) for x in p] for k, p in enumerate(packed)})
-
-
 def _member_part(batches, bits: int):
     on = np.zeros(1 << bits, bool)
     for pdf in batches:
         for at in places(pdf["hash"].to_numpy().view(np.uint64), bits):
             on[at] = True
-    yield _sliced([on])
+    parts = np.array_split(np.packbits(on, bitorder="little"), SLICES)
+    yield pd.DataFrame({"slice": range(SLICES), "bits": [zlib.compress(x.tobytes(), 1) for x in parts]})
 
 
-def _repeated_part(batches, bits: int):
-    once, more = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+def _united(batches):
+    whole: dict[int, np.ndarray] = {}
     for pdf in batches:
-        hashes = np.concatenate([np.empty(0, np.int64), *pdf["hashes"]]).view(np.uint64)
-        at, n = np.unique(places(hashes, bits)[0], return_counts=True)
-        more[at] |= once[at] | (n > 1)
-        once[at] = True
-    yield _sliced([once, more])
-
-
-def _united(batches, repeated: bool):
-    whole: dict[int, list[np.ndarray]] = {}
-    for pdf in batches:
-        for row in pdf.itertuples(index=False):
-            part = [np.frombuffer(zlib.decompress(x), np.uint8) for x in row[1:]]
-            if row[0] not in whole:
-                whole[row[0]] = part
-            elif repeated:
-                once, more = whole[row[0]]
-                whole[row[0]] = [once | part[0], more | part[1] | (once & part[0])]
-            else:
-                whole[row[0]] = [whole[row[0]][0] | part[0]]
-    for k, parts in whole.items():
-        yield pd.DataFrame({"slice": [k], "bits": [parts[-1].tobytes()]})
-
-
-def _gathered(parts: DataFrame, bits: int, repeated: bool) -> np.ndarray:
-    rows = parts.repartition(SLICES, "slice").mapInPandas(
-        functools.partial(_united, repeated=repeated), "slice int, bits binary").collect()
-    if not rows:
-        return np.zeros(1 << (bits - 3), np.uint8)
-    return np.concatenate([np.frombuffer(r["bits"], np.uint8) for r in sorted(rows, key=lambda r: r["slice"])])
+        for k, data in zip(pdf["slice"], pdf["bits"]):
+            part = np.frombuffer(zlib.decompress(data), np.uint8)
+            whole[k] = whole[k] | part if k in whole else part
+    for k, part in whole.items():
+        yield pd.DataFrame({"slice": [k], "bits": [part.tobytes()]})
 
 
 def member_filter(hashes: DataFrame, bits: int) -> np.ndarray:
     """A filter that all values of the column ``hash`` pass."""
     shipped(hashes.sparkSession)
-    parts = hashes.select("hash").mapInPandas(functools.partial(_member_part, bits=bits), "slice int, p0 binary")
-    return _gathered(parts, bits, False)
-
-
-def repeated_filter(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A filter, by the first place alone, that all values pass which the arrays ``hashes`` hold more than once."""
-    shipped(hashes.sparkSession)
-    parts = hashes.select("hashes").mapInPandas(functools.partial(_repeated_part, bits=bits), "slice int, p0 binary, p1 binary")
-    return _gathered(parts, bits, True)
-
-
-def passing_once(on: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Where hashes may be repeated ones, by a ``repeated_filter``."""
-    bits = int(len(on) * 8).bit_length() - 1
-    return np.flatnonzero(_set(on, places(hashes, bits)[0]))
+    parts = hashes.select("hash").mapInPandas(functools.partial(_member_part, bits=bits), "slice int, bits binary")
+    rows = parts.repartition(SLICES, "slice").mapInPandas(_united, "slice int, bits binary").collect()
+    if not rows:
+        return np.zeros(1 << (bits - 3), np.uint8)
+    return np.concatenate([np.frombuffer(r["bits"], np.uint8) for r in sorted(rows, key=lambda r: r["slice"])])
 
 
 #: Words of 64 places of a filter that is a table: at most 65,536 rows, 1 MB, to broadcast.

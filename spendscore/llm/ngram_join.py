@@ -7,11 +7,12 @@ things keep the product small, none of which loses a link:
 * Equal rows are one row (a class), whatever the number of copies.
 * Columns are ordered from rare to frequent. Two rows that are similar enough share
   one of their first ``size - needed + 1`` columns, so only these enter the first product.
-* A pair is dropped as soon as the sizes and the positions of a shared column bound
-  its overlap below what the threshold needs.
+* A pair is dropped as soon as its sizes and the first shared column bound its overlap
+  below what the threshold needs; and then if the parities of the two rows' hash bins
+  differ in more places than the rows may.
 
-The first product runs by blocks of columns and is taken with one row of each column,
-the same for many columns, so it yields one pair per entry at most. Its verified links make
+The first product runs by blocks of columns and is taken with a few rows of each column,
+the same for many columns, so it yields a bounded number of pairs per entry. Its verified links make
 components; the second product then takes only pairs of a column that lie in
 different components. Overlaps are counted over the whole rows in the end.
 """
@@ -24,17 +25,22 @@ import zlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendscore.llm.common import mixed, removed, shipped, written_at
 from spendscore.llm.components import connected
+from spendscore.llm.filters import SLICES, member_filter, passing
 
-#: Counters of the frequency sketch that orders the columns (a fixed size, 4 bytes each).
-SKETCH_BITS = 21
+#: Counters of the frequency sketch that orders the columns (a fixed size, 4 bytes each). It need only tell
+#: frequent columns from others; the order among rare ones is that of their hashes at any size.
+SKETCH_BITS = 18
 #: Words whose hash is kept between rows; more are forgotten and hashed again.
-WORD_CACHE = 400_000
-SLICES = 32
+WORD_CACHE = 100_000
+#: Places of the filters that spare columns of one row, and texts of no pair, a shuffle (4 and 2 MB).
+COLUMN_BITS, TEXT_BITS = 25, 24
+#: Rows of a column that all its others are held against in the first product.
+HUBS = 16
 
 
 class _Words(dict):
@@ -48,23 +54,41 @@ class _Words(dict):
 _WORDS = _Words()
 
 
-def shingles(text: str | None, length: int) -> np.ndarray:
-    """Distinct hashes of the word shingles of a text, ascending.
-
-    Words are runs of other characters than space and U+0009 to U+000D, A-Z lower-cased. A text with
-    fewer words than ``length`` has its whole sequence as the one shingle, one
-    without words has none.
-    """
+def _every_shingle(text: str | None, length: int) -> np.ndarray:
+    """Hashes of the word shingles of a text, in order."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
     hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     span = min(length, len(words))
+    n = len(words) - span + 1
     with np.errstate(over="ignore"):
-        total = np.full(len(words) - span + 1, span, np.uint64)
+        total = np.full(n, span, np.uint64)
         for k in range(span):
-            total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(words) - span + 1 + k])
-    return np.unique(total)
+            total *= np.uint64(0x9E3779B97F4A7C15)
+            total += hashes[k : n + k]
+            total ^= total >> np.uint64(29)
+    return mixed(total)
+
+
+def shingles(text: str | None, length: int) -> np.ndarray:
+    """Distinct hashes of the word shingles of a text, ascending.
+
+    Words are runs of other characters than space and U+0009 to U+000D, A-Z lower-cased. A text with
+    fewer words than ``length`` has its whole sequence as the one shingle, one
+    without words has none.
+    """
+    return np.unique(_every_shingle(text, length))
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """Of at least as many hash bins as the set has members: whether each holds an odd number.
+
+    Two sets differ in at least as many members as their parities do in bins.
+    """
+    bins = max(64, 1 << int(len(own) - 1).bit_length())
+    odd = np.bincount((own & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
 def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -75,26 +99,28 @@ def _sketched(batches, length: int, bits: int):
     """How often each counter is hit by the rows of this task, in slices."""
     counts = np.zeros(1 << bits, np.uint32)
     for pdf in batches:
-        hit = [_bucket(shingles(text, length), bits) for text in pdf["text"]]
-        if hit:
-            counts += np.bincount(np.concatenate(hit), minlength=1 << bits).astype(np.uint32)
+        for start in range(0, len(pdf), 1000):
+            hit = [_bucket(_every_shingle(text, length), bits) for text in pdf["text"].iloc[start : start + 1000]]
+            at, n = np.unique(np.concatenate(hit), return_counts=True)
+            counts[at] += n.astype(np.uint32)
     parts = [zlib.compress(part.tobytes(), 1) for part in np.array_split(counts, SLICES)]
     yield pd.DataFrame({"slice": range(SLICES), "counts": parts})
 
 
 def _added(batches):
-    """The sums of the slices that reach this task."""
+    """The sums of the slices that reach this task, on a logarithmic scale of a byte."""
     sums: dict[int, np.ndarray] = {}
     for pdf in batches:
         for k, data in zip(pdf["slice"], pdf["counts"]):
             part = np.frombuffer(zlib.decompress(data), np.uint32).astype(np.uint64)
             sums[k] = sums[k] + part if k in sums else part
     for k, part in sums.items():
-        yield pd.DataFrame({"slice": [k], "counts": [np.minimum(part, 2**32 - 1).astype(np.uint32).tobytes()]})
+        scaled = np.minimum(255, 8 * np.log2(1 + part.astype(np.float64))).astype(np.uint8)
+        yield pd.DataFrame({"slice": [k], "counts": [scaled.tobytes()]})
 
 
 def column_counts(docs: DataFrame, length: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """An upper bound of the number of documents of every shingle, by the top bits of its hash.
+    """About how often every shingle occurs, by the top bits of its hash, on a logarithmic scale of a byte.
 
     Only the order of the columns follows from it: a crowded counter costs time, never a link.
     """
@@ -103,8 +129,8 @@ def column_counts(docs: DataFrame, length: int, bits: int = SKETCH_BITS) -> np.n
     )
     rows = sketched.repartition(SLICES, "slice").mapInPandas(_added, "slice int, counts binary").collect()
     if not rows:
-        return np.zeros(1 << bits, np.uint32)
-    return np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in sorted(rows, key=lambda r: r["slice"])])
+        return np.zeros(1 << bits, np.uint8)
+    return np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in sorted(rows, key=lambda r: r["slice"])])
 
 
 def _needed(size, percent: int):
@@ -112,57 +138,99 @@ def _needed(size, percent: int):
     return -(-percent * size // 100)
 
 
+def _objects(values: list) -> pd.Series:
+    """A column of arrays or bytes, also of none."""
+    return pd.Series(values, dtype=object)
+
+
 def _rows(batches, length: int, percent: int, bits: int, counts):
-    """Per document: set size, a digest of the set, and its rarest columns in order."""
+    """Per document: set size, a digest of the set, its rarest columns in order, and its parities."""
     frequency = counts.value
     for pdf in batches:
-        sizes, digests, prefixes = [], [], []
+        sizes, digests, prefixes, odd = [], [], [], []
         for text in pdf["text"]:
             own = shingles(text, length)
             n = len(own)
             sizes.append(n)
-            digests.append(xxhash.xxh128_hexdigest(own.tobytes()) if n else None)
+            digests.append(xxhash.xxh128_digest(own.tobytes()) if n else None)
             if not n or _needed(n, percent) == n == 100 * n // percent:  # similar rows are equal rows
                 prefixes.append(np.empty(0, np.int64))
+                odd.append(np.empty(0, np.int64))
                 continue
-            often = frequency[_bucket(own, bits)]
             keep = n - _needed(n, percent) + 1
-            rarest = np.lexsort((own, often))[:keep]
-            prefix = own[rarest].view(np.int64)
-            prefixes.append(prefix)
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": sizes, "cls": digests, "prefix": prefixes})
+            often = frequency[_bucket(own, bits)]
+            few = np.flatnonzero(often <= np.partition(often, keep - 1)[keep - 1])
+            rarest = few[np.lexsort((own[few], often[few]))[:keep]]
+            prefixes.append(own[rarest].view(np.int64))
+            odd.append(parities(own))
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": sizes, "cls": digests, "prefix": _objects(prefixes), "odd": _objects(odd)})
 
 
-def _sets(batches, length: int):
-    """The whole sets of documents."""
+def _entries(batches, several):
+    """The columns of each class that another class may have too, with their positions."""
+    on = several.value
     for pdf in batches:
-        sets = [shingles(text, length) for text in pdf["text"]]
-        digests = [xxhash.xxh128_hexdigest(s.tobytes()) if len(s) else None for s in sets]
-        yield pd.DataFrame({"cls": digests, "shingles": [s.view(np.int64) for s in sets]})
+        prefixes = [np.asarray(p, np.int64) for p in pdf["prefix"]]
+        at = [passing(on, p.view(np.uint64)) for p in prefixes]
+        some = [i for i, k in enumerate(at) if len(k)]
+        out = pdf[["cls", "doc_id", "n"]].iloc[some].reset_index(drop=True)
+        out["col"] = _objects([prefixes[i][at[i]] for i in some])
+        out["pos"] = _objects([at[i].astype(np.int32) for i in some])
+        yield out
 
 
-def _bound(percent: int) -> str:
-    """Whether sizes and positions leave room for the overlap that the threshold needs."""
+def _sets(batches, length: int, wanted):
+    """The whole sets of the documents whose ids pass the filter."""
+    for pdf in batches:
+        chosen = passing(wanted.value, pdf["hash"].to_numpy().view(np.uint64))
+        sets = [shingles(text, length) for text in pdf["text"].iloc[chosen]]
+        digests = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+        yield pd.DataFrame({"cls": _objects(digests), "shingles": _objects([s.view(np.int64) for s in sets])})
+
+
+def _fits(percent: int) -> str:
+    """Whether rows x and y are similar enough, if this is the first column they share, for all that is known of it."""
     return (
         f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND "
-        "least(x.pos, y.pos) + 1 + least(x.n - x.pos, y.n - y.pos) - 1"
-        f" >= ceil({percent} * (x.n + y.n) / {100 + percent}.0)"
+        f"least(x.n - x.pos, y.n - y.pos) >= ceil({percent} * (x.n + y.n) / {100 + percent}.0)"
+    )
+
+
+def _parities_fit(percent: int) -> str:
+    """Whether the parities of x and y differ in no more bins than similar sets may; the larger one is folded."""
+
+    def folded(own: str, other: str) -> str:
+        half = f"cast(size({own}.odd) / 2 AS int)"
+        return (f"if(size({own}.odd) > size({other}.odd), zip_with(slice({own}.odd, 1, {half}), "
+                f"slice({own}.odd, {half} + 1, {half}), (p, q) -> p ^ q), {own}.odd)")
+
+    return (
+        f"aggregate(zip_with({folded('x', 'y')}, {folded('y', 'x')}, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+        f" <= x.n + y.n - 2 * ceil({percent} * (x.n + y.n) / {100 + percent}.0)"
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
+PAIR = ("x.cls AS a", "y.cls AS b", "x.doc_id AS doc_a", "y.doc_id AS doc_b")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, str]:
     """The pairs (a, b) of classes that are similar enough, by their whole sets.
 
     ``pairs`` also names a document of each class, so that only texts of classes in a
-    pair are read again.
+    pair are cut into shingles again.
     """
-    ends = pairs.select(F.col("a").alias("cls"), F.col("doc_a").alias("doc_id")).unionAll(
-        pairs.select(F.col("b").alias("cls"), F.col("doc_b").alias("doc_id"))
-    ).distinct()
-    texts = docs.join(ends.select("doc_id").distinct(), "doc_id", "left_semi")
+    spark = docs.sparkSession
+    if pairs.isEmpty():
+        return written_at(pairs.select("a", "b"), "similar")
+    ends, ends_at = written_at(
+        pairs.select(F.col("a").alias("cls"), F.col("doc_a").alias("doc_id")).unionAll(
+            pairs.select(F.col("b").alias("cls"), F.col("doc_b").alias("doc_id"))).distinct(),
+        "ends",
+    )
+    of_id = F.xxhash64(F.col("doc_id").cast("long")).alias("hash")
+    wanted = spark.sparkContext.broadcast(member_filter(ends.select(of_id), TEXT_BITS))
     sets, sets_at = written_at(
-        texts.select("text")
-        .mapInPandas(functools.partial(_sets, length=length), "cls string, shingles array<long>")
+        docs.select(of_id, "text").mapInPandas(functools.partial(_sets, length=length, wanted=wanted), "cls binary, shingles array<long>")
         .join(ends.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]),
         "sets",
     )
@@ -174,7 +242,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> D
         .select("a", "b"),
         "similar",
     )
-    removed(docs.sparkSession, sets_at)
+    removed(spark, sets_at, ends_at)
     return links, links_at
 
 
@@ -199,54 +267,69 @@ def ngram_join(
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     spark = shipped(docs.sparkSession)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    own = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counts = spark.sparkContext.broadcast(column_counts(own, length, sketch_bits))
     rows, _ = written_at(
         own.mapInPandas(
             functools.partial(_rows, length=length, percent=percent, bits=sketch_bits, counts=counts),
-            "doc_id long, n long, cls string, prefix array<long>",
-        ),
+            "doc_id string, n long, cls binary, prefix array<long>, odd array<long>",
+        ).withColumn("doc_id", F.col("doc_id").cast("long")),
         "rows",
     )
-    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+    classes, classes_at = written_at(
+        rows.where("cls IS NOT NULL AND size(prefix) > 0").groupBy("cls").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd")),
+        "classes",
     )
-    entries, entries_at = written_at(
-        classes.select("cls", "doc_id", "n", F.posexplode("prefix").alias("pos", "col")), "entries"
+    several, several_at = written_at(
+        classes.select(F.explode("prefix").alias("col")).groupBy("col").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("col"),
+        "several",
     )
-    # The same hub for many columns: the class whose digest comes first.
-    hubs, hubs_at = written_at(
-        entries.groupBy("col").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("cls", "doc_id", "n", "pos")).alias("hub"))
-        .where("members > 1").select("col", "hub.*"),
-        "hubs",
+    # Columns of one row alone are left out before anything but their hashes is shuffled.
+    on = spark.sparkContext.broadcast(member_filter(several.select(F.col("col").alias("hash")), COLUMN_BITS))
+    shared, shared_at = written_at(
+        classes.select("cls", F.col("doc_id").cast("string"), "n", "prefix")
+        .mapInPandas(functools.partial(_entries, several=on), "cls binary, doc_id string, n long, col array<long>, pos array<int>")
+        .select("cls", F.col("doc_id").cast("long").alias("doc_id"), "n", F.explode(F.arrays_zip("col", "pos")).alias("e"))
+        .select("cls", "doc_id", "n", "e.*").join(several, "col"),
+        "shared",
     )
-    shared, shared_at = written_at(entries.join(hubs.select("col"), "col", "left_semi"), "shared")
-    star = (
-        shared.alias("y").join(hubs.alias("x"), "col").where("x.cls <> y.cls AND " + _bound(percent))
-        .selectExpr("x.cls AS a", "y.cls AS b", "x.doc_id AS doc_a", "y.doc_id AS doc_b").distinct()
+    # The same hubs for many columns: the classes whose digests come first. Ranks are cut before the shuffle.
+    turn = F.row_number().over(Window.partitionBy("col").orderBy("cls"))
+    hubs, hubs_at = written_at(shared.withColumn("turn", turn).where(F.col("turn") <= HUBS).drop("turn"), "hubs")
+    odd = lambda end: classes.select(F.col("cls").alias(end), F.struct("n", "odd").alias(f"_{end}"))
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """Pairs whose parities fit."""
+        fit = _parities_fit(percent).replace("x.", "_a.").replace("y.", "_b.")
+        return pairs.join(odd("a"), "a").join(odd("b"), "b").where(fit).select("a", "b", "doc_a", "doc_b")
+
+    star, star_at = written_at(
+        shared.alias("y").join(hubs.alias("x"), "col").where("x.cls < y.cls AND " + _fits(percent)).selectExpr(*PAIR).distinct(),
+        "star-pairs",
     )
-    pairs, pairs_at = written_at(star, "star-pairs")
+    pairs, pairs_at = written_at(near(star), "near-star-pairs")
     links, links_at = _verified(pairs, own, length, percent)
     roots = connected(links)
-    # What is left: pairs of a column in different components, the hub's own pairs being done.
+    # What is left: pairs of a column in different components, the hubs' own pairs being done.
     placed, placed_at = written_at(
-        shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .withColumn("root", F.coalesce("root", "cls")),
+        shared.join(hubs.select("col", "cls"), ["col", "cls"], "left_anti")
+        .join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")),
         "placed",
     )
-    open_columns = placed.groupBy("col").agg(F.min("root").alias("r"), F.max("root").alias("s"),
-                                             F.min("cls").alias("hub_cls")).where("r <> s")
-    open_columns, open_at = written_at(open_columns.select("col", "hub_cls"), "open-columns")
-    rest, rest_at = written_at(placed.join(open_columns, "col").where("cls <> hub_cls"), "open-entries")
-    across = (
+    open_columns, open_at = written_at(
+        placed.groupBy("col").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("col"), "open-columns")
+    rest, rest_at = written_at(
+        placed.join(open_columns, "col", "left_semi").join(classes.select("cls", "odd"), "cls"), "open-entries")
+    more_pairs, more_at = written_at(
         rest.alias("x").join(rest.alias("y"), "col")
-        .where("x.cls < y.cls AND x.root <> y.root AND " + _bound(percent))
-        .selectExpr("x.cls AS a", "y.cls AS b", "x.doc_id AS doc_a", "y.doc_id AS doc_b").distinct()
+        .where(f"x.cls < y.cls AND x.root <> y.root AND {_fits(percent)} AND {_parities_fit(percent)}").selectExpr(*PAIR).distinct(),
+        "more-pairs",
     )
-    more_pairs, more_at = written_at(across, "more-pairs")
     more, found_at = _verified(more_pairs, own, length, percent)
-    done, _ = written_at(links.unionAll(more), "all-links")
-    roots = connected(done)
+    if not more.isEmpty():
+        links, _ = written_at(links.unionAll(more), "all-links")
+        roots = connected(links)
     by_class = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
     placed_classes, _ = written_at(
         by_class.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
@@ -255,7 +338,7 @@ def ngram_join(
     )
     names = placed_classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named, _ = written_at(placed_classes.join(names, "root").select("cls", "component_id"), "named")
-    removed(spark, entries_at, hubs_at, shared_at, pairs_at, links_at, placed_at, open_at, rest_at, more_at, found_at)
+    removed(spark, classes_at, several_at, shared_at, hubs_at, star_at, pairs_at, links_at, placed_at, open_at, rest_at, more_at, found_at)
     return rows.join(named, "cls", "left").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
