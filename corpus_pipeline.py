@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from spendscore.llm.common import table, written
 from spendscore.llm.decontaminate import contaminated
+from spendscore.llm.filters import split_by_keys
 from spendscore.llm.language import UNDETERMINED, languages
 from spendscore.llm.line_windows import line_windows
 from spendscore.llm.mixing import mixed_sources
@@ -28,9 +29,10 @@ LEAST_SCORE = 0.02
 
 
 def _without(docs: DataFrame, ids: DataFrame, purpose: str) -> DataFrame:
-    """``docs`` without those of ``ids``. The ids are written first, so Spark knows their size when it plans."""
+    """``docs`` without those of ``ids``; texts that can't be meant are not shuffled."""
     gone = written(ids.select(F.col("doc_id").alias("__gone")).where("__gone IS NOT NULL").distinct(), purpose)
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    may, can_not = split_by_keys(docs, gone, F.xxhash64("doc_id"), F.xxhash64("__gone"))
+    return may.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").unionByName(can_not)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = _without(docs, found.where("doc_id <> component_id"), "near-duplicates")
     repeated = written(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                        .select(F.col("doc_id").alias("__again")), "repeated-ids")
-    again = kept["doc_id"] == repeated["__again"]
+    again = F.col("doc_id") == F.col("__again")
     return kept.join(repeated, again, "left_anti").unionByName(
         kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"]))
 

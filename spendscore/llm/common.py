@@ -16,13 +16,20 @@ from spendscore.sources.workdir import work_dir
 #: Bytes of a shuffle partition that is still handled well by one task.
 PARTITION_BYTES = 64 << 20
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The driver's own copies of what ``shipped`` serves, removed when it ends.
 _ARCHIVES: list[tempfile.TemporaryDirectory] = []
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """The session, after handing this package to the Python workers once (like ``--py-files``)."""
+    """The session, made ready for Python workers.
+
+    They get this package once (like ``--py-files``) and, unless the launcher has said otherwise,
+    texts in batches small enough to hold a few copies of.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     if not any("/spendscore-llm-" in file for file in context.listFiles):
         package = Path(__file__).resolve().parents[1]
         _ARCHIVES.append(folder := tempfile.TemporaryDirectory(prefix="spendscore-"))

@@ -17,11 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import held_out, in_training, shipped
+from spendscore.llm.common import held_out, in_training, shipped, written
 
 #: A language's labelled text: at most so many documents, so many characters of each, and so
 #: many characters in all. This bounds the model whatever the table's size.
-SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 120, 1_500, 40_000
+SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 80, 1_500, 24_000
 #: Letters told apart; all others count as one, and runs of other characters as a space.
 ALPHABET = 60
 #: Characters parsed as one piece. A phrase ends where a piece does, for every language alike.
@@ -151,7 +151,7 @@ class Model:
         return out
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _model(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(dict(samples))
 
@@ -175,6 +175,7 @@ def learned_samples(
         F.xxhash64(F.lit("language"), id_col).alias("draw"),
     )
     shares = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * most_docs) / F.count(F.lit(1))).alias("share"))
+    shares = written(shares, "shares")  # a row a language; its size is known when the join is planned
     near = known.join(shares, "lang").where(F.pmod("draw", F.lit(1_000_000)) < F.col("share") * 1_000_000)
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(1_000_000)), "id", "text"))
     rows = (
