@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import functools
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -48,30 +47,45 @@ class CapFilters:
 
         The cap is as high as leaves about ``bucket`` evenly spread vectors in each,
         and there are as many directions as let a pair at exactly ``cosine``
-        share ``hits`` of them on average. Both follow ``rows`` by one rule. The share of directions
-        is that of the normal distribution, which few components are far from: it is counted
-        over drawn directions there.
+        share ``hits`` of them on average. Both follow ``rows`` by one rule, the areas of caps on the
+        sphere: a direction that is turned at random is spread evenly over it, product code or not.
+        More than two blocks would make the directions of one set hang together too much.
         """
-        normal = NormalDist()
         share = min(0.02, max(1e-8, bucket / max(rows, 1)))
-        z = normal.inv_cdf(1 - share)
-        grid = np.linspace(z, z + 6, 2000)
-        rest = max(1e-9, 1 - cosine * cosine) ** 0.5
-        density = np.exp(-grid * grid / 2) / np.sqrt(2 * np.pi)
-        beyond = np.array([1 - normal.cdf((z - cosine * x) / rest) for x in grid])
-        both = float((density * beyond).sum() * (grid[1] - grid[0]))
-        height = z / dim**0.5
+        height = float(np.cos(np.interp(share, *_cap_shares(dim)[::-1])))
         if dim < 24:
             height = min(height, 0.75)
-            drawn = np.random.default_rng(seed).standard_normal((100_000, max(dim, 2)))[:, :dim]
-            drawn /= np.linalg.norm(drawn, axis=1, keepdims=True)
-            other = drawn[:, 0] if dim == 1 else cosine * drawn[:, 0] + rest * drawn[:, 1]
-            both = max(1e-4, float(((drawn[:, 0] >= height) & (other >= height)).mean()))
-        count = hits / sets / max(both, 1e-30)
-        blocks = 1 if dim < 8 else 2 if count <= 1e6 or dim < 24 else 3
+        count = hits / sets / max(_sharing(dim, height, cosine), 1e-30)
+        blocks = 1 if dim < 8 else 2
         return cls(dim, blocks, int(np.ceil(count ** (1 / blocks))), height, sets, seed)
 
 
+def _cap_shares(dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Angles, and the share of the sphere in ``dim`` dimensions within each of a fixed direction."""
+    if dim < 2:  # two points
+        return np.array([0.0, np.pi]), np.array([0.5, 1.0])
+    angle = np.linspace(0, np.pi, 200_001)
+    density = np.sin(angle) ** (dim - 2)
+    sums = np.concatenate([[0], np.cumsum(density[1:] + density[:-1])])
+    return angle, sums / sums[-1]
+
+
+def _sharing(dim: int, height: float, cosine: float) -> float:
+    """The probability that both vectors of a pair at ``cosine`` lie in the cap of an evenly drawn direction."""
+    angle, within = _cap_shares(dim)
+    top = float(np.arccos(height))
+    if dim < 2:
+        return 0.5 if cosine > 0 else 0.0
+    grid = np.linspace(0, top, 4001)
+    middle = (grid[1:] + grid[:-1]) / 2
+    mass = np.diff(np.interp(grid, angle, within))
+    rest = max(1e-9, 1 - cosine * cosine) ** 0.5
+    least = np.clip((height - cosine * np.cos(middle)) / (rest * np.sin(middle)), -1, 1)
+    around, share = _cap_shares(dim - 1)
+    beside = np.interp(np.arccos(least), around, share) if dim > 2 else (1 + (least <= -1) - (least >= 1)) / 2
+    return float((mass * beside).sum())
+
+
 @functools.lru_cache(maxsize=64)
 def _directions(filters: CapFilters, turn: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
     """The rotation and the codewords of every block of one set."""
@@ -99,11 +113,22 @@ def _decode(filters: CapFilters, unit: np.ndarray, turn: int) -> tuple[np.ndarra
     row = np.arange(len(unit))
     code, total = np.zeros(len(unit), np.int64), np.zeros(len(unit))
     best = [s.max(axis=1) for s in scores]
-    for k, score in enumerate(scores):
+    for k, score in enumerate(scores[:-1]):
         still = sum(best[k + 1 :], np.zeros(len(unit)))
         sums = total[:, None] + score[row]
         at, word = np.nonzero(sums + still[row][:, None] >= filters.height)
         code, total, row = code[at] * filters.words + word, sums[at, word], row[at]
+    # The last block's words in order of score: those that lift a sum over the height are the first ones.
+    order = np.argsort(-scores[-1], axis=1)
+    ranked = np.take_along_axis(scores[-1], order, axis=1)
+    low, high = np.zeros(len(row), np.int64), np.full(len(row), filters.words, np.int64)
+    while (low < high).any():
+        half = (low + high) // 2
+        enough = (low < high) & (total + ranked[row, np.minimum(half, filters.words - 1)] >= filters.height)
+        low, high = np.where(enough, half + 1, low), np.where(enough, high, np.where(low < high, half, high))
+    at = np.repeat(np.arange(len(row)), low)
+    place = np.arange(len(at)) - np.repeat(np.cumsum(low) - low, low)
+    row, code = row[at], code[at] * filters.words + order[row[at], place]
     return row, code
 
 
@@ -135,8 +160,9 @@ def _decoded(batches, chosen: dict[int, CapFilters]):
         for dim, group in pdf.groupby("dim"):
             lists = [[] for _ in range(len(group))]
             units = np.frombuffer(b"".join(group["unit"]), np.float64).reshape(len(group), -1)
-            for start in range(0, len(units), 2000):
-                for r, c in zip(*decode(chosen[dim], units[start : start + 2000])):
+            step = max(50, min(2000, 1_000_000 // chosen[dim].words))
+            for start in range(0, len(units), step):
+                for r, c in zip(*decode(chosen[dim], units[start : start + step])):
                     lists[start + r].append(int(c))
             yield group.assign(codes=[np.asarray(c, np.int64) for c in lists])
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from spendscore.llm.near_vectors import CapFilters, decode, near_vectors, unit_vector
 
@@ -79,6 +80,24 @@ def test_recall_at_the_threshold():
     assert np.mean([bool(codes[k] & codes[k + 400]) for k in range(400)]) >= 0.98
 
 
+@pytest.mark.parametrize("rows", [2_000, 10**6, 10**7, 3 * 10**7, 10**8])
+def test_recall_does_not_fall_with_the_rows(rows):
+    draw = np.random.default_rng(3)
+    filters = CapFilters.fitted(64, rows, 0.95)
+    first, other = draw.standard_normal((2, 400, 64))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    other -= (other * first).sum(1, keepdims=True) * first
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    units = np.concatenate([first, 0.95 * first + (1 - 0.95**2) ** 0.5 * other])
+    codes = [set() for _ in units]
+    for start in range(0, len(units), 100):
+        for row, code in zip(*decode(filters, units[start : start + 100])):
+            codes[start + row].add(code)
+    shared = [len(codes[k] & codes[k + 400]) for k in range(400)]
+    assert abs(np.mean(shared) - 20) < 3
+    assert np.mean(np.array(shared) > 0) >= 0.98
+
+
 def test_decoding_finds_every_cap():
     draw = np.random.default_rng(4)
     filters = CapFilters(12, 3, 7, 0.3)
