@@ -19,13 +19,16 @@ from pyspark.sql import functions as F
 from spendscore.llm.common import table, written
 from spendscore.llm.decontaminate import contaminated
 from spendscore.llm.filters import split_by_keys
-from spendscore.llm.language import UNDETERMINED, languages
+from spendscore.llm.language import UNDETERMINED, judged_languages
 from spendscore.llm.line_windows import line_windows
 from spendscore.llm.mixing import mixed_sources
 from spendscore.llm.ngram_join import ngram_join
 
-#: A text that no language wins by this share of its phrases is in none of them.
-LEAST_SCORE = 0.02
+#: A narrow margin between two learned languages is no reason to drop a text.
+LEAST_SCORE = 0.0
+#: A text is in none of the languages if the winner's bits a character, less one phrase's, are more than this many times
+#: those that the winner's labelled texts take.
+MOST_BITS = 2.0
 
 
 def _without(docs: DataFrame, ids: DataFrame, purpose: str) -> DataFrame:
@@ -36,9 +39,10 @@ def _without(docs: DataFrame, ids: DataFrame, purpose: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a letter, and such as no learned language wins clearly."""
-    found = languages(docs)
-    return _without(docs, found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < LEAST_SCORE)), "no-language")
+    """Drop texts without a letter, and such as even the best language explains far worse than its labelled texts."""
+    found = judged_languages(docs)
+    far = F.col("excess") > MOST_BITS * F.col("typical")
+    return _without(docs, found.where((F.col("lang_pred") == UNDETERMINED) | far), "no-language")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,18 +136,23 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
         """(language, score, bits a character) per text. Ties go to the language that sorts first."""
+        return [found[:3] for found in self.judged(texts)]
+
+    def judged(self, texts: list[str | None]) -> list[tuple[str, float, float, float]]:
+        """What ``predict`` gives, and the bits without those of one phrase: that which the text's end cuts short."""
         read = [self.read(t) for t in texts]
         counts = self.phrases([signs for signs, _ in read])
         out = []
         for (signs, letters), found in zip(read, counts):
             if not letters or not self.languages:
-                out.append((UNDETERMINED, 0.0, 0.0))
+                out.append((UNDETERMINED, 0.0, 0.0, 0.0))
                 continue
             rates = found * np.array(self.bits) / len(signs)
             order = np.argsort(rates, kind="stable")
             best = rates[order[0]]
             score = 1.0 if len(order) == 1 else 1 - best / rates[order[1]]
-            out.append((self.languages[order[0]], float(min(1.0, max(0.0, score))), float(best)))
+            phrases = found[order[0]]
+            out.append((self.languages[order[0]], float(min(1.0, max(0.0, score))), float(best), float(best * (phrases - 1) / phrases)))
         return out
 
 
@@ -188,15 +193,28 @@ def learned_samples(
     return tuple((lang, " ".join(parts)[:most_chars]) for lang, parts in sorted(texts.items()))
 
 
-def _predicted(batches, samples):
+def typical_bits(samples: tuple[tuple[str, str], ...]) -> dict[str, float]:
+    """Bits a character that a language's labelled text takes if only the other half of it is known."""
+    out = {}
+    for language, text in samples:
+        half = len(text) // 2
+        halves = [text[:half], text[half:]]
+        rates = [Model({language: known}).judged([other])[0] for known, other in (halves, halves[::-1])]
+        if all(found[0] != UNDETERMINED for found in rates):
+            out[language] = sum(found[2] for found in rates) / 2
+    return out
+
+
+def _predicted(batches, samples, typical):
     model = _model(samples.value)
     for pdf in batches:
         for start in range(0, len(pdf), 2000):
             part = pdf.iloc[start : start + 2000]
-            found = model.predict(part["text"].tolist())
+            found = model.judged(part["text"].tolist())
             yield pd.DataFrame({
                 "id": part["id"], "held_out": part["held_out"], "lang_pred": [x[0] for x in found],
-                "score": [x[1] for x in found], "bits": [x[2] for x in found],
+                "score": [x[1] for x in found], "bits": [x[2] for x in found], "excess": [x[3] for x in found],
+                "typical": [typical.value.get(x[0]) for x in found],
             })
 
 
@@ -213,12 +231,21 @@ def languages(
     * Repeated rows get equal results; rows without id are held out.
     * An empty table gives no rows; further columns are ignored.
     """
+    return judged_languages(docs, id_col, text_col, lang_col, **sample).drop("excess", "typical")
+
+
+def judged_languages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **sample
+) -> DataFrame:
+    """``languages``, with ``excess``, the bits a character without one phrase's, and ``typical``, those of the winner's labelled texts."""
     spark = shipped(docs.sparkSession)
-    samples = spark.sparkContext.broadcast(learned_samples(docs, id_col, text_col, lang_col, **sample))
+    learned = learned_samples(docs, id_col, text_col, lang_col, **sample)
+    samples, typical = spark.sparkContext.broadcast(learned), spark.sparkContext.broadcast(typical_bits(learned))
     kind = docs.schema[id_col].dataType.simpleString()
     found = docs.select(
-        F.col(id_col).cast("string").alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("string").alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"),
     ).mapInPandas(
-        functools.partial(_predicted, samples=samples), "id string, held_out boolean, lang_pred string, score double, bits double"
+        functools.partial(_predicted, samples=samples, typical=typical),
+        "id string, held_out boolean, lang_pred string, score double, bits double, excess double, typical double",
     )
     return found.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)

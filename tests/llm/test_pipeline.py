@@ -96,3 +96,14 @@ def test_empty_and_clashing(spark, documents, sf_dir):
             assert sorted(out.columns) == sorted(docs.columns)
             docs = corpus_pipeline.written(out, "test")
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= 0
+
+
+def test_split_label_keeps_its_texts(spark, documents):
+    """One language under two labels stays whole; text in none of the learned languages goes."""
+    draw = random.Random(12)
+    rows = [(k, " ".join(draw.choices(WORDS[lang], k=80)), ("en", "en-US")[k // 2 % 2] if lang == "en" else "de", "s")
+            for k, lang in enumerate(["en", "de"] * 60)]
+    foreign = [(1000 + k, " ".join("".join(draw.choices("qxzjkvbwyp", k=6)) for _ in range(40)), None, "s") for k in range(5)]
+    short = [(2000, "The house", None, "s"), (2001, "an", None, "s")]
+    found = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, documents(*rows, *foreign, *short), "").collect()}
+    assert found == {r[0] for r in rows + short}
