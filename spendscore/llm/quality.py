@@ -1,25 +1,27 @@
 """Text quality by an interpolated modified Kneser-Ney model of trusted text.
 
 Labels err, so the trusted documents with the least likely words are not learned from.
-Words outside a bounded vocabulary are replaced by their shape (runs of letters, digits, signs), so
-the number of possible n-grams is fixed. Their counts over all trusted text are kept by
-shards of the n-gram; joins between the orders give every n-gram's probability
-and every context's weight. Documents are held against their language's quantile
-of the trusted documents' perplexity.
+The n-grams of all words of trusted text are counted, without a bound on the vocabulary, and
+kept as a table by hash of the n-gram. A small model over frequent words and word shapes (runs of letters, digits,
+signs) stands below the single words. Documents are gathered into pieces; the distinct
+n-grams of a piece are joined to the table, and the piece is scored by what comes back. Documents are held against
+their language's quantile of the perplexity of trusted documents that were not counted.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import in_training, shipped, written
+from spendscore.llm.common import in_training, mixed, removed, shipped, written, written_at
 from spendscore.llm.filters import split_by_keys
 
 #: Numbered words and shapes, at most VOCABULARY^3 trigrams (8 MB of floats); of them so many shapes, which
@@ -34,6 +36,10 @@ SLACK, SHORT = 1.3, 2.5
 #: The share of trusted documents, by the likelihood of their single words, that is not learned from.
 TRIMMED = 0.08
 WORD_CACHE = 100_000
+#: One trusted document in so many is not counted but measures the thresholds.
+MEASURED = 5
+#: Documents that are looked up together: at most so many, and no more once they have so many characters.
+PIECE_DOCS, PIECE_CHARS = 500, 500_000
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
@@ -209,13 +215,130 @@ def trimming(trusted: DataFrame, vocabulary: tuple[str, ...], trimmed: float = T
     return logs, {r["lang"]: r["most"] for r in limits}
 
 
-def _perplexities(batches, vocabulary, table, width: int):
-    numbers, logs = _numbers(vocabulary), table.value
+class _Hashes(dict):
+    """64-bit hashes of words, found once."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > WORD_CACHE:
+            self.clear()
+        self[word] = number = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return number
+
+
+_HASHES = _Hashes()
+
+
+def word_grams(text: str | None) -> dict[str, np.ndarray]:
+    """Keys of every word's n-grams and of their contexts: ``k3``, ``k2``, ``k1`` end in the word, ``c2``, ``c1`` before it."""
+    words = (text or "").split()
+    if not words:
+        return {name: np.empty(0, np.int64) for name in ("k3", "k2", "k1", "c2", "c1")}
+    edge = _HASHES[EDGE + "\0"]
+    ids = np.full(len(words) + 3, edge, np.uint64)
+    ids[2:-1] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    # The key of n words: each is mixed into the key of those before it.
+    one = mixed(ids + np.uint64(1))
+    two = mixed(mixed(ids[:-1] + np.uint64(2)) ^ ids[1:])
+    three = mixed(mixed(mixed(ids[:-2] + np.uint64(3)) ^ ids[1:-1]) ^ ids[2:])
+    keys = {"k3": three, "k2": two[1:], "k1": one[2:], "c2": two[:-1], "c1": one[1:-1]}
+    return {name: key.view(np.int64) for name, key in keys.items()}
+
+
+def _word_gram_counts(batches, vocabulary, trim):
+    """Word trigrams of each batch's texts but those that ``trim`` drops, with the keys they are made of."""
+    numbers, width = _numbers(vocabulary), len(vocabulary)
     for pdf in batches:
-        grams = [trigrams(t, numbers, width) for t in pdf["text"]]
-        pdf["perplexity"] = [float(np.exp(-logs[g].mean(dtype=np.float64))) if len(g) else None for g in grams]
-        pdf["n"] = [len(g) for g in grams]
-        yield pdf[["id", "lang", "n", "perplexity"]]
+        found = []
+        for lang, text in zip(pdf["lang"], pdf["text"]):
+            ids = trigrams(text, numbers, width)
+            if len(ids) and -trim[0][ids % width].mean() <= trim[1].get(lang, np.inf):
+                found.append(word_grams(text))
+        if found:
+            keys = {name: np.concatenate([x[name] for x in found]) for name in found[0]}
+            _, first, n = np.unique(keys["k3"], return_index=True, return_counts=True)
+            yield pd.DataFrame({name: key[first] for name, key in keys.items()}).assign(n=n)
+
+
+def word_model(trusted: DataFrame, vocabulary: tuple[str, ...], trim) -> tuple[DataFrame, float, int]:
+    """(key, own, weight) of all word n-grams of trusted text, the weight of what is below single words, and the number of words.
+
+    ``own`` is the n-gram's discounted share of its context, ``weight`` what its words
+    leave, as a context, to the next lower order.
+    """
+    schema = "k3 long, k2 long, k1 long, c2 long, c1 long, n long"
+    first = lambda *names: [F.min(name).alias(name) for name in names]  # noqa: E731  equal in all rows of a key
+    three = written(
+        trusted.select("lang", "text").mapInPandas(functools.partial(_word_gram_counts, vocabulary=vocabulary, trim=trim), schema)
+        .groupBy("k3").agg(F.sum("n").alias("n"), *first("k2", "k1", "c2", "c1")),
+        "word-trigrams",
+    )
+    # Lower orders count the different words before an n-gram, as in ``kneser_ney``.
+    two = written(three.groupBy("k2").agg(F.count(F.lit(1)).alias("n"), *first("k1", "c1")), "word-bigrams")
+    one = written(two.groupBy("k1").agg(F.count(F.lit(1)).alias("n")), "word-unigrams")
+    rows = []
+    for counts, key, context in ((three, "k3", "c2"), (two, "k2", "c1"), (one, "k1", None)):
+        d1, d2, d3 = _discounts(counts)
+        cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        sums = [F.sum("n").alias("all"), F.sum(cut).alias("cut")]
+        if context is None:
+            total = counts.agg(*sums, F.count(F.lit(1)).alias("words")).first()
+            rows.append(counts.select(F.col(key).alias("key"), ((F.col("n") - cut) / F.lit(float(total["all"] or 1))).alias("own"), F.lit(None).alias("weight")))
+            below, words = (total["cut"] / total["all"], total["words"]) if total["all"] else (1.0, 1)
+        else:
+            by = written(counts.groupBy(context).agg(*sums), "word-contexts")
+            rows.append(counts.join(by, context).select(F.col(key).alias("key"), ((F.col("n") - cut) / F.col("all")).alias("own"), F.lit(None).alias("weight")))
+            rows.append(by.select(F.col(context).alias("key"), F.lit(None).alias("own"), (F.col("cut") / F.col("all")).alias("weight")))
+    every = functools.reduce(DataFrame.unionByName, [r.select("key", F.col("own").cast("float"), F.col("weight").cast("float")) for r in rows])
+    model = written(every.groupBy("key").agg(F.max("own").alias("own"), F.max("weight").alias("weight")), "word-model")
+    return model, float(below), int(words)
+
+
+def _pieces(batches):
+    """Documents gathered into pieces, a row each, with the piece's distinct keys."""
+
+    def piece(rows):
+        keys = [key for _, _, text in rows for key in word_grams(text).values()]
+        ids, langs, texts = (list(x) for x in zip(*rows))
+        return {"ids": ids, "langs": langs, "texts": texts, "keys": np.unique(np.concatenate(keys)), "piece": uuid.uuid4().hex}
+
+    for pdf in batches:
+        rows, chars = [], 0
+        for row in pdf[["id", "lang", "text"]].itertuples(index=False, name=None):
+            rows.append(row)
+            chars += len(row[2] or "")
+            if len(rows) >= PIECE_DOCS or chars >= PIECE_CHARS:
+                yield pd.DataFrame([piece(rows)])
+                rows, chars = [], 0
+        if rows:
+            yield pd.DataFrame([piece(rows)])
+
+
+def _scored(pieces: pd.DataFrame, entries: pd.DataFrame, vocabulary, table, below: float, words: int) -> pd.DataFrame:
+    """Perplexities of a piece's documents, from the entries of its keys; a key without one was never seen."""
+    numbers, logs, width = _numbers(vocabulary), table.value, len(vocabulary)
+    shapes = np.array([w.startswith("~") or w == OTHER for w in vocabulary])
+    entries = entries.sort_values("key")
+    keys = entries["key"].to_numpy(np.int64)
+    own, weight = entries["own"].fillna(0.0).to_numpy(np.float64), entries["weight"].fillna(1.0).to_numpy(np.float64)
+
+    def looked(wanted, values, missing):
+        if not len(keys):
+            return np.full(len(wanted), missing)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, values[at], missing)
+
+    out = []
+    for _, row in pieces.iterrows():
+        for doc, lang, text in zip(row["ids"], row["langs"], row["texts"]):
+            g = word_grams(text)
+            ids = trigrams(text, numbers, width)
+            # Below the single words: the symbol's probability, shared by the words of a shape.
+            p = np.exp(logs[ids].astype(np.float64)) / np.where(shapes[ids % width], words, 1)
+            p = looked(g["k1"], own, 0.0) + below * p
+            p = looked(g["k2"], own, 0.0) + looked(g["c1"], weight, 1.0) * p
+            p = looked(g["k3"], own, 0.0) + looked(g["c2"], weight, 1.0) * p
+            out.append((doc, lang, len(ids), float(np.exp(-np.log(p).mean())) if len(ids) else None))
+    return pd.DataFrame(out, columns=["id", "lang", "n", "perplexity"])
 
 
 def quality(
@@ -231,8 +354,8 @@ def quality(
 ) -> DataFrame:
     """Per row: ``id_col``, ``perplexity``, ``threshold`` and ``kept``.
 
-    Trusted text is that of training rows labelled 1. A row is kept if its perplexity is
-    at most ``slack`` times the ``quantile`` of its language's trusted rows; languages without any
+    Trusted text is that of training rows labelled 1; a fifth of it is not counted but measures. A row is kept if its perplexity is
+    at most ``slack`` times the ``quantile`` of its language's measuring rows; languages without any
     go by the quantile of all.
 
     * NULL and wordless texts have no perplexity and are not kept.
@@ -245,17 +368,30 @@ def quality(
     own = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = labels.where(in_training(id_col) & (F.col(label_col) == 1)).select(F.col(id_col).alias("id"))
     labelled, _ = split_by_keys(own, known, F.xxhash64("id"), F.xxhash64("id"))
-    trusted = written(labelled.join(known.hint("merge"), "id").select("lang", "text"), "trusted")
+    measured = F.pmod(F.xxhash64(F.lit("quality"), F.col("id").cast("string")), F.lit(MEASURED)) == 0
+    trusted = written(labelled.join(known.hint("merge"), "id").select("lang", "text", measured.alias("measured")), "trusted")
     vocabulary, others = vocabulary_of(trusted, size)
-    table = spark.sparkContext.broadcast(kneser_ney(trusted, vocabulary, others, trimming(trusted, vocabulary)))
+    trim = trimming(trusted, vocabulary)
+    table = spark.sparkContext.broadcast(kneser_ney(trusted, vocabulary, others, trim))
+    model, below, words = word_model(trusted.where("NOT measured"), vocabulary, trim)
+    pieces, pieces_at = written_at(
+        own.select(F.col("id").cast("string").alias("id"), "lang", "text").mapInPandas(
+            _pieces, "piece string, ids array<string>, langs array<string>, texts array<string>, keys array<long>"),
+        "pieces",
+    )
+    # Pieces, not documents: a frequent word's key is there once a piece.
+    entries = pieces.select(F.col("piece").alias("of_piece"), F.explode("keys").alias("key")).join(model, "key")
     scored = written(
-        own.withColumn("id", F.col("id").cast("string")).mapInPandas(
-            functools.partial(_perplexities, vocabulary=vocabulary, table=table, width=len(vocabulary)),
+        pieces.drop("keys").groupBy("piece").cogroup(entries.groupBy("of_piece")).applyInPandas(
+            functools.partial(_scored, vocabulary=vocabulary, table=table, below=below, words=words),
             "id string, lang string, n int, perplexity double",
         ).withColumn("id", F.col("id").cast(kind)),
         "perplexities",
     )
-    measured = scored.join(known.distinct(), "id", "left_semi")
+    removed(spark, pieces_at)
+    trusted_rows = scored.join(known.distinct(), "id", "left_semi")
+    uncounted = trusted_rows.where(measured)
+    measured = uncounted if uncounted.head(1) else trusted_rows
     limit = (slack * F.percentile_approx("perplexity", quantile, 10_000)).alias("limit")
     limits = written(measured.groupBy("lang").agg(limit), "limits")
     general = measured.agg(limit).first()["limit"]

@@ -93,3 +93,17 @@ def test_nothing_trusted(spark, documents):
     rows = [(1, "some words"), (2, None), (3, "")]
     assert {r["doc_id"]: r["kept"] for r in run(spark, documents, rows, [(1, 0, 0)])} == {1: True, 2: False, 3: False}
     assert run(spark, documents, [], []) == []
+
+
+def test_every_trusted_word_counts(spark, documents):
+    """Well-shaped junk of a small language goes, though its words are far beyond the most frequent of all text."""
+    draw = random.Random(14)
+    main = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(200)]
+    small = ["".join(draw.choices("klmnopqrst", k=6)) for _ in range(60)]
+    rows = [(k, " ".join(draw.choices(main, k=80)), "en", "s") for k in range(400)]
+    rows += [(1000 + k, " ".join(draw.choices(small, k=80)), "xx", "s") for k in range(80)]
+    junk = [(2000 + k, " ".join("".join(draw.choices("klmnopqrst", k=6)) for _ in range(80)), "xx", "s") for k in range(5)]
+    clean = [(3000 + k, " ".join(draw.choices(small, k=80)), "xx", "s") for k in range(5)]
+    kept = {r["doc_id"]: r["kept"] for r in run(spark, documents, rows + junk + clean, [(i, 1, 0) for i, *_ in rows])}
+    assert [kept[i] for i, *_ in junk] == [False] * 5
+    assert [kept[i] for i, *_ in clean] == [True] * 5
