@@ -31,8 +31,6 @@ from spendscore.sources.workdir import work_dir
 
 #: Bytes inflated at once, and bytes of records after which a new file starts.
 PIECE, FILE_BYTES = 1 << 20, 64 << 20
-#: The largest record header that is read.
-HEADER_BYTES = 1 << 16
 GZIP = 16 + zlib.MAX_WBITS
 CRLF = b"\r\n"
 
@@ -117,11 +115,14 @@ def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         if filled(2) and held[:2] == CRLF:  # line breaks between records
             del held[:2]
             continue
-        end = held.find(b"\r\n\r\n")
-        while end < 0:
-            if len(held) > HEADER_BYTES or not filled(len(held) + 1):
+        if not filled(5) or held[:5] != b"WARC/":
+            raise ValueError(f"no WARC record: {bytes(held[:40])!r}")
+        # A header may be of any length, as urls are; only what is new is searched.
+        seen = 0
+        while (end := held.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+            seen = len(held)
+            if not filled(seen + 1):
                 raise ValueError("a record without the end of its header")
-            end = held.find(b"\r\n\r\n")
         headers = parsed(bytes(held[:end]))
         size = end + 4 + int(headers["content-length"])
         if not filled(size):

@@ -101,3 +101,12 @@ def test_broken_streams():
 def test_header_lines():
     head = warc.record(1, "a\r\nb", b"", "s", True, None).split(b"\r\n\r\n")[0]
     assert warc.parsed(head)["warc-target-uri"] == urllib.parse.quote("a\r\nb")
+
+
+def test_urls_of_any_length(spark):
+    """Headers of 64 KB and more, over the borders of pieces."""
+    rows = [(k, "u" * size, f"<p>{k}</p>") for k, size in enumerate((100_000, 900_000, 2_000_000, 100_000), 1)]
+    assert run(spark, rows) == brute(rows)
+    data = gzip.compress(warc.record(1, "u" * 2_000_000, b"x", "s", True, None))
+    [(headers, _)] = warc.records(warc.inflated(io.BytesIO(data)))
+    assert headers["warc-target-uri"] == "u" * 2_000_000
