@@ -206,6 +206,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM doc LEFT JOIN summed USING (doc_id)
 """
 
+OP13 = """
+WITH usable AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+),
+usual AS (SELECT len(x) AS d FROM usable GROUP BY 1 ORDER BY count(*) DESC, d DESC LIMIT 1),
+vec AS (SELECT DISTINCT vec_id, label, x FROM usable, usual WHERE len(x) = d),
+scored AS (
+  SELECT DISTINCT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM vec a, vec b WHERE a.vec_id % 100 = 0
+),
+positive AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, anchor_label ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER own AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positive p JOIN scored s USING (anchor_id, anchor_label)
+WHERE s.label <> anchor_label AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW own AS (PARTITION BY anchor_id, anchor_label, positive_id, positive_score ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER own <= 5
+"""
+
 
 ORACLE: dict[str, str] = {
     "op1_embedding_near_dedup": OP1,
@@ -215,4 +239,5 @@ ORACLE: dict[str, str] = {
     "op8_benchmark_decontamination": OP8,
     "op9_mixing": OP9,
     "op10_license_scan": _license_sql(),
+    "op13_hard_negatives": OP13,
 }

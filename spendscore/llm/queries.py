@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendscore.llm.common import table
 from spendscore.llm.decontaminate import contaminated
+from spendscore.llm.hard_negatives import hard_negatives
 from spendscore.llm.language import languages
 from spendscore.llm.licenses import license_scan
 from spendscore.llm.line_windows import line_windows
@@ -59,10 +61,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(rows, anchors=F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_warc, op4_language_id, op5_line_dedup, op6_toxicity,
-        op7_quality_classifier, op8_benchmark_decontamination, op9_mixing, op10_license_scan,
+        op7_quality_classifier, op8_benchmark_decontamination, op9_mixing, op10_license_scan, op13_hard_negatives,
     )
 }
