@@ -18,6 +18,7 @@ from spendscore.llm.oracle import ORACLE  # noqa: F401  the SQL beside the queri
 from spendscore.llm.quality import quality
 from spendscore.llm.toxicity import toxicity
 from spendscore.llm.warc import round_trip
+from spendscore.llm.whitening import whitened
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.col("label").cast("long")
     rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
@@ -71,6 +76,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_warc, op4_language_id, op5_line_dedup, op6_toxicity,
-        op7_quality_classifier, op8_benchmark_decontamination, op9_mixing, op10_license_scan, op13_hard_negatives,
+        op7_quality_classifier, op8_benchmark_decontamination, op9_mixing, op10_license_scan, op11_embedding_whitening, op13_hard_negatives,
     )
 }
