@@ -206,6 +206,23 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM doc LEFT JOIN summed USING (doc_id)
 """
 
+#: Main text of pages that mark it by an article element of headings and paragraphs, as the given ones do.
+OP12 = r"""
+WITH part AS (
+  SELECT page_id, url, regexp_split_to_array(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1), '</?(?:p|h1)>') AS raw
+  FROM pages
+),
+block AS (
+  SELECT page_id, url, list_filter(list_transform(raw, lambda x: trim(regexp_replace(
+    regexp_replace(regexp_replace(replace(regexp_replace(x, '</?b>', '', 'g'), '<br>', ' '), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+    '[\s\x{00A0}]+', ' ', 'g'))), lambda x: x <> '') AS blocks
+  FROM part
+),
+joined AS (SELECT page_id, url, array_to_string(blocks, chr(10) || chr(10)) AS text FROM block)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined
+"""
+
 OP13 = """
 WITH usable AS (
   SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS BIGINT) AS label,
@@ -239,5 +256,6 @@ ORACLE: dict[str, str] = {
     "op8_benchmark_decontamination": OP8,
     "op9_mixing": OP9,
     "op10_license_scan": _license_sql(),
+    "op12_html_extraction": OP12,
     "op13_hard_negatives": OP13,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spendscore.llm.common import table
 from spendscore.llm.decontaminate import contaminated
 from spendscore.llm.hard_negatives import hard_negatives
+from spendscore.llm.html_main import main_texts
 from spendscore.llm.language import languages
 from spendscore.llm.licenses import license_scan
 from spendscore.llm.line_windows import line_windows
@@ -66,6 +67,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.col("label").cast("long")
     rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
@@ -76,6 +81,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_near_dedup, op2_ngram_jaccard_join, op3_warc, op4_language_id, op5_line_dedup, op6_toxicity,
-        op7_quality_classifier, op8_benchmark_decontamination, op9_mixing, op10_license_scan, op11_embedding_whitening, op13_hard_negatives,
+        op7_quality_classifier, op8_benchmark_decontamination, op9_mixing, op10_license_scan, op11_embedding_whitening, op12_html_extraction,
+        op13_hard_negatives,
     )
 }
