@@ -5,7 +5,7 @@ token has an occurrence vector: how often each page has it. Tokens with one vect
 group of equal fingerprints (xor over the pages of two hashes of page and count), so vectors are never built and a host of
 any size is a plain aggregate. A class is valid if it is frequent and large, and on every page its tokens stand in one order,
 once or several times round; and classes must nest: one lies in the same gap of its neighbour's tokens on all pages, or it is
-dropped. The valid classes, nested, are the host's template; what lies between two of its tokens is a slot. Slots are told by the token before
+dropped. The valid classes, nested, are the host's template; what lies between two of its tokens is a slot. Slots are told by the tag before
 them, and weighed over the host: those that hold main text are extracted, page by page.
 
 What is main text in a slot is decided by the elements around it (``html_walk``). Hosts differ in what they mark: an article
@@ -115,7 +115,7 @@ def _of(numbers) -> int:
 
 
 def _weighed(batches):
-    """Text per slot, rank of its region and container, without the template's own; summed within the batch."""
+    """Text per slot, rank of its region and container, summed within the batch; the template's own has no weight."""
     for pdf in batches:
         total: Counter[tuple] = Counter()
         for host, order, at, chars, role, container, marks in zip(
@@ -124,43 +124,46 @@ def _weighed(batches):
             texts = dict(zip(at.tolist(), zip(chars.tolist(), role.tolist(), container.tolist())))
             slot = 0
             for k, mark in enumerate(order.tolist()):
-                if mark in template:
-                    slot = mark
-                elif k in texts and texts[k][1] >= PLAIN:
+                if k not in texts:
+                    slot = mark if mark in template else slot
+                elif texts[k][1] >= PLAIN:
                     weight, rank, around = texts[k]
-                    total[host, slot, rank, around] += weight
+                    total[host, slot, rank, around] += 0 if mark in template else weight
         yield pd.DataFrame([(*key, n) for key, n in total.items()], columns=["host", "slot", "rank", "container", "chars"])
 
 
-def _joined(tokens: list[tuple[Token, bool]]) -> str:
-    """Kept texts as blocks: references decoded, blanks within a block made one, blocks parted by an empty line."""
+def _joined(tokens: list[tuple[Token, bool]], template: frozenset[int]) -> str:
+    """Kept texts as blocks: references decoded, blanks within a block made one, blocks parted by an empty line.
+
+    A block goes if all of it is the template's; where it is beside other text, as a full stop after a word, it stays.
+    """
     blocks: list[str] = []
     parts: list[str] = []
-    for token, kept in tokens:
+    own = False
+    for token, kept in [*tokens, (Token(0, None, 0, (), False, 2), False)]:
         if token.text is not None:
             if kept:
                 parts.append(html.unescape(token.text))
+                own = own or token.mark not in template
         elif token.breaks == 1:
             parts.append(" ")
         elif token.breaks == 2:
-            blocks.append(" ".join("".join(parts).split()))
-            parts = []
-    blocks.append(" ".join("".join(parts).split()))
+            if own:
+                blocks.append(" ".join("".join(parts).split()))
+            parts, own = [], False
     return "\n\n".join(b for b in blocks if b)
 
 
 def main_text(page: str, template: frozenset[int], slots: frozenset[int], rank: int, container: int) -> str:
     """The texts of a page in the chosen slots, by the host's rank; by itself where these give none."""
     found = list(walk(page))
-    own: list[tuple[int, int]] = []  # the slot that a token is in
-    slot = 0
-    for token in found:
-        if token.mark in template:
-            slot = token.mark
-        own.append((slot, token.mark))
     if slots:
-        text = _joined([(t, t.text is not None and s in slots and mark not in template and t.role >= rank
-                         and (rank > PLAIN or container in t.inside or not container)) for t, (s, mark) in zip(found, own)])
+        kept, slot = [], 0
+        for t in found:
+            if t.mark in template and t.text is None:
+                slot = t.mark
+            kept.append((t, t.text is not None and slot in slots and t.role >= rank and (rank > PLAIN or container in t.inside or not container)))
+        text = _joined(kept, template)
         if text:
             return text
     texts = [t for t in found if t.text is not None and t.role >= PLAIN and t.mark not in template]
@@ -169,8 +172,7 @@ def main_text(page: str, template: frozenset[int], slots: frozenset[int], rank:
     for t in texts:
         inside[t.inside[-1] if t.inside else 0] += _chars(t)
     best = max(inside, key=lambda c: (inside[c], -c), default=0)
-    return _joined([(t, t.text is not None and t.mark not in template and t.role >= max(rank, PLAIN)
-                     and (rank > PLAIN or best in t.inside or not best)) for t in found])
+    return _joined([(t, t.text is not None and t.role >= rank and (rank > PLAIN or best in t.inside or not best)) for t in found], template)
 
 
 def _extracted(batches):
@@ -209,8 +211,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     The text is the page's main text, whole: no length is dropped or cut. References are decoded, blanks in a block become one,
     blocks are in page order, parted by an empty line; line breaks and cells part words. Menus, headers, footers, sidebars, notices, adverts, forms,
-    scripts, styles, hidden elements and reader comments go, as do texts in the template: such as stand on
-    every page of a host with ten or more distinct pages.
+    scripts, styles, hidden elements and reader comments go, as do blocks that are the template's own text, which needs
+    a host with ten or more distinct pages.
 
     * NULL and empty html give an empty text and 0, as do pages without main text. NULL ids and addresses stay as they are;
       a page without a host is judged by itself.
@@ -261,7 +263,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     weights, weights_at = written_at(
         _with_template(sequences.select("host", "order", "at", "chars", "role", "container"), template, hot).mapInPandas(_weighed, WEIGHED)
         .groupBy("host", "slot", "rank", "container").agg(F.sum("chars").alias("chars")), "slots")
-    ranks = weights.groupBy("host").agg(F.max("rank").alias("best"))
+    ranks = weights.where("chars > 0").groupBy("host").agg(F.max("rank").alias("best"))
     of_rank = weights.join(ranks, "host").where(F.col("rank") == F.col("best"))
     container = of_rank.groupBy("host", "container").agg(F.sum("chars").alias("n")).groupBy("host").agg(
         F.array(F.max_by("container", F.struct("n", -F.col("container")))).alias("container"))

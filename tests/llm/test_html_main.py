@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from spendscore.llm.html_main import _nested, host_of, main_text, main_texts
+from spendscore.llm.html_walk import walk
+
+SCHEMA = "page_id long, url string, html string, id string, host string, text string, hot boolean, salt int, `a.b` string, tokens string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, u, h, "clash", "clash", "clash", True, 1, "clash", "clash") for i, u, h in rows], SCHEMA)
+
+
+def run(spark, rows):
+    out = main_texts(table(spark, rows)).collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
+    return {r["page_id"]: r["text"] for r in out}
+
+
+def alone(page):
+    return main_text(page, frozenset(), frozenset(), 0, 0)
+
+
+WORDS = "river stone light morning garden window letter paper story hill forest train village summer winter people music road bridge field".split()
+
+
+def sentence(draw, n=12):
+    return " ".join(draw.choice(WORDS, n)).capitalize() + "."
+
+
+def styled(draw, style, k):
+    """A page of a host with one of several layouts, and its main text."""
+    title, paragraphs = sentence(draw, 5), [sentence(draw, int(draw.integers(6, 40))) for _ in range(int(draw.integers(1, 5)))]
+    links = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in draw.choice(WORDS, int(draw.integers(3, 8))))
+    body = f"<h1>{title}</h1>" + "".join(f"<p>{p.replace(' ', ' <b>', 1).replace('.', '</b>.')}</p>" for p in paragraphs)
+    comments = f'<section id="comments"><h3>Comments</h3><article class="comment"><p>{sentence(draw)}</p></article></section>'
+    main = {
+        "article": f"<article>{body}<div class='share-buttons'>Share this</div></article>{comments}",
+        "main": f"<main>{body}<aside class='sidebar'><p>{sentence(draw, 30)}</p></aside></main>{comments}",
+        "named": f'<div id="main-content">{body}</div><div class="sidebar"><p>{sentence(draw, 60)}</p></div>{comments}',
+        "bare": f'<div class="column">{body}</div><div class="box"><p>Sign up today for our weekly letter of news and offers, free of charge '
+                f"and without any further obligation for all readers of these pages, today and for ever and ever and one day more.</p></div>",
+    }[style]
+    page = (
+        f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{a:b}}</style><script>var x='<p>no</p>';{k}</script></head><body><header><p>The Daily {style}</p></header>"
+        f"<nav><ul>{links}</ul></nav><!-- {k} <p>no</p> --><div class='ad-slot'>{sentence(draw)}</div><div class=\"cookie-notice\">We use cookies</div>"
+        f"<form><label>Search</label><input name=q></form>{main}<footer>&copy; {sentence(draw)}</footer></body></html>")
+    return page, "\n\n".join([title, *paragraphs])
+
+
+@pytest.fixture(scope="module")
+def styles():
+    draw = np.random.default_rng(5)
+    rows, truth = [], {}
+    for style in ("article", "main", "named", "bare"):
+        for k in range(25):
+            page, text = styled(draw, style, k)
+            truth[len(rows)] = text
+            rows.append((len(rows), f"https://{style}.example.com/p/{k}", page))
+    return rows, truth
+
+
+def test_layouts(spark, styles):
+    rows, truth = styles
+    assert run(spark, rows) == truth
+
+
+def test_order_and_parts_do_not_matter(spark, styles):
+    rows, truth = styles
+    assert {r["page_id"]: r["text"] for r in main_texts(table(spark, rows[::-1]).repartition(7)).collect()} == truth
+
+
+def test_copies_keep_their_text(spark, styles):
+    """A host whose pages are one page over and over, exactly or but for a word outside, still has main text."""
+    page, text = styles[0][3][2], styles[1][3]
+    copies = [(k, f"https://copy.example.com/{k}", page) for k in range(30)]
+    near = [(100 + k, f"https://near.example.com/{k}", page.replace("<script>", f"<script>var y={k};")) for k in range(6)]
+    assert set(run(spark, copies + near).values()) == {text}
+
+
+def test_fixed_text_is_template(spark):
+    draw = np.random.default_rng(6)
+    rows, truth = [], {}
+    for k in range(40):
+        text = sentence(draw, 15)
+        truth[k] = text
+        rows.append((k, f"http://h.example.com/{k}", f"<html><body><article><h2>From our paper</h2><p>{text}</p><p>All rights kept</p></article></body></html>"))
+    assert run(spark, rows) == truth
+    few = run(spark, rows[:5])  # too few pages to tell
+    assert few[0] == f"From our paper\n\n{truth[0]}\n\nAll rights kept"
+
+
+def test_odd_pages(spark):
+    page = "<html><body><article><p>One text</p></article></body></html>"
+    rows = [(1, "http://a.example.com/", None), (2, "http://a.example.com/", ""), (3, None, page), (4, "no address", page), (None, "http://b.example.com", page),
+            (5, "http://b.example.com/x", "plain words only"), (6, "http://b.example.com/y", "<" * 500 + "a b" + "'\"=" * 300),
+            (7, "http://c.example.com/", "<article><p>" + "word " * 400_000 + "</p></article>"), (8, "http://c.example.com/", page), (8, "http://c.example.com/", page)]
+    out = main_texts(table(spark, rows)).collect()
+    assert len(out) == len(rows)
+    got = {r["page_id"]: r["text"] for r in out}
+    assert got[1] == got[2] == "" and got[3] == got[4] == got[None] == got[8] == "One text"
+    assert got[5] == "plain words only" and len(got[7]) == 400_000 * 5 - 1
+    assert sum(r["page_id"] == 8 for r in out) == 2
+    assert run(spark, []) == {}
+    assert main_texts(table(spark, [])).columns == ["page_id", "url", "text", "n_chars"]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>a&amp;b &lt;c&gt; &copy &#233;&#x41;&nbsp; d</p></article>", "a&b <c> © éA d"),
+    ("<article><p>un<b>bold</b>ed<br>next<p>second", "unbolded next\n\nsecond"),
+    ("<article><ul><li>one<li>two</ul><table><tr><td>x<td>y<tr><td>z</table>", "one\n\ntwo\n\nx y\n\nz"),
+    ('<article><p title="a > b">in</p><p class=\'x>y\'>side</p>', "in\n\nside"),
+    ("<article><p>a < b and c <3 d</p>", "a < b and c <3 d"),
+    ("<article>seen<!-- not <p>this</p>", "seen"),
+    ("<article>seen<script>not this", "seen"),
+    ("<form><article><p>in a form</p></article></form>", "in a form"),
+    ("<nav><ul><li>never ended<article><p>text</p></article>", "text"),
+    ("<aside><article><p>beside</p></article></aside><main><p>text</p></main>", "text"),
+    ("<main><header><h1>Title</h1></header><p>text</p></main><header>Site</header>", "Title\n\ntext"),
+    ("<head><title>no</title><body><div class='has-sidebar'><p>text</p></div>", "text"),
+    ("<div class='main-menu'>menu</div><div hidden>no</div><div style='display: none'>no</div><div><p>text</p></div>", "text"),
+    ("", ""),
+])
+def test_single_pages(page, text):
+    assert alone(page) == text
+
+
+def test_classes_against_whole_vectors(spark, styles):
+    """Tokens of one fingerprint are tokens of one occurrence vector, and the judged classes are ordered on every page."""
+    pages = [r[2] for r in styles[0][:25]]
+    counts = [Counter(t.mark for t in walk(p)) for p in pages]
+    vectors = defaultdict(set)
+    for mark in set().union(*counts):
+        vectors[tuple(c[mark] for c in counts)].add(mark)
+    large = [marks for vector, marks in vectors.items() if len(marks) >= 3 and sum(map(bool, vector)) >= 13]
+    classes = {mark: k for k, marks in enumerate(large) for mark in marks}
+    sizes = {k: len(marks) for k, marks in enumerate(large)}
+    assert len(large) >= 2
+    for page in pages:
+        order = [t.mark for t in walk(page)]
+        for own, perm, _, ok in _nested(order, classes, sizes):
+            inside = [m for m in order if classes.get(m) == own]
+            rounds = [inside[k : k + sizes[own]] for k in range(0, len(inside), sizes[own])]
+            if ok:
+                assert all(r == perm for r in rounds) and sorted(perm) == sorted(large[own])
+
+
+def test_nesting():
+    sizes = {1: 2, 2: 2}
+    classes = {10: 1, 11: 1, 20: 2, 21: 2}
+    assert {own: ok for own, _, _, ok in _nested([10, 20, 21, 20, 21, 11], classes, sizes)} == {1: True, 2: True}
+    assert {own: ok for own, _, _, ok in _nested([10, 20, 11, 21], classes, sizes)}[2] is False  # crosses
+    assert {own: ok for own, _, _, ok in _nested([10, 20, 21, 11, 20, 21], classes, sizes)}[2] is False  # another gap
+    assert {own: ok for own, _, _, ok in _nested([10, 11, 11, 10], classes, sizes)} == {1: False}  # another order
+
+
+def test_host(spark):
+    urls = ["HTTP://User@Www.Example.com:80/x", "https://a.b", "ftp://c/d", "nothing", "", None]
+    rows = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "k int, u string")
+    from pyspark.sql import functions as F
+    assert [r["h"] for r in rows.select("k", host_of(F.col("u")).alias("h")).orderBy("k").collect()] == ["www.example.com", "a.b", "c", None, None, None]
