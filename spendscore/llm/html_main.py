@@ -196,14 +196,21 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def _with_template(rows: DataFrame, templates: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` beside their host's template. A hot host's rows, and copies of its template, are dealt to many tasks."""
+def _salted(templates: DataFrame, hot: DataFrame) -> DataFrame:
+    """A hot host's template as often as its rows are dealt."""
     hot = F.broadcast(hot.withColumn("hot", F.lit(True)))
-    salt = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")
-    left = rows.join(hot, "host", "left").withColumn("salt", salt).drop("hot")
     salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = templates.join(hot, "host", "left").withColumn("salt", F.explode(salts)).drop("hot")
-    return left.join(right, ["host", "salt"], how).drop("salt")
+    return templates.join(hot, "host", "left").withColumn("salt", F.explode(salts)).drop("hot")
+
+
+def _with_template(rows: DataFrame, salted: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` beside their host's template, a written table: Spark sees its size, and only if it is large are rows shuffled.
+
+    Then a hot host's rows go to many tasks.
+    """
+    hot = F.broadcast(hot.withColumn("hot", F.lit(True)))
+    salt = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")
+    return rows.join(hot, "host", "left").withColumn("salt", salt).drop("hot").join(salted, ["host", "salt"], how).drop("salt")
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -242,10 +249,10 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     classes, classes_at = written_at(
         frequent.groupBy("host", F.xxhash64("n", "a", "b").alias("class")).agg(F.collect_list("mark").alias("mark"))
         .where(F.size("mark") >= TOKENS), "token-classes")
-    proposed, proposed_at = written_at(
+    proposed, proposed_at = written_at(_salted(
         classes.select("host", "class", F.size("mark").alias("size"), F.explode("mark").alias("mark"))
         .groupBy("host").agg(F.collect_list(F.struct("mark", "class", "size")).alias("t"))
-        .select("host", F.col("t.mark").alias("marks"), F.col("t.class").alias("classes"), F.col("t.size").alias("sizes")), "proposed-templates")
+        .select("host", F.col("t.mark").alias("marks"), F.col("t.class").alias("classes"), F.col("t.size").alias("sizes")), hot), "proposed-templates")
     judged = _with_template(sequences.select("host", "order"), proposed, hot).mapInPandas(_judged, JUDGED)
     valid = (
         judged.groupBy("host", "class").agg(
@@ -253,11 +260,11 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         .where(F.col("ok") & (F.col("perm") == F.col("perm2")) & (F.col("around") == F.col("around2"))).select("host", "class"))
     # Text is a template's own only if the host has pages enough; tags are in any case.
     text_marks = sequences.select("host", F.explode(F.transform("at", lambda k: F.col("order")[k])).alias("mark")).distinct()
-    template, template_at = written_at(
+    template, template_at = written_at(_salted(
         classes.join(valid, ["host", "class"]).select("host", F.explode("mark").alias("mark"))
         .join(text_marks.withColumn("is_text", F.lit(True)), ["host", "mark"], "left").join(hosts, "host")
         .where(F.col("is_text").isNull() | (F.col("pages") >= FIXED_PAGES))
-        .groupBy("host").agg(F.collect_list("mark").alias("marks")), "templates")
+        .groupBy("host").agg(F.collect_list("mark").alias("marks")), hot), "templates")
 
     # What the slots hold decides, over all pages of a host, which are extracted.
     weights, weights_at = written_at(
