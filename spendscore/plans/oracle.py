@@ -294,6 +294,12 @@ _BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("debit",),
         "SELECT *, round(sum(amount) OVER (PARTITION BY customer_id), 2) AS total_spend FROM debit",
     ),
+    "spend_windows": (
+        ("debit",),
+        """SELECT customer_id, category, txn_date, amount, round(sum(amount) OVER recent, 2) AS three_month_category_spend,
+            round(sum(amount) OVER (PARTITION BY customer_id), 2) AS total_spend FROM debit
+        WINDOW recent AS (PARTITION BY customer_id, category ORDER BY txn_date, amount ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+    ),
     "rolling_3_rows": (
         ("debit",),
         """SELECT customer_id, category, txn_date, amount,
@@ -508,7 +514,7 @@ for _other, _name in {
     "layered_pivot": "pivot_months_first", "stream_to_score": "gold_score",
 }.items():
     _BODIES[_other] = _BODIES[_name]
-for _name in ("total_spend_window", "rolling_3_rows"):
+for _name in ("total_spend_window", "rolling_3_rows", "spend_windows"):
     _BODIES[f"{_name}_heavy"] = _BODIES[_name]
 
 ORACLE: dict[str, str] = {

@@ -186,6 +186,28 @@ def rolling_3_rows_heavy(spark, sf_dir):
     return _rolling_columns(windows.rolling_rows(_debit(spark, sf_dir), 3, hot_rows=0))
 
 
+def _window_columns(rows):
+    """Rows of equal date and amount share out their rolling sums in any order."""
+    return _round(
+        rows.select("customer_id", "category", "txn_date", "amount", "three_month_category_spend", "total_spend"),
+        2,
+        "three_month_category_spend",
+        "total_spend",
+    )
+
+
+@_query
+def spend_windows(spark, sf_dir):
+    """Rolling sums and totals over one shuffle of the rows."""
+    return _window_columns(windows.spend_windows(_debit(spark, sf_dir)))
+
+
+@_query
+def spend_windows_heavy(spark, sf_dir):
+    """The same where every customer that fits the broadcast counts as heavy."""
+    return _window_columns(windows.spend_windows(_debit(spark, sf_dir), hot_rows=0))
+
+
 @_query
 def rolling_3_months(spark, sf_dir):
     rows = windows.rolling_months(_debit(spark, sf_dir), 3)

@@ -174,3 +174,81 @@ def test_order_of_input_rows_changes_nothing(debit):
     for operator in (windows.rolling_rows, windows.rolling_months, silver.spend_profile):
         left, right = operator(debit(*rows)), operator(debit(*shuffled))
         assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
+
+
+@pytest.fixture
+def small_chunks(monkeypatch):
+    monkeypatch.setattr(windows, "_LEAST_CHUNK", 6)
+
+
+@pytest.mark.parametrize("n", [1, 3, 4])
+def test_points_and_buckets_give_the_same_bits(spark, debit, small_chunks, n):
+    """Rows of one customer, day and price in buckets, beside others of the same slice."""
+    rng = random.Random(21)
+    prices = [5.0, 5.0, 5.0, 5.0000001, 4.9999999, 0.0, 0.0, None, None, float("nan"), 70.1, 70.1]
+    rows = [(rng.choice([None, 1, 1]), rng.choice(["2024-01-01", "2024-01-02", None]), rng.choice(prices), "Rent", f"shop {rng.randint(1, 200)}")
+            for _ in range(900)]
+    df = debit(*rows, *[(1, "2024-01-01", 5.0, "Rent", "shop 7")] * 30)
+    bits = lambda hot_rows: sorted(map(repr, windows.rolling_rows(df, n, hot_rows=hot_rows).collect()))
+    assert bits(10**9) == bits(0)
+    chunks = windows._chunked(df, ["customer_id"], ("txn_date", "amount"), ["merchant"], 0).groupBy("_chunk").count().collect()
+    assert len(chunks) > 60 and max(r["count"] for r in chunks) < 60
+    assert any(r["_chunk"]["_bucket"] > 0 for r in chunks) and any(r["_chunk"]["_part"] > 1 for r in chunks)
+
+
+def test_a_few_rows_a_chunk_reach_the_next(spark, debit, small_chunks):
+    """Carried values pass chunks that are shorter than the window."""
+    df = debit(*[(1, f"2024-01-{day:02d}", float(k), "Rent") for day in range(1, 29) for k in (1, 40)[: 1 + day % 2]])
+    for n in (2, 5, 9):
+        left, right = windows.rolling_rows(df, n), windows.rolling_rows(df, n, hot_rows=0)
+        assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
+
+
+def test_one_customer_day_and_price_is_dealt_to_many_tasks(spark):
+    """400,000 merchants: no task of the windows gets more than 5 percent of the rows."""
+    rows = 400_000
+    df = spark.range(rows).selectExpr(
+        "1 AS customer_id", "date'2024-01-01' AS txn_date", "9.99D AS amount", "concat('shop ', id) AS merchant", "'Rent' AS category")
+    settings = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {name: spark.conf.get(name) for name in settings}
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    try:
+        chunk = windows._chunked(df, ["customer_id", "category"], ("txn_date", "amount"), ["merchant"], 0)
+        tasks = chunk.repartition("_chunk").groupBy(F.spark_partition_id().alias("task")).count().collect()
+        got = windows.rolling_rows(df, 3, hot_rows=0)
+        summed = got.groupBy(F.round("three_month_category_spend", 2).alias("s")).count().orderBy("s").collect()
+    finally:
+        for name, setting in kept.items():
+            spark.conf.set(name, setting)
+    assert max(r["count"] for r in tasks) <= 0.05 * rows
+    assert [tuple(r) for r in summed] == [(9.99, 1), (19.98, 1), (29.97, rows - 2)]
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 40, 0])
+def test_both_windows_at_once(spark, debit, hot_rows):
+    rng = random.Random(8)
+    df = debit(*[(rng.choice([None, 1, 1, 2, 3]), f"2024-01-0{rng.randint(1, 9)}", rng.choice([0.5, 2.25, 8.0, None]), rng.choice(["Rent", "Misc"]),
+                  rng.choice("abc")) for _ in range(300)])
+    both = windows.spend_windows(df, hot_rows=hot_rows)
+    assert both.columns == [*df.columns, "total_spend", "three_month_category_spend"] or both.columns == [
+        *df.columns, "three_month_category_spend", "total_spend"]
+    apart = windows.rolling_rows(windows.with_total_spend(df))
+    # equal rows but for their order: the total is among the ties there
+    names = [*df.columns, "total_spend"]
+    assert both.select(names).exceptAll(apart.select(names)).count() == 0
+    alone = windows.rolling_rows(df)
+    names = alone.columns
+    assert both.select(names).exceptAll(alone).count() == alone.exceptAll(both.select(names)).count() == 0
+
+
+def test_both_windows_need_one_shuffle_of_the_rows(spark, debit):
+    df = debit((1, "2024-01-01", 1.0, "Rent"), (2, "2024-01-01", 2.0, "Food"))
+    summed = df.withColumn("total_spend", F.sum("amount").over(windows.Window.partitionBy("customer_id")))
+    plan = windows._rolling(summed, 3, ("customer_id", "category"), ("txn_date", "amount"), "amount", "rolling", ties=["merchant"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    whole = windows.spend_windows(df)._jdf.queryExecution().executedPlan().toString()
+    rows_of_customers = [line for line in whole.splitlines() if "Exchange hashpartitioning(customer_id" in line and "_rows" not in line]
+    windowed = [line for line in whole.splitlines() if "Window [" in line]
+    assert len(windowed) >= 2 and rows_of_customers
