@@ -56,10 +56,10 @@ def ratio_buckets(
     )
 
 
-def _fences(score: DataFrame) -> DataFrame:
+def _fences(score: DataFrame, **options) -> DataFrame:
     spread = F.col("q3") - F.col("q1")
     return grouped_quantiles(
-        score, "sds_score", "total_spend", {"q1": 0.25, "median": 0.5, "q3": 0.75}
+        score, "sds_score", "total_spend", {"q1": 0.25, "median": 0.5, "q3": 0.75}, **options
     ).withColumns(
         {
             "fence_low": F.col("q1") - WHISKER * spread,
@@ -68,21 +68,24 @@ def _fences(score: DataFrame) -> DataFrame:
     )
 
 
-def _with_fences(score: DataFrame) -> DataFrame:
+def _with_fences(score: DataFrame, **options) -> DataFrame:
     # one row per score, of which the clamp allows 901
     return score.filter(F.col("total_spend").isNotNull()).join(
-        F.broadcast(_fences(score)), "sds_score"
+        F.broadcast(_fences(score, **options)), "sds_score"
     )
 
 
 _INSIDE = "total_spend BETWEEN fence_low AND fence_high"
 
 
-def spend_boxstats(score: DataFrame) -> DataFrame:
-    """Box plot of the spend per score: quartiles, whiskers, outlier count."""
+def spend_boxstats(score: DataFrame, **options) -> DataFrame:
+    """Box plot of the spend per score: quartiles, whiskers, outlier count.
+
+    ``options`` are those of ``grouped_quantiles``, ``max_rows`` among them.
+    """
     inside, spend = F.expr(_INSIDE), F.col("total_spend")
     return (
-        _with_fences(score)
+        _with_fences(score, **options)
         .groupBy("sds_score", "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, spend)).alias("lo"),
