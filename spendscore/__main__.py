@@ -26,19 +26,20 @@ def main() -> None:
     parser.add_argument(
         "--months", type=month_range, metavar="FROM:TO", help="store spend by these months, as 2024-01:2024-12"
     )
+    parser.add_argument("--run", help="name of this load: started again, it adds nothing twice")
     parser.add_argument("--preview", action="store_true", help="print some rows of each result")
     args = parser.parse_args()
 
     config = PipelineConfig.from_json(args.settings)
     spark = pipeline.get_session()
     if args.step == "all":
-        pipeline.run_pipeline(spark, config, args.as_of, months=args.months, preview=args.preview)
+        pipeline.run_pipeline(spark, config, args.as_of, months=args.months, preview=args.preview, run=args.run)
     elif args.step == "bronze":
-        pipeline.run_bronze(spark, config, args.as_of)
+        pipeline.run_bronze(spark, config, args.as_of, run=args.run)
     elif args.step == "silver":
         pipeline.run_silver(spark, config, months=args.months, preview=args.preview)
     elif args.step == "gold":
-        pipeline.run_gold(spark, config, args.as_of, preview=args.preview)
+        pipeline.run_gold(spark, config, args.as_of, preview=args.preview, run=args.run)
     else:
         pipeline.run_reports(spark, config, args.as_of, preview=args.preview)
 

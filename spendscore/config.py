@@ -83,6 +83,10 @@ TABLE_PATHS: Mapping[str, str] = {
     "score_audit": "audit_log/sds_score_audit",
     "debit_transactions_stream": "bronze/debit_transactions_stream",
     "daily_spend_stream": "silver/daily_spend_stream",
+    "daily_spend_open": "silver/daily_spend_open",
+    "daily_spend_closed": "silver/daily_spend_closed",
+    "daily_spend_late": "silver/daily_spend_late",
+    "feature_state": "silver/feature_state",
     "pivot_months": "silver/pivot_months",
     **{
         name: f"reports/{name}"

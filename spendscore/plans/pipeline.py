@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from spendscore.config import AUDIT_USER, PipelineConfig
 from spendscore.operators import bronze, gold, reports, silver, windows
 from spendscore.schemas import DEBIT_TRANSACTIONS, INGESTION_DATE
+from spendscore.sources.folders import remove
+from spendscore.sources.ledger import finish, is_stored, store_once
 from spendscore.sources.readers import read_source
 from spendscore.sources.tables import append_audit, read_table, write_table
-from spendscore.sources.workdir import remove
 
 PREVIEW_ROWS = 10
 
@@ -34,28 +35,50 @@ def run_day(spark: SparkSession, as_of: date | None = None) -> date:
 
 
 def run_bronze(
-    spark: SparkSession, config: PipelineConfig, as_of: date | None = None
+    spark: SparkSession,
+    config: PipelineConfig,
+    as_of: date | None = None,
+    *,
+    run: str | None = None,
+    on_stored: Callable[[str], None] | None = None,
 ) -> dict[str, DataFrame]:
-    """Conform the four inputs, label the debits, add all five to bronze."""
+    """Conform the four inputs, label the debits, add all five to bronze.
+
+    With ``run``, a name for this load, a ledger keeps which tables it has stored: the same run started
+    again, after a failure say, adds only what is missing. ``on_stored`` is told each table's name.
+    """
     as_of = run_day(spark, as_of)
-    # The transactions feed two outputs, so they are read and conformed once, whatever their source.
     landed = f"{config.root.rstrip('/')}/staging/transactions-{uuid.uuid4().hex}"
-    conformed = bronze.conform_transactions(read_source(spark, config, "transactions"), as_of)
-    conformed.write.parquet(landed)
-    transactions = spark.read.schema(conformed.schema).parquet(landed)
-    frames = {
-        "salary_income": bronze.conform_salary(read_source(spark, config, "salary_income"), as_of),
+
+    def transactions() -> DataFrame:
+        # They feed two outputs, so they are read and conformed once, whatever their source.
+        if not is_written:
+            conformed = bronze.conform_transactions(read_source(spark, config, "transactions"), as_of)
+            conformed.write.parquet(landed)
+            is_written.append(conformed.schema)
+        return spark.read.schema(is_written[0]).parquet(landed)
+
+    is_written: list = []
+    loads: dict[str, Callable[[], DataFrame]] = {
+        "salary_income": lambda: bronze.conform_salary(read_source(spark, config, "salary_income"), as_of),
         "transactions": transactions,
-        "debit_transactions": bronze.debit_transactions(transactions),
-        "subscriptions": bronze.conform_subscriptions(read_source(spark, config, "subscriptions"), as_of),
-        "credit_card_statements": bronze.conform_statements(
+        "debit_transactions": lambda: bronze.debit_transactions(transactions()),
+        "subscriptions": lambda: bronze.conform_subscriptions(read_source(spark, config, "subscriptions"), as_of),
+        "credit_card_statements": lambda: bronze.conform_statements(
             read_source(spark, config, "credit_card_statements"), as_of
         ),
     }
-    for name, df in frames.items():
-        write_table(df, config, name, mode=config.append_mode, partition_by=[INGESTION_DATE])
-    remove(spark, landed)
-    return {name: read_table(spark, config, name) for name in frames}
+    try:
+        for name, load in loads.items():
+            if run is None:
+                write_table(load(), config, name, mode=config.append_mode, partition_by=[INGESTION_DATE])
+            elif not is_stored(spark, config, run, name):
+                store_once(load(), config, name, run=run, partition_by=[INGESTION_DATE])
+            if on_stored:
+                on_stored(name)
+    finally:
+        remove(spark, landed)
+    return {name: read_table(spark, config, name) for name in loads}
 
 
 def run_silver(
@@ -109,10 +132,12 @@ def run_gold(
     at: datetime | None = None,
     by: str = AUDIT_USER,
     preview: bool = False,
+    run: str | None = None,
 ) -> dict[str, DataFrame]:
     """Score every customer, store the scores, log them for audit.
 
-    The audit log repeats the stored rows; nothing is computed twice.
+    The audit log repeats the stored rows; nothing is computed twice. A named ``run`` logs
+    its scores once, however often it is started.
     """
     as_of = run_day(spark, as_of)
     debit = gold.typed_debit(read_table(spark, config, "debit_transactions_silver"))
@@ -125,7 +150,11 @@ def run_gold(
         partition_by=["score_month"],
     )
     score = read_table(spark, config, "score").filter(F.col("score_month") == f"{as_of:%Y-%m}")
-    append_audit(gold.add_audit(score, by, at), config)
+    audited = gold.add_audit(score, by, at)
+    if run is None:
+        append_audit(audited, config)
+    else:
+        store_once(audited, config, "score_audit", run=run, partition_by=[])
     frames = {"summary": summary, "score": score}
     if preview:
         _show(frames, truncate=False)
@@ -166,15 +195,22 @@ def run_pipeline(
     at: datetime | None = None,
     months: Sequence[str] | None = None,
     preview: bool = False,
+    run: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All four steps in order; the frames they stored or can compute."""
+    """All four steps in order; the frames they stored or can compute.
+
+    A named ``run`` can be started again after a failure: see ``run_bronze``.
+    """
     as_of = run_day(spark, as_of)
-    return {
-        **run_bronze(spark, config, as_of),
+    frames = {
+        **run_bronze(spark, config, as_of, run=run),
         **run_silver(spark, config, months=months, preview=preview),
-        **run_gold(spark, config, as_of, at=at, preview=preview),
+        **run_gold(spark, config, as_of, at=at, preview=preview, run=run),
         **run_reports(spark, config, as_of, preview=preview),
     }
+    if run is not None:
+        finish(spark, config, run)
+    return frames
 
 
 def _show(frames: dict[str, DataFrame], n: int = 20, truncate: bool = True) -> None:
