@@ -44,24 +44,24 @@ def avg_salary(salary: DataFrame) -> DataFrame:
     return salary.groupBy("customer_id").agg(F.avg("salary_amount").alias("avg_salary"))
 
 
-def customer_features(
+def daily_features(
     debit: DataFrame,
     labels: Mapping[str, str] = FEATURE_LABELS,
     recurring_label: str = RECURRING_LABEL,
+    by: Sequence[str] = ("customer_id", "txn_date"),
 ) -> DataFrame:
-    """Totals, sums per label, counts and volatility per customer.
-
-    One roll-up, customer and day first, then customer: the daily sums that
-    the volatility needs also carry everything else. Both levels combine
-    before their shuffle. A sum over no rows stays NULL here.
-    """
+    """Totals, sums per label and counts per customer and day."""
     category, amount = F.col("category"), F.col("amount")
-    daily = debit.groupBy("customer_id", "txn_date").agg(
+    return debit.groupBy(*by).agg(
         F.sum(amount).alias("total_spend"),
         *[F.sum(F.when(category == label, amount)).alias(name) for name, label in labels.items()],
         F.count(F.lit(1)).alias("total_txns"),
         F.count_if(category == recurring_label).alias("recurring_txns"),
     )
+
+
+def features_of_days(daily: DataFrame, labels: Mapping[str, str] = FEATURE_LABELS) -> DataFrame:
+    """Features per customer out of one row per customer and day."""
     summed = ("total_spend", *labels, "total_txns", "recurring_txns")
     features = daily.groupBy("customer_id").agg(
         *[F.sum(name).alias(name) for name in summed],
@@ -72,6 +72,20 @@ def customer_features(
     return features.withColumn("volatility_index", F.when(known, F.col("volatility_index")))
 
 
+def customer_features(
+    debit: DataFrame,
+    labels: Mapping[str, str] = FEATURE_LABELS,
+    recurring_label: str = RECURRING_LABEL,
+) -> DataFrame:
+    """Totals, sums per label, counts and volatility per customer.
+
+    One roll-up, customer and day first, then customer: the daily sums that
+    the volatility needs also carry everything else. Both levels combine
+    before their shuffle. A sum over no rows stays NULL here.
+    """
+    return features_of_days(daily_features(debit, labels, recurring_label), labels)
+
+
 def debit_features(
     debit: DataFrame,
     labels: Mapping[str, str] = FEATURE_LABELS,
@@ -117,6 +131,17 @@ def gold_summary(
         features = with_merchant_recurrence(features, debit)
     elif recurring_from != "label":
         raise ValueError(f"unknown recurring_from: {recurring_from!r}")
+    return summary_of(features, salary, salary_periods=salary_periods, include_key=include_key)
+
+
+def summary_of(
+    features: DataFrame,
+    salary: DataFrame,
+    *,
+    salary_periods: int = SALARY_PERIODS,
+    include_key: bool = True,
+) -> DataFrame:
+    """Features with the average salary and the ratios."""
     joined = features.join(avg_salary(salary), "customer_id", "left")
     return add_ratios(fill_features(joined, include_key), salary_periods).select(*SUMMARY_COLUMNS)
 
