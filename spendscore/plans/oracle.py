@@ -508,10 +508,26 @@ _BODIES["stream_daily_spend_update"] = (
         round(sum(value), 2) AS daily_spend FROM events GROUP BY 1, 2""",
 )
 
+_BODIES["table_widen_schema"] = (
+    (),
+    """SELECT CAST(c_custkey AS BIGINT) AS customer_id, CAST(floor(c_acctbal) AS DOUBLE) AS amount, CAST(NULL AS VARCHAR) AS c_mktsegment,
+        DATE '2024-04-01' AS ingestion_date FROM customer
+    UNION ALL SELECT c_custkey + 3000000000, CAST(c_acctbal AS DOUBLE), c_mktsegment, DATE '2024-04-02' FROM customer""",
+)
+_BODIES["rerun_after_failure"] = (
+    ("transactions", "salary", "subs", "statements", "debit"),
+    """SELECT 'salary_income' AS name, count(*) AS rows FROM salary UNION ALL SELECT 'transactions', count(*) FROM transactions
+    UNION ALL SELECT 'subscriptions', count(*) FROM subs UNION ALL SELECT 'credit_card_statements', count(*) FROM statements
+    UNION ALL SELECT 'debit_transactions', count(*) FROM debit""",
+)
+
 # Where a second query takes another way to the same rows, it has the same SQL.
 for _other, _name in {
     "layered_histogram": "score_histogram", "reports_after_two_months": "score_histogram",
     "layered_pivot": "pivot_months_first", "stream_to_score": "gold_score",
+    "features_incremental": "gold_summary", "spend_boxstats_selected": "spend_boxstats",
+    "categorize_rules": "categorize", "nearest_category_table": "nearest_category",
+    "stream_daily_spend_late": "stream_daily_spend_update", "stream_compacted": "stream_daily_spend_update",
 }.items():
     _BODIES[_other] = _BODIES[_name]
 for _name in ("total_spend_window", "rolling_3_rows", "spend_windows"):

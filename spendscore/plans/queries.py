@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscore.config import PipelineConfig, SourceSpec
-from spendscore.operators import bronze, gold, reports, silver, text, windows
-from spendscore.plans import pipeline
+from spendscore.config import CATEGORY_EXAMPLES, PipelineConfig, SourceSpec
+from spendscore.operators import bronze, examples, gold, reports, rules, silver, text, windows
+from spendscore.plans import increments, pipeline
 from spendscore.sources import fixtures
 from spendscore.sources.readers import read_source
 from spendscore.sources.tables import append_audit, read_table, write_table
+from spendscore.sources.widening import read_widened, write_load
 from spendscore.sources.workdir import stage, work_dir
-from spendscore.streaming import streams
+from spendscore.streaming import late, streams
+from spendscore.streaming.compaction import committed_batch, compact, read_batches
 
 # The run's date and time, given so that stamps can be compared.
 AS_OF, NEXT_DAY = date(2024, 4, 1), date(2024, 4, 2)
@@ -130,6 +133,12 @@ def categorize(spark, sf_dir):
     return _debit(spark, sf_dir)
 
 
+@_query
+def categorize_rules(spark, sf_dir):
+    """The default rules as a table, matched by an index of their rarest runs."""
+    return rules.categorize_by_rules(bronze.debit_only(_transactions(spark, sf_dir)), rules.rules_table(spark))
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -305,6 +314,18 @@ def table_overwrite(spark, sf_dir):
     return _rounded_score(read_table(spark, config, "score"))
 
 
+@_query
+def table_widen_schema(spark, sf_dir):
+    """A load of whole numbers, then one whose ids are beyond the int range and whose amounts have cents."""
+    config = PipelineConfig(work_dir(spark, "widen"))
+    customers = fixtures._read(spark, sf_dir, "customer")
+    small = customers.select(F.col("c_custkey").cast("int").alias("customer_id"), F.floor("c_acctbal").cast("int").alias("amount"))
+    large = customers.select((F.col("c_custkey") + 3_000_000_000).alias("customer_id"), F.col("c_acctbal").cast("double").alias("amount"), "c_mktsegment")
+    for day, load in ((AS_OF, small), (NEXT_DAY, large)):
+        write_load(load.withColumn("ingestion_date", F.lit(day)), config, "salary_income", load=day.isoformat(), by="ingestion_date")
+    return read_widened(spark, config, "salary_income", by="ingestion_date")
+
+
 # --- gold -------------------------------------------------------------------
 
 
@@ -352,6 +373,18 @@ def gold_summary(spark, sf_dir):
     return _rounded_summary(gold.gold_summary(_debit(spark, sf_dir), _salary(spark, sf_dir)))
 
 
+@_query
+def features_incremental(spark, sf_dir):
+    """Three loads one after another, each added to the stored state; the summary out of the state."""
+    config = PipelineConfig(work_dir(spark, "increments"))
+    debit = stage(silver.with_year_month(_debit(spark, sf_dir)), "debit")
+    for k, day in enumerate((date(2024, 3, 31), AS_OF, NEXT_DAY)):
+        load = debit.filter(F.col("mcc_code") % 3 == k).withColumn("ingestion_date", F.lit(day))
+        write_table(load, config, "debit_transactions_silver", mode="replace_partition", partition_by=["ingestion_date"])
+        increments.update_features(spark, config, day)
+    return _rounded_summary(increments.summary_from_state(spark, config, _salary(spark, sf_dir)))
+
+
 @_query
 def gold_ratios(spark, sf_dir):
     return gold_summary(spark, sf_dir).select(
@@ -439,6 +472,31 @@ def layered_pivot(spark, sf_dir):
     return _round(read_table(spark, _layered(spark, sf_dir), "pivot_months"), 2, *MONTHS)
 
 
+@_query
+def rerun_after_failure(spark, sf_dir):
+    """A named run that fails after its second table and is started again, in append mode: rows of each table."""
+    raw, root = work_dir(spark, "raw"), work_dir(spark, "tables")
+    sources = {}
+    for name in ("salary_income", "transactions", "subscriptions", "credit_card_statements"):
+        sources[name] = SourceSpec("parquet", f"{raw}/{name}")
+        getattr(fixtures, name)(spark, sf_dir).write.parquet(sources[name].location)
+    config = PipelineConfig(root, sources)
+
+    def fail(name):
+        if name == "transactions":
+            raise InterruptedError(name)
+
+    try:
+        pipeline.run_bronze(spark, config, AS_OF, run="first", on_stored=fail)
+    except InterruptedError:
+        pipeline.run_bronze(spark, config, AS_OF, run="first")
+    counts = [
+        read_table(spark, config, name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
+        for name in (*sources, "debit_transactions")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @_query
 def reports_after_two_months(spark, sf_dir):
     """Scores of two months are kept; the reports are those of the newer."""
@@ -474,6 +532,13 @@ def spend_boxstats(spark, sf_dir):
     return _round(_round(stats, 4, "q1", "median", "q3"), 2, "lo", "hi")
 
 
+@_query
+def spend_boxstats_selected(spark, sf_dir):
+    """The same where a range of more than 10 different rows is narrowed further."""
+    stats = reports.spend_boxstats(stage(_cent_score(spark, sf_dir), "cent-score"), max_rows=10)
+    return _round(_round(stats, 4, "q1", "median", "q3"), 2, "lo", "hi")
+
+
 @_query
 def spend_outliers(spark, sf_dir):
     return reports.spend_outliers(stage(_cent_score(spark, sf_dir), "cent-score"))
@@ -524,6 +589,14 @@ def nearest_category_char3(spark, sf_dir):
     return _round(matched, 6, "similarity")
 
 
+@_query
+def nearest_category_table(spark, sf_dir):
+    """The examples as a table, whose frequent tokens are those of more than two examples."""
+    flat = [(label, name) for label, group in CATEGORY_EXAMPLES for name in group]
+    listed = spark.createDataFrame([(k, *row) for k, row in enumerate(flat)], "example long, label string, name string")
+    return _round(examples.nearest_of_many(_debit(spark, sf_dir), listed, postings=2), 6, "similarity")
+
+
 @_query
 def label_nearest(spark, sf_dir):
     rows = text.label_nearest(_debit(spark, sf_dir), tokenizer="char3", min_similarity=0.1)
@@ -584,3 +657,36 @@ def stream_to_score(spark, sf_dir):
     _store_salary(config, _salary(spark, sf_dir))
     pipeline.run_silver(spark, config, debit_tables=["debit_transactions_stream"])
     return _rounded_score(pipeline.run_gold(spark, config, AS_OF, at=AT)["score"])
+
+
+def _event_files(spark, sf_dir, files):
+    """The event table as a stream of so many files, each with rows of all days; a file is a batch."""
+    raw = work_dir(spark, "stream-events")
+    table = fixtures._read(spark, sf_dir, "events")
+    table.repartition(files, F.pmod(F.xxhash64(*table.columns), F.lit(files))).write.option("maxRecordsPerFile", 0).parquet(raw)
+    return fixtures.event_columns(streams.stream_files(spark, raw, table.schema, maxFilesPerTrigger="1"))
+
+
+@_query
+def stream_daily_spend_late(spark, sf_dir):
+    """Events out of order in four batches: closed days, open days and the late rows folded in."""
+    config, log = PipelineConfig(work_dir(spark, "stream-late")), work_dir(spark, "stream-log")
+    late.stream_daily_spend_kept(_event_files(spark, sf_dir, 4), config, log).awaitTermination()
+    days = late.corrected_daily_spend(spark, config, with_open=True).drop("late_rows")
+    return _round(days, 2, "daily_spend")
+
+
+@_query
+def stream_compacted(spark, sf_dir):
+    """Events by way of 50 batches into a table that is folded, repeated in part and folded again; its sums by day."""
+    config, log = PipelineConfig(work_dir(spark, "stream-folded")), work_dir(spark, "stream-log")
+    name = "daily_spend_stream"
+    streams.stream_to_table(_event_files(spark, sf_dir, 50), config, name, log).awaitTermination()
+    last = committed_batch(spark, log)
+    again = read_batches(spark, config, name).filter(F.col("batch") == last)
+    again = stage(again, "again")
+    compact(spark, config, name, log)
+    write_table(again, config, name, mode="replace_partition", partition_by=["batch"])
+    compact(spark, config, name, log)
+    days = read_batches(spark, config, name).groupBy("customer_id", F.to_date("ts").alias("txn_date")).agg(F.sum("amount").alias("daily_spend"))
+    return _round(days, 2, "daily_spend")
