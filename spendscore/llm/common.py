@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import functools
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +47,66 @@ def shipped(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: What clears the caches of each module, and the module whose function this worker ran last.
+_CACHES: dict[str, list[Callable[[], None]]] = {}
+_LAST: list[str] = []
+
+
+def forgettable(module: str, clear: Callable[[], None]) -> None:
+    """Say how a module's cache is cleared when a worker goes on to another module's work."""
+    _CACHES.setdefault(module, []).append(clear)
+
+
+@functools.cache
+def _libc() -> ctypes.CDLL | None:
+    name = ctypes.util.find_library("c")
+    library = ctypes.CDLL(name) if name else None
+    return library if hasattr(library, "malloc_trim") else None
+
+
+def tidied(function):
+    """A function over a task's batches that leaves no memory behind.
+
+    Spark uses Python workers again: what one operator's caches and allocators keep would stay through
+    all that follow. Caches of other modules go before the first batch, freed memory goes back after the last.
+    """
+    owner = function.__module__
+
+    @functools.wraps(function)
+    def run(batches, *args, **options):
+        if _LAST != [owner]:
+            for module, clears in _CACHES.items():
+                if module != owner:
+                    for clear in clears:
+                        clear()
+            _LAST[:] = [owner]
+        try:
+            yield from function(batches, *args, **options)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if library := _libc():
+                library.malloc_trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened where the table has columns so called, whatever their case."""
+    taken = {column.lower() for column in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import mixed, removed, shipped, written_at
+from spendscore.llm.common import forgettable, mixed, removed, shipped, tidied, written_at
 from spendscore.llm.filters import member_filter, passing
 
 #: Bits of the filter that keeps documents without any hit from being shuffled (a fixed 8 MB).
@@ -40,6 +40,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+forgettable(__name__, _WORDS.clear)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -93,6 +94,7 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(total)
 
 
+@tidied
 def _item_rows(batches):
     for pdf in batches:
         words = [tokens(t) for t in pdf["text"]]
@@ -102,6 +104,7 @@ def _item_rows(batches):
         })
 
 
+@tidied
 def _seed_rows(batches, window: int, percent: int):
     """Every seed of every item."""
     for pdf in batches:
@@ -115,6 +118,7 @@ def _seed_rows(batches, window: int, percent: int):
                 })
 
 
+@tidied
 def _hits(batches, masks, places):
     """Documents with at least one seed in the filter: their words and such seeds."""
     on = places.value
@@ -142,6 +146,7 @@ def _best(equal: np.ndarray, span: int) -> tuple[int, int]:
     return int(inside[start]), start
 
 
+@tidied
 def _compared(batches, window: int):
     """Per candidate alignment: the best window of equal words."""
     for pdf in batches:
@@ -203,6 +208,7 @@ def contaminated(
         ),
         "hits",
     )
+    places.destroy()
     single = hits.select("doc", "mark", F.explode(F.arrays_zip("at", "hash")).alias("h")).select("doc", "mark", "h.*")
     aligned, aligned_at = written_at(
         single.withColumnRenamed("at", "place").join(index, "hash")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import shipped, written
+from spendscore.llm.common import shipped, tidied, unused, written
 
 SLICES = 32
 
@@ -37,15 +37,17 @@ def passing(on: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return at[_set(on, places(hashes[at], bits)[1]).astype(bool)]
 
 
+@tidied
 def _member_part(batches, bits: int):
-    on = np.zeros(1 << bits, bool)
+    on = np.zeros(1 << (bits - 3), np.uint8)
     for pdf in batches:
         for at in places(pdf["hash"].to_numpy().view(np.uint64), bits):
-            on[at] = True
-    parts = np.array_split(np.packbits(on, bitorder="little"), SLICES)
+            np.bitwise_or.at(on, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    parts = np.array_split(on, SLICES)
     yield pd.DataFrame({"slice": range(SLICES), "bits": [zlib.compress(x.tobytes(), 1) for x in parts]})
 
 
+@tidied
 def _united(batches):
     whole: dict[int, np.ndarray] = {}
     for pdf in batches:
@@ -79,11 +81,12 @@ def split_by_keys(df: DataFrame, keys: DataFrame, own: Column, key: Column) -> t
     word = lambda h: F.pmod(F.shiftrightunsigned(h, 6), F.lit(TABLE_WORDS))
     place = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
     hashes = keys.select(key.alias("h"))
+    of_word, of_bits = unused(df, "__word", "__bits")
     bit = F.expr("shiftleft(1L, cast(h & 63 AS int))")
     table = written(
-        hashes.select(word(F.col("h")).alias("__word"), bit.alias("bit")).groupBy("__word").agg(F.bit_or("bit").alias("__bits")),
+        hashes.select(word(F.col("h")).alias(of_word), bit.alias("bit")).groupBy(of_word).agg(F.bit_or("bit").alias(of_bits)),
         "key-filter",
     )
-    marked = df.join(F.broadcast(table), word(own) == F.col("__word"), "left")
-    may = F.coalesce(F.getbit("__bits", place(own)) == 1, F.lit(False))
-    return marked.where(may).select(*[df[c] for c in df.columns]), marked.where(~may).select(*[df[c] for c in df.columns])
+    marked = df.join(F.broadcast(table), word(own) == F.col(of_word), "left")
+    may = F.coalesce(F.getbit(of_bits, place(own)) == 1, F.lit(False))
+    return marked.where(may).drop(of_word, of_bits), marked.where(~may).drop(of_word, of_bits)

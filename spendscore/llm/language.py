@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import held_out, in_training, shipped, written
+from spendscore.llm.common import forgettable, held_out, in_training, shipped, tidied, written
 
 #: A language's labelled text: at most so many documents, so many characters of each, and so
 #: many characters in all. This bounds the model whatever the table's size.
@@ -161,6 +161,9 @@ def _model(samples: tuple[tuple[str, str], ...]) -> Model:
     return Model(dict(samples))
 
 
+forgettable(__name__, _model.cache_clear)
+
+
 def learned_samples(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -205,6 +208,7 @@ def typical_bits(samples: tuple[tuple[str, str], ...]) -> dict[str, float]:
     return out
 
 
+@tidied
 def _predicted(batches, samples, typical):
     model = _model(samples.value)
     for pdf in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import removed, written_at
+from spendscore.llm.common import removed, unused, written_at
 from spendscore.llm.filters import split_by_keys
 
 #: Characters that do not count at either end of a line.
@@ -61,6 +61,7 @@ def line_windows(
     * An empty table gives no rows.
     """
     spark = docs.sparkSession
+    of_doc, of_mark, of_cuts = unused(docs, "__cut_doc", "__cut_mark", "__cuts")
     key = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
     full, found = _windows(F.col("text"), size)
     windows, windows_at = written_at(
@@ -76,24 +77,24 @@ def line_windows(
     )
     later = windows.join(repeated, ["h1", "h2"]).where(F.struct("doc", "mark", "k") > F.col("first"))
     cuts, _ = written_at(
-        later.groupBy(F.col("doc").alias("__cut_doc"), F.col("mark").alias("__cut_mark"))
-        .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("from", "to")))).alias("__cuts")),
+        later.groupBy(F.col("doc").alias(of_doc), F.col("mark").alias(of_mark))
+        .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("from", "to")))).alias(of_cuts)),
         "cuts",
     )
     removed(spark, windows_at, repeated_at)
     rest = docs.drop(*counts)
     text = F.col(text_col)
     lines = _lines(text)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__cuts"))
-    key = F.xxhash64("__cut_doc", "__cut_mark")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(of_cuts))
+    key = F.xxhash64(of_doc, of_mark)
     touched, whole = split_by_keys(rest, cuts, F.xxhash64(F.col(id_col), F.xxhash64(text)), key)
     changed = (
-        touched.join(cuts, F.col(id_col).eqNullSafe(F.col("__cut_doc")) & (F.xxhash64(text) == F.col("__cut_mark")), "left")
+        touched.join(cuts, F.col(id_col).eqNullSafe(F.col(of_doc)) & (F.xxhash64(text) == F.col(of_mark)), "left")
         .withColumn(counts[0], F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("long"))
-        .withColumn(counts[1], F.coalesce(F.when(F.col("__cuts").isNotNull(), F.size("__cuts")), F.lit(0)).cast("long"))
-        .withColumn(text_col, F.when(F.col("__cuts").isNull(), text).otherwise(
+        .withColumn(counts[1], F.coalesce(F.when(F.col(of_cuts).isNotNull(), F.size(of_cuts)), F.lit(0)).cast("long"))
+        .withColumn(text_col, F.when(F.col(of_cuts).isNull(), text).otherwise(
             F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")))
-        .drop("__cut_doc", "__cut_mark", "__cuts")
+        .drop(of_doc, of_mark, of_cuts)
     )
     same = whole.withColumns({
         counts[0]: F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("long"), counts[1]: F.lit(0).cast("long")})

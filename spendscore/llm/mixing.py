@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import removed, written_at
+from spendscore.llm.common import removed, unused, written_at
 
 #: What separates words, for counting tokens.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -94,6 +94,7 @@ def mixed_sources(
     if not (0 <= entropy <= 1 and repeats > 0 and budget > 0):
         raise ValueError("entropy is a share, repeats and budget are positive")
     spark = docs.sparkSession
+    of_src, of_full, of_end = unused(docs, "__mix_src", "__mix_full", "__mix_end")
     sized, sized_at = written_at(
         docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("src"), n_words(F.col(text_col)).alias("tokens"))
         .where("tokens > 0"),
@@ -131,21 +132,21 @@ def mixed_sources(
     cuts, _ = written_at(
         plan.join(buckets, same(plan, buckets), "left").drop(buckets["src"]).alias("p")
         .join(ends.alias("e"), F.col("p.src").eqNullSafe(F.col("e.src")), "left")
-        .select(F.col("p.src").alias("__mix_src"), F.col("full").alias("__mix_full"),
+        .select(F.col("p.src").alias(of_src), F.col("full").alias(of_full),
                 # No place is below its own bucket's start, so the bucket alone bounds what comes before it.
-                F.coalesce("end", "bucket").alias("__mix_end")),
+                F.coalesce("end", "bucket").alias(of_end)),
         "draws",
     )
     removed(spark, sized_at, sums_at, plan_at, buckets_at, ends_at)
     drawn = (
         docs.drop("n_tokens", "block", "place")
         .withColumn("n_tokens", n_words(F.col(text_col))).where("n_tokens > 0")
-        .join(cuts, F.col(source_col).eqNullSafe(F.col("__mix_src")))
+        .join(cuts, F.col(source_col).eqNullSafe(F.col(of_src)))
     )
-    more = F.coalesce(place(F.col(id_col), F.col("__mix_full")) <= F.col("__mix_end"), F.lit(False)).cast("long")
-    copies = F.col("__mix_full") + more
+    more = F.coalesce(place(F.col(id_col), F.col(of_full)) <= F.col(of_end), F.lit(False)).cast("long")
+    copies = F.col(of_full) + more
     return (
         drawn.withColumn("block", F.explode(F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1))))
         .withColumn("place", place(F.col(id_col), F.col("block")))
-        .drop("__mix_src", "__mix_full", "__mix_end")
+        .drop(of_src, of_full, of_end)
     )

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import mixed, removed, shipped, written_at
+from spendscore.llm.common import forgettable, mixed, removed, shipped, tidied, written_at
 from spendscore.llm.components import connected
 from spendscore.llm.filters import SLICES, member_filter, passing
 
@@ -52,6 +52,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+forgettable(__name__, _WORDS.clear)
 
 
 def _every_shingle(text: str | None, length: int) -> np.ndarray:
@@ -95,6 +96,7 @@ def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
+@tidied
 def _sketched(batches, length: int, bits: int):
     """How often each counter is hit by the rows of this task, in slices."""
     counts = np.zeros(1 << bits, np.uint32)
@@ -107,6 +109,7 @@ def _sketched(batches, length: int, bits: int):
     yield pd.DataFrame({"slice": range(SLICES), "counts": parts})
 
 
+@tidied
 def _added(batches):
     """The sums of the slices that reach this task, on a logarithmic scale of a byte."""
     sums: dict[int, np.ndarray] = {}
@@ -143,6 +146,7 @@ def _objects(values: list) -> pd.Series:
     return pd.Series(values, dtype=object)
 
 
+@tidied
 def _rows(batches, length: int, percent: int, bits: int, counts):
     """Per document: set size, a digest of the set, its rarest columns in order, and its parities."""
     frequency = counts.value
@@ -166,6 +170,7 @@ def _rows(batches, length: int, percent: int, bits: int, counts):
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": sizes, "cls": digests, "prefix": _objects(prefixes), "odd": _objects(odd)})
 
 
+@tidied
 def _entries(batches, several):
     """The columns of each class that another class may have too, with their positions."""
     on = several.value
@@ -179,6 +184,7 @@ def _entries(batches, several):
         yield out
 
 
+@tidied
 def _sets(batches, length: int, wanted):
     """The whole sets of the documents whose ids pass the filter."""
     for pdf in batches:
@@ -234,6 +240,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> t
         .join(ends.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]),
         "sets",
     )
+    wanted.destroy()
     of = lambda end: sets.select(F.col("cls").alias(end), F.col("shingles").alias(f"set_{end}"))
     links, links_at = written_at(
         pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
@@ -276,6 +283,7 @@ def ngram_join(
         ).withColumn("doc_id", F.col("doc_id").cast("long")),
         "rows",
     )
+    counts.destroy()
     classes, classes_at = written_at(
         rows.where("cls IS NOT NULL AND size(prefix) > 0").groupBy("cls").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd")),
@@ -294,6 +302,7 @@ def ngram_join(
         .select("cls", "doc_id", "n", "e.*").join(several, "col"),
         "shared",
     )
+    on.destroy()
     # The same hubs for many columns: the classes whose digests come first. Ranks are cut before the shuffle.
     turn = F.row_number().over(Window.partitionBy("col").orderBy("cls"))
     hubs, hubs_at = written_at(shared.withColumn("turn", turn).where(F.col("turn") <= HUBS).drop("turn"), "hubs")

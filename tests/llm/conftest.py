@@ -3,6 +3,9 @@ from __future__ import annotations
 import pytest
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use themselves, with such as need quoting.
+CLASHES = ("id", "n", "cls", "words", "hash", "doc", "mark", "score", "kept", "block", "component_id", "item", "root", "src", "tokens",
+           "a.b", "__gone", "__again", "__word", "__bits", "__cut_doc", "__cut_mark", "__cuts", "__mix_src", "__mix_full", "__n_cut", "__WORD_")
 
 
 @pytest.fixture
@@ -13,7 +16,6 @@ def documents(spark):
         full = [(*row, "en", "src")[:4] if len(row) < 4 else row for row in rows]
         full = [(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in full]
         df = spark.createDataFrame(full, DOCUMENT)
-        names = ("id", "n", "cls", "words", "hash", "doc", "mark", "score", "kept", "block", "component_id", "item", "root", "src", "tokens")
-        return df.selectExpr("*", *[f"'clash' AS {name}" for name in names])
+        return df.selectExpr("*", *[f"'clash' AS `{name}`" for name in CLASHES])
 
     return make
