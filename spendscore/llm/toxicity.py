@@ -15,12 +15,14 @@ import unicodedata
 from collections import Counter
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import held_out, in_training, shipped, written
-from spendscore.llm.filters import split_by_keys
+from spendscore.llm.common import forgettable, held_out, in_training, removed, shipped, tidied, written, written_at
+from spendscore.llm.filters import member_filter, passing, split_by_keys
 
 # Letters of other scripts that look like Latin ones, and signs used for letters.
 HOMOGLYPHS = {
@@ -38,11 +40,15 @@ EXCEPTIONS = (
 )
 #: Lengths of word beginnings that may become entries.
 STEMS = range(5, 10)
-#: A candidate occurs in this share of the toxic rows, and in so many at least. At most
-#: words a row / share candidates exist, however many rows there are.
-LEAST_SHARE, LEAST_ROWS = 0.01, 4
-#: An entry is this many times as frequent in toxic rows as in others.
-LEAST_RATIO = 8.0
+#: A candidate occurs in so many toxic rows, whatever their number.
+LEAST_ROWS = 4
+#: An entry is this many times as frequent in toxic rows as in others, also if its ratio is lowered by so many of its
+#: standard errors: what a few rows may have by chance is no entry.
+LEAST_RATIO, ERRORS = 8.0, 1.64
+#: Entries beyond which there is an error, since the lexicon is sent to all tasks.
+MOST_ENTRIES = 1_000_000
+#: Bits of the filter that spares other entries of clean rows a shuffle (a fixed 4 MB).
+FILTER_BITS = 25
 #: Added to the length, so that one bad word in three doesn't outweigh the whole.
 EXTRA_WORDS = 10
 #: The score at the boundary between the classes.
@@ -74,39 +80,56 @@ def _entries(text: str | None) -> set[str]:
     return found
 
 
+def _rows_of(counts: Counter[str], on: np.ndarray | None) -> pd.DataFrame:
+    """Counts with the entries' hashes; with a filter, of what passes it."""
+    entries = [*counts]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, entries), np.uint64, len(entries))
+    chosen = range(len(entries)) if on is None else passing(on, hashes)
+    entries = [entries[k] for k in chosen]
+    return pd.DataFrame({"entry": pd.Series(entries, dtype=object), "n": pd.Series([counts[e] for e in entries], dtype="int64"),
+                         "hash": hashes[list(chosen)].view(np.int64)})
+
+
+@tidied
 def _counted(batches, wanted):
-    """How many texts of this task have each entry; of all entries, or the wanted ones."""
-    only = wanted.value if wanted is not None else None
+    """How many texts of this task have each entry; of all entries, or those that pass a filter."""
+    on = wanted.value if wanted is not None else None
     counts: Counter[str] = Counter()
     for pdf in batches:
         for text in pdf["text"]:
-            found = _entries(text)
-            counts.update(found if only is None else found & only)
+            counts.update(_entries(text))
         if len(counts) > 300_000:
-            yield pd.DataFrame(counts.items(), columns=["entry", "n"])
+            yield _rows_of(counts, on)
             counts = Counter()
-    yield pd.DataFrame(counts.items(), columns=["entry", "n"])
+    yield _rows_of(counts, on)
 
 
 def learned_lexicon(labelled: DataFrame) -> dict[str, float]:
-    """Weights of entries from rows of (text, toxic)."""
+    """Weights of entries from rows of (text, toxic).
+
+    Candidates and their counts in clean rows meet in a join; the driver gets the entries that pass the ratio alone.
+    """
     spark = labelled.sparkSession
     sizes = {r["toxic"]: r["n"] for r in labelled.where("toxic IN (0, 1)").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    least = max(LEAST_ROWS, math.ceil(LEAST_SHARE * toxic))
 
     def count(label: int, wanted=None) -> DataFrame:
         rows = labelled.where(F.col("toxic") == label).select("text")
-        parts = rows.mapInPandas(functools.partial(_counted, wanted=wanted), "entry string, n long")
-        return parts.groupBy("entry").agg(F.sum("n").alias("n"))
-
-    bad = {r["entry"]: r["n"] for r in count(1).where(F.col("n") >= least).collect()}
-    good = {r["entry"]: r["n"] for r in count(0, spark.sparkContext.broadcast(set(bad))).collect()} if bad else {}
-    weights = {}
-    for entry, n in bad.items():
-        ratio = (n + 0.5) / (toxic + 1) / ((good.get(entry, 0) + 0.5) / (clean + 1))
-        if ratio >= LEAST_RATIO:
-            weights[entry] = math.log(ratio)
+        parts = rows.mapInPandas(functools.partial(_counted, wanted=wanted), "entry string, n long, hash long")
+        return parts.groupBy("entry").agg(F.sum("n").alias("n"), F.min("hash").alias("hash"))
+
+    bad, bad_at = written_at(count(1).where(F.col("n") >= LEAST_ROWS), "candidates")
+    on = spark.sparkContext.broadcast(member_filter(bad, FILTER_BITS))
+    good = count(0, on).select("entry", F.col("n").alias("clean"))
+    often, seldom = F.col("n") + 0.5, F.coalesce("clean", F.lit(0)) + 0.5
+    ratio = F.log(often / (toxic + 1)) - F.log(seldom / (clean + 1))
+    sure = ratio - ERRORS * F.sqrt(1 / often + 1 / seldom) >= math.log(LEAST_RATIO)
+    passed, passed_at = written_at(bad.join(good, "entry", "left").where(sure).select("entry", ratio.alias("weight")), "lexicon")
+    on.destroy()
+    if (entries := passed.count()) > MOST_ENTRIES:
+        raise ValueError(f"{entries} entries pass the ratio; a lexicon has {MOST_ENTRIES} at most")
+    weights = {r["entry"]: r["weight"] for r in passed.collect()}
+    removed(spark, bad_at, passed_at)
     return weights
 
 
@@ -141,6 +164,10 @@ def _matcher(lexicon: tuple[tuple[str, float], ...]) -> Matcher:
     return Matcher(dict(lexicon))
 
 
+forgettable(__name__, _matcher.cache_clear)
+
+
+@tidied
 def _features(batches, lexicon):
     matcher = _matcher(lexicon.value)
     for pdf in batches:
@@ -179,7 +206,8 @@ def toxicity(
     Lexicon and boundary are learned from the labelled rows that are not held out; with
     ``predicted`` 1 from a score of 0.3 on.
 
-    * NULL and wordless texts score 0, and so does everything if no row is labelled toxic.
+    * NULL and wordless texts score 0, and so does everything if no row is labelled toxic. Texts of any length are scored whole.
+    * Ties: of equally good boundaries the middle one is taken; of entries at one place the heaviest counts.
     * Labels other than 0 and 1 are ignored; an id labelled twice counts as often.
     * Repeated rows get equal results; rows without id are held out and scored.
     * An empty table gives no rows; further columns are ignored.
