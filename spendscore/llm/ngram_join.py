@@ -14,7 +14,9 @@ things keep the product small, none of which loses a link:
 The first product runs by blocks of columns and is taken with a few rows of each column,
 the same for many columns, so it yields a bounded number of pairs per entry. Its verified links make
 components; the second product then takes only pairs of a column that lie in
-different components. Overlaps are counted over the whole rows in the end.
+different components. For the pairs that are left the product goes on over all columns, block by block: the overlap counts
+of the blocks are added up, and a pair is dropped as soon as what it has and the columns it still has ahead can't
+reach the threshold.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ WORD_CACHE = 100_000
 COLUMN_BITS, TEXT_BITS = 25, 24
 #: Rows of a column that all its others are held against in the first product.
 HUBS = 16
+#: Blocks of columns, by their hashes, over which the overlaps of a pair are accumulated.
+BLOCKS = 16
 
 
 class _Words(dict):
@@ -186,12 +190,14 @@ def _entries(batches, several):
 
 @tidied
 def _sets(batches, length: int, wanted):
-    """The whole sets of the documents whose ids pass the filter."""
+    """The whole sets of the documents whose ids pass the filter, cut into blocks of columns."""
+    starts = np.arange(1, BLOCKS, dtype=np.uint64) << np.uint64(64 - (BLOCKS.bit_length() - 1))
     for pdf in batches:
         chosen = passing(wanted.value, pdf["hash"].to_numpy().view(np.uint64))
         sets = [shingles(text, length) for text in pdf["text"].iloc[chosen]]
         digests = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
-        yield pd.DataFrame({"cls": _objects(digests), "shingles": _objects([s.view(np.int64) for s in sets])})
+        blocks = [[part.view(np.int64) for part in np.split(s, np.searchsorted(s, starts))] for s in sets]
+        yield pd.DataFrame({"cls": _objects(digests), "n": [len(s) for s in sets], "blocks": _objects(blocks)})
 
 
 def _fits(percent: int) -> str:
@@ -216,6 +222,18 @@ def _parities_fit(percent: int) -> str:
     )
 
 
+def _overlap(percent: int) -> str:
+    """The overlap of rows a and b, accumulated block by block; -1 as soon as the blocks ahead can't bring it to what the sizes demand."""
+    needed = f"ceil({percent} * (n_a + n_b) / {100 + percent}.0)"
+    step = ("named_struct('both', p.both + size(array_intersect(b.x, b.y)), 'ahead_a', p.ahead_a - size(b.x), 'ahead_b', p.ahead_b - size(b.y))")
+    return (
+        "aggregate(zip_with(blocks_a, blocks_b, (x, y) -> named_struct('x', x, 'y', y)), "
+        "named_struct('both', 0, 'ahead_a', n_a, 'ahead_b', n_b), "
+        f"(p, b) -> if(p.both < 0 OR p.both + least(p.ahead_a, p.ahead_b) < {needed}, "
+        f"named_struct('both', -1, 'ahead_a', 0, 'ahead_b', 0), {step}), p -> p.both)"
+    )
+
+
 PAIR = ("x.cls AS a", "y.cls AS b", "x.doc_id AS doc_a", "y.doc_id AS doc_b")
 
 
@@ -236,16 +254,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> t
     of_id = F.xxhash64(F.col("doc_id").cast("long")).alias("hash")
     wanted = spark.sparkContext.broadcast(member_filter(ends.select(of_id), TEXT_BITS))
     sets, sets_at = written_at(
-        docs.select(of_id, "text").mapInPandas(functools.partial(_sets, length=length, wanted=wanted), "cls binary, shingles array<long>")
+        docs.select(of_id, "text").mapInPandas(functools.partial(_sets, length=length, wanted=wanted), "cls binary, n int, blocks array<array<long>>")
         .join(ends.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]),
         "sets",
     )
     wanted.destroy()
-    of = lambda end: sets.select(F.col("cls").alias(end), F.col("shingles").alias(f"set_{end}"))
+    of = lambda end: sets.select(F.col("cls").alias(end), F.col("n").alias(f"n_{end}"), F.col("blocks").alias(f"blocks_{end}"))
     links, links_at = written_at(
         pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
-        .withColumn("both", F.size(F.array_intersect("set_a", "set_b")))
-        .where(f"100 * both >= {percent} * (size(set_a) + size(set_b) - both)")
+        .withColumn("both", F.expr(_overlap(percent)))
+        .where(f"both >= 0 AND 100 * both >= {percent} * (n_a + n_b - both)")
         .select("a", "b"),
         "similar",
     )
