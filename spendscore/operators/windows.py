@@ -24,17 +24,20 @@ def with_total_spend(
     value: str = "amount",
     name: str = "total_spend",
     hot_rows: int = HOT_ROWS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Every row with the sum of ``value`` over all rows of its key.
 
     Plain keys use one window. Heavy keys get their total, a combining
-    aggregate, by broadcast; their rows are not shuffled at all.
+    aggregate, by broadcast; their rows are not shuffled at all. The two add in different orders, so the last bits of a
+    total of doubles may differ between them, as between any two runs; ``digits`` rounds it to what both agree on.
     """
     heavy = heavy_keys(debit, [key], hot_rows=hot_rows)
     hot, cold = split_heavy(debit, heavy, [key])
     totals = hot.groupBy(key).agg(F.sum(value).alias(name))
     summed = cold.withColumn(name, F.sum(value).over(Window.partitionBy(key)))
-    return summed.unionByName(join_by_key(hot, totals, [key]))
+    both = summed.unionByName(join_by_key(hot, totals, [key]))
+    return both if digits is None else both.withColumn(name, F.round(name, digits))
 
 
 def rolling_rows(

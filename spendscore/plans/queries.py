@@ -22,7 +22,7 @@ from spendscore.sources.tables import append_audit, read_table, write_table
 from spendscore.sources.widening import read_widened, write_load
 from spendscore.sources.workdir import stage, work_dir
 from spendscore.streaming import late, streams
-from spendscore.streaming.compaction import committed_batch, compact, read_batches
+from spendscore.sources.batches import committed_batch, compact, read_batches
 
 # The run's date and time, given so that stamps can be compared.
 AS_OF, NEXT_DAY = date(2024, 4, 1), date(2024, 4, 2)

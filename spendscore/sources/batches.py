@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscore.config import PipelineConfig
+from spendscore.schemas import STORED
 from spendscore.sources import folders
 
 
@@ -42,17 +43,22 @@ def _batches(spark: SparkSession, config: PipelineConfig, name: str, after: int,
 
 
 def _rows(spark: SparkSession, config: PipelineConfig, name: str, snapshot: int | None, batches: Sequence[int]) -> DataFrame:
-    path = config.table_path(name)
+    path, declared = config.table_path(name), STORED.get(name)
     newer = [f"{path}/batch={batch}" for batch in batches]
-    kept = None if snapshot is None else spark.read.parquet(f"{_folded(config, name)}/upto={snapshot}")
+    reader = spark.read if declared is None else spark.read.schema(declared)
+    kept = None if snapshot is None else reader.parquet(f"{_folded(config, name)}/upto={snapshot}")
     if not newer:
         if kept is None:
             raise ValueError(f"{name} has no batch yet")
-        return kept
+        return kept if declared is None else kept.select(*declared.names)
     reader = spark.read.option("basePath", path)
-    reader = reader.option("mergeSchema", "true") if kept is None else reader.schema(kept.schema)
+    if declared is None and kept is None:
+        reader = reader.option("mergeSchema", "true")
+    else:
+        reader = reader.schema(declared or kept.schema)
     fresh = reader.parquet(*newer).withColumn("batch", F.col("batch").cast("long"))
-    return fresh if kept is None else kept.unionByName(fresh.select(kept.columns), allowMissingColumns=True)
+    names = declared.names if declared else (fresh if kept is None else kept).columns
+    return fresh.select(*names) if kept is None else kept.select(*names).unionByName(fresh.select(*names))
 
 
 def read_batches(spark: SparkSession, config: PipelineConfig, name: str) -> DataFrame:
@@ -68,12 +74,13 @@ def compact(
     checkpoint: str,
     *,
     keys: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
     rows_per_file: int = 5_000_000,
 ) -> int:
     """Fold all committed batches; the batch up to which the table is folded now, -1 if there is nothing to fold.
 
     With ``keys``, for a stream in mode "update", only each key's newest row is kept, so the table no longer grows with
-    every change. After two folds there are as many partitions as batches since the first one, and two snapshots.
+    every change. A snapshot has the partitions ``partition_by``, so that readers go on pruning them. After two folds there are as many partitions as batches since the first one, and two snapshots.
     """
     upto, done = committed_batch(spark, checkpoint), snapshots(spark, config, name)
     last = done[-1] if done else -1
@@ -86,7 +93,8 @@ def compact(
             rows = rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
         # A file per stated number of rows; a part of a snapshot that was left half-written is replaced.
         files = max(1, -(-rows.count() // rows_per_file))
-        rows.repartition(files).write.mode("overwrite").parquet(f"{_folded(config, name)}/upto={batches[-1]}")
+        dealt = rows.repartition(files, *partition_by, F.pmod(F.xxhash64(*rows.columns), F.lit(files))) if partition_by else rows.repartition(files)
+        dealt.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{_folded(config, name)}/upto={batches[-1]}")
     for batch in folders.numbered(spark, config.table_path(name), "batch"):
         if batch <= last:
             folders.remove(spark, f"{config.table_path(name)}/batch={batch}")

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from spendscore.config import PipelineConfig
 from spendscore.schemas import INGESTION_DATE, STORED
+from spendscore.sources.batches import read_batches
+
+#: Tables that a stream writes by batches, which may be folded.
+STREAMED = ("debit_transactions_stream", "daily_spend_stream")
 
 
 def read_table(
@@ -24,11 +28,14 @@ def read_table(
 
     It has its declared columns, NULL in files that lack them. With
     ``merge_schema`` it has every column that some load added, for which Spark
-    reads the footers of all files.
+    reads the footers of all files. Of a stream's table the newest snapshot and the batches beyond it
+    are read, see ``batches``.
     """
     reader, path = spark.read.format(config.table_format), config.table_path(name)
     declared = STORED.get(name)
-    if config.table_format == "delta":
+    if name in STREAMED and config.table_format == "parquet":
+        table = read_batches(spark, config, name)
+    elif config.table_format == "delta":
         table = reader.load(path)
     elif merge_schema or declared is None:
         table = reader.option("mergeSchema", "true").load(path)

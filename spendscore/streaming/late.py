@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spendscore.config import PipelineConfig
 from spendscore.sources import folders
-from spendscore.streaming.compaction import read_batches
+from spendscore.sources.batches import read_batches
 
 OPEN, CLOSED, LATE = "daily_spend_open", "daily_spend_closed", "daily_spend_late"
 _DAYS = "customer_id int, txn_date date, daily_spend double, rows long, newest timestamp_ntz"

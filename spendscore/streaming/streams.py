@@ -83,13 +83,13 @@ def stream_to_table(
     """Write a stream into a stored table that later steps read.
 
     The table has a ``batch`` column and a partition per batch, which a repeated batch
-    replaces: a restart neither loses nor doubles rows. In mode "update" a batch holds
+    replaces: a restart neither loses nor doubles rows. ``batches.compact`` folds closed batches. In mode "update" a batch holds
     the rows that it has changed, see ``latest_rows``.
     """
 
     def store(rows: DataFrame, batch: int) -> None:
         numbered = rows.withColumn("batch", F.lit(batch).cast("long"))
-        write_table(numbered, config, name, mode="replace_partition", partition_by=[*partition_by, "batch"])
+        write_table(numbered, config, name, mode="replace_partition", partition_by=["batch", *partition_by])
 
     return (
         df.writeStream.foreachBatch(store)

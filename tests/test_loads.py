@@ -13,10 +13,10 @@ from spendscore.operators import gold, reports, silver
 from spendscore.operators import quantiles as quantile_module
 from spendscore.plans import increments, pipeline
 from spendscore.sources import fixtures, folders, ledger
+from spendscore.sources.batches import committed_batch, compact, read_batches, snapshots
 from spendscore.sources.tables import read_table, write_table
 from spendscore.sources.widening import read_widened, wider, widened, write_load
 from spendscore.streaming import late, streams
-from spendscore.streaming.compaction import committed_batch, compact, read_batches, snapshots
 
 SF = "/root/testdata/sf0.001"
 DAY = date(2024, 4, 1)
@@ -302,3 +302,27 @@ def test_folding_keeps_the_newest_row_of_a_key(spark, config, tmp_path):
     folded = read_batches(spark, config, name)
     assert folded.count() == len(expected) == 7
     assert sorted(map(tuple, streams.latest_rows(folded, keys).collect())) == expected
+
+
+def test_folded_debits_are_read_by_the_next_layer(spark, config, tmp_path):
+    """Bronze written by a stream in batches, by load date too: read the same before and after it is folded, and pruned."""
+    raw = fixtures.transactions(spark, SF)
+    for k in range(4):
+        raw.filter(F.col("mcc_code") % 4 == k).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = streams.stream_debit(streams.stream_files(spark, f"{tmp_path}/in/*", raw.schema, maxFilesPerTrigger="1"), DAY)
+    name, log = "debit_transactions_stream", str(tmp_path / "log")
+    streams.stream_to_table(stream, config, name, log, partition_by=["ingestion_date"]).awaitTermination()
+    before = read_table(spark, config, name).collect()
+    for _ in range(2):
+        compact(spark, config, name, log, partition_by=["ingestion_date"])
+        assert sorted(map(repr, read_table(spark, config, name).collect())) == sorted(map(repr, before))
+    assert folders.numbered(spark, config.table_path(name), "batch") == []
+    since = read_table(spark, config, name, since=date(2024, 4, 2))
+    assert since.count() == 0 and "PartitionFilters: [isnotnull(ingestion_date" in since._jdf.queryExecution().executedPlan().toString()
+    stored = pipeline.run_silver(spark, config, debit_tables=[name])["debit_transactions_silver"]
+    assert stored.count() == len(before)
+
+
+def test_session_settings(spark):
+    session = pipeline.get_session("x", **{"spark.sql.shuffle.partitions": "8"})
+    assert session.range(3).count() == 3 and session.conf.get("spark.sql.shuffle.partitions") == "8"

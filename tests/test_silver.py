@@ -252,3 +252,10 @@ def test_both_windows_need_one_shuffle_of_the_rows(spark, debit):
     rows_of_customers = [line for line in whole.splitlines() if "Exchange hashpartitioning(customer_id" in line and "_rows" not in line]
     windowed = [line for line in whole.splitlines() if "Window [" in line]
     assert len(windowed) >= 2 and rows_of_customers
+
+
+def test_rounded_totals_are_the_same_both_ways(spark, debit):
+    rng = random.Random(2)
+    df = debit(*[(1, "2024-01-01", rng.random() * 1e6, "Rent") for _ in range(500)])
+    totals = {r["total_spend"] for hot_rows in (10**9, 0) for r in windows.with_total_spend(df, hot_rows=hot_rows, digits=2).collect()}
+    assert len(totals) == 1
