@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscore.llm.common import removed, shipped, written_at
+from spendscore.llm.filters import split_by_keys
 from spendscore.sources.workdir import work_dir
 
 #: Bytes inflated at once, and bytes of records after which a new file starts.
@@ -238,11 +239,16 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         "copies",
     )
     alone = F.col("last_of_group").isNull()
+    # Payloads of which there is one copy are not shuffled: they revisit nothing.
+    by = F.xxhash64("sha1", "payload_bytes")
+    may, single = split_by_keys(sums, groups, by, by)
+    names = ("page_id", "url", "html", "sha1", "last")
     marked = (
-        sums.join(groups.withColumnRenamed("last", "last_of_group").withColumn("grouped", F.lit(True)), ["sha1", "payload_bytes"], "left")
+        may.join(groups.withColumnRenamed("last", "last_of_group").withColumn("grouped", F.lit(True)), ["sha1", "payload_bytes"], "left")
         .withColumn("last", F.when(F.col("grouped").isNull() | alone, F.col("page_id")).otherwise(F.col("last_of_group")))
         # A revisit is written without its payload.
-        .select("page_id", "url", "html", "sha1", "last")
+        .select(*names)
+        .unionByName(single.withColumn("last", F.col("page_id")).select(*names))
     )
     files, _ = written_at(marked.mapInPandas(functools.partial(_archived, folder=folder, file_bytes=file_bytes), "file string, records long"), "archives")
     removed(spark, sums_at, groups_at)
