@@ -13,8 +13,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: The exponent is found to 2^-24, four halvings in one job.
 ROUNDS, CELLS = 6, 16
 #: Leading hexadecimal digits of a place that make a bucket: running sums go over the 4096 buckets
-#: of a source first, and over the documents of one bucket then.
-DIGITS = 3
+#: of a source first, over those of the bucket that holds the end next, and so on while it has more places than this. A bucket
+#: is never a whole place (32 digits), which would not be below itself.
+DIGITS, BUCKET_PLACES, MOST_DIGITS = 3, 1_000_000, 31
 EPSILON = 1e-6
 
 
@@ -113,19 +114,31 @@ def mixed_sources(
         "plan",
     )
     same = lambda left, right: left["src"].eqNullSafe(right["src"])
-    last = sized.join(plan, same(sized, plan)).select(
-        plan["src"], "rest", "tokens", place(F.col("doc"), F.col("full")).alias("at")
-    ).withColumn("bucket", F.substring("at", 1, DIGITS))
-    in_order = W.partitionBy("src").orderBy("bucket")
-    buckets = (
-        last.groupBy("src", "rest", "bucket").agg(F.sum("tokens").alias("tokens"))
-        .withColumn("through", F.sum("tokens").over(in_order))
-        .where(F.col("through") > F.col("rest"))
-        .groupBy("src").agg(F.min(F.struct("bucket", (F.col("through") - F.col("tokens")).alias("before"))).alias("cut"))
+    # Documents that share a place are drawn together.
+    last, last_at = written_at(
+        sized.join(plan, same(sized, plan)).select(plan["src"], "rest", "tokens", place(F.col("doc"), F.col("full")).alias("at"))
+        .groupBy("src", "rest", "at").agg(F.sum("tokens").alias("tokens")),
+        "last-blocks",
     )
-    buckets, buckets_at = written_at(buckets.select("src", "cut.*"), "cut-buckets")
-    inner = last.join(buckets.withColumnRenamed("bucket", "cut"), same(last, buckets)).where("bucket = cut").select(
-        last["src"], "rest", "before", "tokens", "at")
+    in_order = W.partitionBy("src").orderBy("bucket")
+    inner, kept = last.withColumn("before", F.lit(0).cast("long")), [last_at]
+    digits = DIGITS
+    while True:
+        # The bucket in which a source's tokens run out, and what comes before it.
+        through = F.col("before") + F.sum("tokens").over(in_order)
+        buckets = (
+            inner.groupBy("src", "rest", "before", F.substring("at", 1, digits).alias("bucket")).agg(F.sum("tokens").alias("tokens"))
+            .withColumn("through", through).where(F.col("through") > F.col("rest"))
+            .groupBy("src").agg(F.min(F.struct("bucket", (F.col("through") - F.col("tokens")).alias("before"))).alias("cut"))
+        )
+        buckets, buckets_at = written_at(buckets.select("src", "cut.*"), "cut-buckets")
+        inner = last.join(buckets.withColumnRenamed("bucket", "cut"), same(last, buckets)).where(F.col("cut") == F.substring("at", 1, digits)).select(
+            last["src"], "rest", "before", "tokens", "at")
+        kept.append(buckets_at)
+        fullest = inner.groupBy("src").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if fullest <= BUCKET_PLACES or digits >= MOST_DIGITS:
+            break
+        digits = min(MOST_DIGITS, digits + DIGITS)
     taken = inner.withColumn("through", F.col("before") + F.sum("tokens").over(W.partitionBy("src").orderBy("at"))).where(
         F.col("through") <= F.col("rest"))
     ends, ends_at = written_at(taken.groupBy("src").agg(F.max("at").alias("end")), "ends")
@@ -137,7 +150,7 @@ def mixed_sources(
                 F.coalesce("end", "bucket").alias(of_end)),
         "draws",
     )
-    removed(spark, sized_at, sums_at, plan_at, buckets_at, ends_at)
+    removed(spark, sized_at, sums_at, plan_at, ends_at, *kept)
     drawn = (
         docs.drop("n_tokens", "block", "place")
         .withColumn("n_tokens", n_words(F.col(text_col))).where("n_tokens > 0")

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pytest
 
+from spendscore.llm import mixing
 from spendscore.llm.mixing import mixed_sources
 
 
@@ -99,3 +100,12 @@ def test_one_source_and_none(documents):
 def test_columns_stay(documents):
     out = mixed_sources(documents(*rows([3, 2])))
     assert {"lang", "n_chars", "cls", "block"} <= set(out.columns) and len(out.columns) == len(set(out.columns))
+
+
+def test_buckets_within_buckets(documents, monkeypatch):
+    """The place where a source's tokens run out is found level by level, whatever a bucket may hold."""
+    table = rows([300, 90, 20]) + [(1_000 + 7, "word " * 4, "en", "s1")] * 5  # documents of one place
+    monkeypatch.setattr(mixing, "DIGITS", 1)
+    for most in (10**6, 3, 0):
+        monkeypatch.setattr(mixing, "BUCKET_PLACES", most)
+        assert run(documents, table, 0.97, 4.0, 1.3) == brute(table, 0.97, 4.0, 1.3)[1]
