@@ -21,12 +21,13 @@ from spendscore.llm.common import forgettable, held_out, in_training, shipped, t
 
 #: A language's labelled text: at most so many documents, so many characters of each, and so
 #: many characters in all. This bounds the model whatever the table's size.
-SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 80, 1_500, 24_000
-#: Letters told apart; all others count as one, and runs of other characters as a space.
-ALPHABET = 60
+SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 80, 300, 24_000
+#: Letters with a sign of their own, the most frequent over all languages; those beyond share the further signs by a hash, so that
+#: scripts of many letters are still told apart. Runs of other characters are a space.
+ALPHABET, SHARED = 48, 24
 #: Characters parsed as one piece. A phrase ends where a piece does, for every language alike.
 PIECE = 512
-SPACE, OTHER = 0, 1
+SPACE = 0
 UNDETERMINED = "und"
 
 
@@ -75,6 +76,12 @@ def parser(table: np.ndarray) -> np.ndarray:
     return np.concatenate([steps, 4 * np.arange(len(table), dtype=np.int64)[:, None]], axis=1).astype(np.int32)
 
 
+def shared_sign(codes: np.ndarray) -> np.ndarray:
+    """The sign of letters without one of their own."""
+    spread = (codes.astype(np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(7)
+    return (ALPHABET + 1 + spread % np.uint64(SHARED)).astype(np.uint8)
+
+
 class Model:
     """Automata of the languages over one alphabet, from labelled text."""
 
@@ -82,10 +89,10 @@ class Model:
         letters = Counter(c for text in samples.values() for c in text.lower() if c.isalpha() and ord(c) < 65536)
         self.signs = np.full(65536, SPACE, np.uint8)
         self.letter = np.array([chr(c).isalpha() for c in range(65536)])
-        self.signs[self.letter] = OTHER
+        self.signs[self.letter] = shared_sign(np.flatnonzero(self.letter))
         for k, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]):
-            self.signs[ord(c)] = k + 2
-        self.width = ALPHABET + 2
+            self.signs[ord(c)] = k + 1
+        self.width = ALPHABET + SHARED + 1
         self.languages = sorted(samples)
         self.steps, self.bits = [], []
         for language in self.languages:
@@ -103,7 +110,7 @@ class Model:
         letters = bool(self.letter[codes].any())
         if high.any():
             far = np.array([c.isalpha() for c in text])
-            signs = np.where(high & far, np.uint8(OTHER), signs)
+            signs = np.where(high & far, shared_sign(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)), signs)
             letters = letters or bool(far.any())
         keep = np.ones(len(signs), bool)
         keep[1:] = (signs[1:] != SPACE) | (signs[:-1] != SPACE)

@@ -98,3 +98,15 @@ def test_nothing_learned(documents):
 
 def test_ties_go_to_the_first_name():
     assert Model({"b": "aa bb", "a": "aa bb"}).predict(["aa bb"])[0][0] == "a"
+
+
+def test_scripts_beyond_the_alphabet_are_told_apart(spark, documents):
+    """Two languages of hundreds of signs each beside a large Latin one, none of whose signs is among the most frequent."""
+    draw = random.Random(8)
+    signs = {"aa": [chr(0x4E00 + 7 * k) for k in range(400)], "bb": [chr(0xAC00 + 5 * k) for k in range(400)], "cc": [chr(0x20000 + 3 * k) for k in range(400)]}
+    words = {lang: ["".join(draw.choices(own, k=draw.randint(1, 3))) for _ in range(30)] for lang, own in signs.items()}
+    words["en"] = WORDS["en"] + [f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyzàâäçéèêëîïôöùûüÿñß" for b in "aeiou"]
+    rows = [(k, text(words[lang], draw, 60), lang, "s") for k, lang in enumerate(sorted(words) * 30)]
+    found = languages(documents(*rows)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    assert all(r["lang_pred"] == truth[r["doc_id"]] for r in found)
