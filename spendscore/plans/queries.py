@@ -632,14 +632,16 @@ def stream_daily_spend(spark, sf_dir):
 
 @_query
 def stream_daily_spend_update(spark, sf_dir):
-    """The same stream in mode "update": open days too, each with its newest sum."""
+    """The same stream in mode "update": open days too, each with its newest sum, which is all that a fold keeps."""
     config, log = PipelineConfig(work_dir(spark, "stream-update")), work_dir(spark, "stream-log")
     table = f"{sf_dir.rstrip('/')}/events.parquet"
     pattern = f"{sf_dir.rstrip('/')}/event[s].parquet"
     raw = streams.stream_files(spark, pattern, spark.read.parquet(table).schema)
     stream = streams.stream_daily_spend(fixtures.event_columns(raw))
+    keys = ["customer_id", "txn_date"]
     streams.stream_to_table(stream, config, "daily_spend_stream", log, output_mode="update").awaitTermination()
-    days = streams.latest_rows(read_table(spark, config, "daily_spend_stream"), ["customer_id", "txn_date"])
+    compact(spark, config, "daily_spend_stream", log, keys=keys)
+    days = streams.latest_rows(read_table(spark, config, "daily_spend_stream"), keys)
     return _round(days, 2, "daily_spend")
 
 
