@@ -665,7 +665,7 @@ def _event_files(spark, sf_dir, files):
     """The event table as a stream of so many files, each with rows of all days; a file is a batch."""
     raw = work_dir(spark, "stream-events")
     table = fixtures._read(spark, sf_dir, "events")
-    table.repartition(files, F.pmod(F.xxhash64(*table.columns), F.lit(files))).write.option("maxRecordsPerFile", 0).parquet(raw)
+    table.repartition(files).write.parquet(raw)
     return fixtures.event_columns(streams.stream_files(spark, raw, table.schema, maxFilesPerTrigger="1"))
 
 
