@@ -51,6 +51,9 @@ MAIN_NAMES = frozenset(
 
 #: Roles of text: dropped, or the rank of the region it is in.
 DROPPED, PLAIN, NAMED, MAIN, ARTICLE = -1, 0, 1, 2, 3
+#: Elements open at once. Deeper ones end what is open at that depth, as in browsers: no text is lost, and
+#: a page of tags alone takes time in proportion to its length.
+DEEPEST = 512
 #: Regions that aren't main text.
 LOOSE, FIRM, NO_TEXT = 1, 2, 3
 
@@ -169,6 +172,7 @@ def walk(page: str) -> Iterator[Token]:
         if aside == LOOSE and rank >= MAIN:
             aside = 0
         container = name not in INLINE and name not in ("p", "li", "tr", "td", "th", "dt", "dd", "br") and not re.fullmatch("h[1-6]", name)
+        del stack[DEEPEST:]
         stack.append(_Open(name, mark, aside, max(top.rank, rank), top.link or name == "a", (*top.inside, mark) if container else top.inside))
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at)

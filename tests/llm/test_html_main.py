@@ -124,6 +124,8 @@ def test_odd_pages(spark):
     ("<head><title>no</title><body><div class='has-sidebar'><p>text</p></div>", "text"),
     ("<div class='main-menu'>menu</div><div hidden>no</div><div style='display: none'>no</div><div><p>text</p></div>", "text"),
     ("", ""),
+    ("<article>" + "<div>" * 100_000 + "deep" + "</div>" * 100_000 + "<p>after</p></article>", "deep\n\nafter"),
+    ("<article><p>&amp;lt; &quot;x&quot; &unknown; &#0; &#xD800; 1 &lt 2</p></article>", "&lt; \"x\" &unknown; \ufffd \ufffd 1 < 2"),
 ])
 def test_single_pages(page, text):
     assert alone(page) == text
