@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendscore.config import OTHER_CATEGORY
+from spendscore.config import CATEGORY_EXAMPLES, OTHER_CATEGORY
 from spendscore.operators.text import _TIE_DIGITS, _TOKENIZERS
 
 #: A token in more examples is frequent: its postings are cut into shards of as many.
@@ -14,6 +16,16 @@ POSTINGS = 1_000
 _SLACK = 1e-9
 
 
+def examples_table(spark, examples: Sequence[tuple[str, Sequence[str]]] = CATEGORY_EXAMPLES) -> DataFrame:
+    """Examples of a short list, in order, as a table: example (a number), label, name."""
+    flat = [(label, name) for label, names in examples for name in names]
+    literals = [
+        F.struct(F.lit(number).cast("long").alias("example"), F.lit(label).alias("label"), F.lit(name).alias("name"))
+        for number, (label, name) in enumerate(flat)
+    ]
+    return spark.range(0, 1, 1, numPartitions=1).select(F.inline(F.array(*literals)))
+
+
 def _norm(weights: Column) -> Column:
     return F.sqrt(F.aggregate(weights, F.lit(0.0), lambda total, token: total + token["own"] * token["own"]))
 

@@ -15,9 +15,13 @@ RUN = 3
 
 
 def rules_table(spark, rules: Sequence[tuple[str, Sequence[str]]] = CATEGORY_RULES) -> DataFrame:
-    """Rules in match order as a table: rule (a number), category, substring."""
-    rows = [(number, category, substring) for number, (category, substrings) in enumerate(rules) for substring in substrings]
-    return spark.createDataFrame(rows, "rule long, category string, substring string")
+    """Rules of a short list, in match order, as a table: rule (a number), category, substring."""
+    literals = [
+        F.struct(F.lit(number).cast("long").alias("rule"), F.lit(category).alias("category"), F.lit(substring).alias("substring"))
+        for number, (category, substrings) in enumerate(rules)
+        for substring in substrings
+    ]
+    return spark.range(0, 1, 1, numPartitions=1).select(F.inline(F.array(*literals)))
 
 
 def _runs(text: Column, size: Column | int) -> Column:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscore.config import CATEGORY_EXAMPLES, PipelineConfig, SourceSpec
+from spendscore.config import PipelineConfig, SourceSpec
 from spendscore.operators import bronze, examples, gold, reports, rules, silver, text, windows
 from spendscore.plans import increments, pipeline
 from spendscore.sources import fixtures
@@ -592,8 +592,7 @@ def nearest_category_char3(spark, sf_dir):
 @_query
 def nearest_category_table(spark, sf_dir):
     """The examples as a table, whose frequent tokens are those of more than two examples."""
-    flat = [(label, name) for label, group in CATEGORY_EXAMPLES for name in group]
-    listed = spark.createDataFrame([(k, *row) for k, row in enumerate(flat)], "example long, label string, name string")
+    listed = examples.examples_table(spark)
     return _round(examples.nearest_of_many(_debit(spark, sf_dir), listed, postings=2), 6, "similarity")
 
 
