@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from spendscore.llm.common import forgettable, held_out, in_training, shipped, tidied, written
 
 #: A language's labelled text: at most so many documents, so many characters of each, and so
-#: many characters in all. This bounds the model whatever the table's size.
-SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 80, 300, 24_000
+#: many characters in all. This bounds the model whatever the table's size; with texts of usual length the last bound
+#: acts first, so that 16 beginnings make a language. Shorter pieces of more documents were worse: phrases end where pieces do.
+SAMPLE_DOCS, SAMPLE_DOC_CHARS, SAMPLE_CHARS = 80, 1_500, 24_000
 #: Letters with a sign of their own, the most frequent over all languages; those beyond share the further signs by a hash, so that
 #: scripts of many letters are still told apart. Runs of other characters are a space.
 ALPHABET, SHARED = 48, 24
