@@ -11,22 +11,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key is heavy from this many rows on; a task sorts that many with ease.
 HOT_ROWS = 2_000_000
+# So many heavy keys fit the broadcast, some 20 MB; with fewer rows a key than this, more might be found.
+MOST_HEAVY, SMALL_ROWS = 500_000, 10_000
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, **figures: Column
 ) -> DataFrame:
-    """The keys of ``df`` with more than ``hot_rows`` rows, of which there are fewer than rows / ``hot_rows``.
+    """The keys of ``df`` with more than ``hot_rows`` rows, with ``figures``, further aggregates.
 
-    This bounds the broadcast: 10^12 rows have at most 500,000 such keys, some 20 MB.
+    There are fewer than rows / ``hot_rows`` of them, 500,000 of 10^12 rows. Where ``hot_rows`` is below ``SMALL_ROWS``
+    more could pass: those with the most rows are taken, the others are plain keys.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") > hot_rows).select(*keys)
+    # one struct: whatever a use reads of it, all share the shuffle
+    named = [figure.alias(name) for name, figure in figures.items()]
+    per_key = df.groupBy(*keys).agg(F.struct(F.count(F.lit(1)).alias("rows"), *named).alias("_of_key"))
+    heavy = per_key.filter(F.col("_of_key")["rows"] > _least_rows(per_key, hot_rows))
+    return heavy.select(*keys, *[F.col("_of_key")[name].alias(name) for name in figures])
+
+
+def _least_rows(per_key: DataFrame, hot_rows: int) -> Column:
+    """``hot_rows``, or the least number above it that no more than ``MOST_HEAVY`` keys exceed.
+
+    Keys are counted by their rows. Numbers of rows that differ are few: less than the root of twice all rows.
+    """
+    if hot_rows >= SMALL_ROWS:
+        return F.lit(hot_rows)
+    by_rows = per_key.groupBy(F.col("_of_key")["rows"].alias("_rows")).agg(F.count(F.lit(1)).alias("_keys"))
+    with_more = F.sum("_keys").over(Window.orderBy(F.desc("_rows")))
+    beyond = by_rows.withColumn("_sum", with_more).filter(F.col("_sum") > MOST_HEAVY).agg(F.max("_rows")).scalar()
+    return F.greatest(F.lit(hot_rows), F.coalesce(beyond, F.lit(0)))
 
 
 def join_by_key(

@@ -32,11 +32,10 @@ def with_total_spend(
     aggregate, by broadcast; their rows are not shuffled at all. The two add in different orders, so the last bits of a
     total of doubles may differ between them, as between any two runs; ``digits`` rounds it to what both agree on.
     """
-    heavy = heavy_keys(debit, [key], hot_rows=hot_rows)
+    # counted and summed at once: the heavy rows come with their total
+    heavy = heavy_keys(debit, [key], hot_rows=hot_rows, **{name: F.sum(value)})
     hot, cold = split_heavy(debit, heavy, [key])
-    totals = hot.groupBy(key).agg(F.sum(value).alias(name))
-    summed = cold.withColumn(name, F.sum(value).over(Window.partitionBy(key)))
-    both = summed.unionByName(join_by_key(hot, totals, [key]))
+    both = cold.withColumn(name, F.sum(value).over(Window.partitionBy(key))).unionByName(hot)
     return both if digits is None else both.withColumn(name, F.round(name, digits))
 
 
@@ -58,7 +57,9 @@ def rolling_rows(
     heavy = heavy_keys(debit, keys, hot_rows=hot_rows)
     hot, cold = split_heavy(debit, heavy, keys)
     plain = _rolling(cold, n, keys, order_by, value, name)
-    return plain.unionByName(_rolling_in_chunks(hot, n, keys, order_by, value, name, hot_rows))
+    # a heavy group is cut unless ``hot_rows`` is so small that it fits a chunk
+    cut = heavy_keys(debit, keys, hot_rows=_LEAST_CHUNK) if hot_rows < _LEAST_CHUNK else None
+    return plain.unionByName(_rolling_in_chunks(hot, n, keys, order_by, value, name, hot_rows, cut))
 
 
 def spend_windows(
@@ -76,16 +77,19 @@ def spend_windows(
     """Both windows at once: the total of a row's ``key`` and the rolling sum of its ``key`` and ``group``.
 
     Rows that lie together by ``key`` also do by (``key``, ``group``), so one shuffle of the rows serves both.
-    Heavy keys are found once; their totals come by broadcast, and their rows are shuffled
+    Heavy keys are found and summed once; their totals come by broadcast, and their rows are shuffled
     once too, into the chunks of the rolling sum.
     """
-    heavy = heavy_keys(debit, [key], hot_rows=hot_rows)
+    summing = {total: F.sum(value)}
+    heavy = heavy_keys(debit, [key], hot_rows=hot_rows, **summing)
     hot, cold = split_heavy(debit, heavy, [key])
     summed = cold.withColumn(total, F.sum(value).over(Window.partitionBy(key)))
     plain = _rolling(summed, n, (key, group), order_by, value, rolling, ties=_ties(debit, (key, group), order_by))
-    totals = hot.groupBy(key).agg(F.sum(value).alias(total))
-    in_chunks = _rolling_in_chunks(hot, n, (key, group), order_by, value, rolling, hot_rows)
-    return plain.unionByName(join_by_key(in_chunks, totals, [key]))
+    # only a key that doesn't fit a chunk can have a group that doesn't
+    most = max(hot_rows, _LEAST_CHUNK)
+    large = join_by_key(debit, heavy_keys(debit, [key], hot_rows=most, **summing), [key])
+    cut = heavy_keys(large, [key, group], hot_rows=most)
+    return plain.unionByName(_rolling_in_chunks(hot, n, (key, group), order_by, value, rolling, hot_rows, cut, along=(total,)))
 
 
 def _ties(debit: DataFrame, keys: Sequence[str], order_by: tuple[str, str]) -> list[str]:
@@ -164,38 +168,49 @@ def _chunked(hot: DataFrame, keys, order_by, ties, hot_rows: int) -> DataFrame:
     )
 
 
-def _rolling_in_chunks(hot, n, keys, order_by, value, name, hot_rows) -> DataFrame:
+def _rolling_in_chunks(hot, n, keys, order_by, value, name, hot_rows, cut=None, along=()) -> DataFrame:
     """The same sums for heavy groups, without sorting a group in one task.
 
-    A group is cut along its order into chunks. Each chunk is summed by itself; its first
+    A group is cut along its order into chunks; of the groups only those in ``cut``, if it is given: any other is one chunk.
+    ``along`` are columns that a key decides.
+    """
+    ties = [column for column in _ties(hot, keys, order_by) if column not in along]
+    columns = (n, keys, order_by, [*ties, *along], value, name)
+    if cut is None:
+        return _chunk_sums(_chunked(hot, keys, order_by, ties, hot_rows), *columns)
+    long, short = split_heavy(hot, cut, keys)
+    whole = short.withColumns({"_chunk": F.struct(*keys), "_hash": _tie_hash(ties)})
+    in_chunks = _chunk_sums(_chunked(long, keys, order_by, ties, hot_rows), *columns)
+    return in_chunks.unionByName(_chunk_sums(whole, *columns, carry=False))
+
+
+def _chunk_sums(chunked, n, keys, order_by, others, value, name, carry=True) -> DataFrame:
+    """The sums of rows that have their ``_chunk`` and ``_hash``.
+
+    Each chunk is summed by itself; with ``carry``, its first
     ``n - 1`` rows then receive the values that precede the chunk. Equal rows are counted before
     the shuffle: beyond the n-th, all copies have ``n`` times their own value.
     """
     period, number = order_by
-    ties = _ties(hot, keys, order_by)
     # one key for the chunk: unknown parts are equal in a struct, and the window
     # and the join below share its partitioning
-    counted = (
-        _chunked(hot, keys, order_by, ties, hot_rows)
-        .groupBy("_chunk", "_hash", number, *ties)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    counted = chunked.groupBy("_chunk", period, "_hash", number, *others).agg(F.count(F.lit(1)).alias("_copies"))
     # up to n copies take part in the windows; no row can see further back
     first_copies = F.sequence(F.lit(1).cast("long"), F.least("_copies", F.lit(n)))
     unrolled = counted.withColumn("_copy", F.explode(first_copies)).drop("_copies")
-    of_group = [F.col("_chunk")[column].alias(column) for column in (*keys, period)]
+    of_row = [*[F.col("_chunk")[key].alias(key) for key in keys], period, number, *others]
     further = counted.filter(F.col("_copies") > n).select(
-        *of_group,
-        number,
-        *ties,
-        null_skipping_sum([F.col(value)] * n).alias(name),
-        (F.col("_copies") - n).alias("_copies"),
+        *of_row, null_skipping_sum([F.col(value)] * n).alias(name), (F.col("_copies") - n).alias("_copies")
     )
 
-    in_chunk = Window.partitionBy("_chunk").orderBy(number, "_hash", *ties, "_copy")
+    in_chunk = Window.partitionBy("_chunk").orderBy(period, number, "_hash", *others, "_copy")
+    backs = {back: F.lag(value, back).over(in_chunk) for back in range(1, n)}
+    if not carry:
+        summed = unrolled.select(*of_row, null_skipping_sum([F.col(value), *backs.values()]).alias(name))
+        return summed.unionByName(expand_copies(further, "_copies"))
     local = (
         unrolled.withColumn("_at", F.row_number().over(in_chunk))
-        .withColumns({f"_back{back}": F.lag(value, back).over(in_chunk) for back in range(1, n)})
+        .withColumns({f"_back{back}": lag for back, lag in backs.items()})
         .withColumn("_last", F.lead(F.lit(1), n - 1).over(in_chunk).isNull())
     )
     # the row's own chunk first, then the last rows of the chunks before it
@@ -205,7 +220,7 @@ def _rolling_in_chunks(hot, n, keys, order_by, value, name, hot_rows) -> DataFra
     ]
     ends = local.filter(F.col("_last") if n > 1 else F.lit(False)).select("_chunk", "_at", F.col(value).alias("_value"))
     summed = local.join(_carried(ends, n, len(keys)), F.col("_chunk") == F.col("_next"), "left").select(
-        *of_group, number, *ties, null_skipping_sum(parts).alias(name)
+        *of_row, null_skipping_sum(parts).alias(name)
     )
     return summed.unionByName(expand_copies(further, "_copies"))
 

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from spendscore.operators import silver, windows
+from spendscore.operators import silver, skew, windows
 
 
 def test_single_day_has_no_volatility(debit):
@@ -259,3 +259,27 @@ def test_rounded_totals_are_the_same_both_ways(spark, debit):
     df = debit(*[(1, "2024-01-01", rng.random() * 1e6, "Rent") for _ in range(500)])
     totals = {r["total_spend"] for hot_rows in (10**9, 0) for r in windows.with_total_spend(df, hot_rows=hot_rows, digits=2).collect()}
     assert len(totals) == 1
+
+
+@pytest.mark.parametrize("operator", [windows.rolling_rows, windows.spend_windows])
+def test_groups_that_fit_a_chunk_are_not_cut(debit, operator):
+    """Heavy groups of a few rows: one window, no ends of chunks to carry."""
+    df = debit(*[(k % 3, f"2024-01-{k % 28 + 1:02d}", k / 4, "Rent") for k in range(90)])
+    rows = operator(df, 3, hot_rows=0)
+    rows._jdf.queryExecution().executedPlan().execute().count()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "_carry" not in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_groups_in_one_chunk_beside_cut_ones(debit, small_chunks, monkeypatch, n):
+    """Some groups are plain, as too many are heavy, some one chunk, some cut by days and within days: the bits are equal."""
+    monkeypatch.setattr(skew, "MOST_HEAVY", 5)
+    rng = random.Random(5)
+    df = debit(*[(rng.choice([None, 1, 1, 1, 1, *range(2, 20)]), rng.choice(["2024-01-01", "2024-01-02", None]),
+                  rng.choice([0.1, 1 / 3, None, 8.0, -0.7]), rng.choice(["Rent", "Rent", "Misc", None]), f"shop {rng.randint(1, 40)}")
+                 for _ in range(500)], *[(1, "2024-01-02", 0.1, "Rent", "shop 1")] * 20)
+    for operator in (windows.rolling_rows, windows.spend_windows):
+        bits = [sorted(map(repr, operator(df, n, hot_rows=hot).select("customer_id", "category", "txn_date", "amount", "merchant",
+                                                                     "three_month_category_spend").collect())) for hot in (10**9, 3, 0)]
+        assert bits[0] == bits[1] == bits[2] and len(bits[0]) == 520

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from spendscore.operators import skew
 from spendscore.operators.quantiles import grouped_quantiles
 from spendscore.operators.skew import expand_copies, heavy_keys, split_heavy
 
@@ -42,3 +43,12 @@ def test_too_many_groups_are_not_broadcast(spark):
     assert grouped_quantiles(df, "g", "v", {"m": 0.5}, max_groups=20).count() == 20
     with pytest.raises(Exception, match="more than 19 values to broadcast"):
         grouped_quantiles(df, "g", "v", {"m": 0.5}, max_groups=19).collect()
+
+
+def test_heavy_keys_fit_the_broadcast(spark, monkeypatch):
+    """A small ``hot_rows`` lets no more keys pass than fit it: those with the most rows."""
+    monkeypatch.setattr(skew, "MOST_HEAVY", 4)
+    df = spark.createDataFrame([(k, float(k)) for k in range(1, 9) for _ in range(k // 2)], "k int, v double")  # 0 to 4 rows
+    heavy = skew.heavy_keys(df, ["k"], hot_rows=0, total=F.sum("v"))
+    assert sorted(heavy.collect()) == [(6, 18.0), (7, 21.0), (8, 32.0)]  # 3 rows twice, 4 rows once: with 2 rows they'd be 5
+    assert sorted(r["k"] for r in skew.heavy_keys(df, ["k"], hot_rows=3).collect()) == [8]
