@@ -79,14 +79,18 @@ def pivot_months(
     first by name; ``agg="sum"`` adds them all. Give ``months`` on large data:
     without them Spark runs an extra job that lists the months.
     """
+    cell = ("customer_id", "year_month")
     if agg == "first":
-        order = F.struct("merchant", "category")
-        value = F.min_by("monthly_spend", order)
+        # names can't be aggregated by hash: the rows of a cell are brought together first and sorted once
+        monthly = monthly.repartition(*cell)
+        value = F.min_by("monthly_spend", F.struct("merchant", "category"))
     elif agg == "sum":
         value = F.sum("monthly_spend")
     else:
         raise ValueError(f"agg must be 'first' or 'sum', not {agg!r}")
-    return monthly.groupBy("customer_id").pivot("year_month", months).agg(value)
+    cells = monthly.groupBy(*cell).agg(value.alias("_value"))
+    # a customer has a narrow row per month until they are in one place; wide rows are not shuffled
+    return cells.repartition("customer_id").groupBy("customer_id").pivot("year_month", months).agg(F.max("_value"))
 
 
 def spend_profile(debit: DataFrame) -> DataFrame:

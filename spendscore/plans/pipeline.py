@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendscore.config import AUDIT_USER, PipelineConfig
+from spendscore.functions.expressions import run_date
 from spendscore.operators import bronze, gold, reports, silver, windows
 from spendscore.schemas import DEBIT_TRANSACTIONS, INGESTION_DATE
 from spendscore.sources.folders import remove
@@ -56,7 +57,8 @@ def run_bronze(
             conformed = bronze.conform_transactions(read_source(spark, config, "transactions"), as_of)
             conformed.write.parquet(landed)
             is_written.append(conformed.schema)
-        return spark.read.schema(is_written[0]).parquet(landed)
+        # the date is given again, as a constant, by which a writer of partitions needn't sort
+        return spark.read.schema(is_written[0]).parquet(landed).withColumn(INGESTION_DATE, run_date(as_of))
 
     is_written: list = []
     loads: dict[str, Callable[[], DataFrame]] = {

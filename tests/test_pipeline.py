@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 from collections import Counter
 from dataclasses import replace
@@ -111,3 +112,19 @@ def test_silver_since_reads_later_loads_only(spark, sources, tmp_path):
     later = pipeline.run_silver(spark, config, since=NEXT_MONTH, months=["1995_Jan"])
     assert later["debit_transactions_silver"].count() * 2 == both
     assert later["pivot_months"].columns == ["customer_id", "1995_Jan"]
+
+
+def test_transactions_are_written_without_a_sort_by_date(spark, sources, tmp_path, monkeypatch):
+    """They lie on disk with their date; as a constant it needs no sort to be written by partitions."""
+    plans = {}
+
+    def write(df, config, name, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        write_table(df, config, name, **options)
+
+    write_table = pipeline.write_table
+    monkeypatch.setattr(pipeline, "write_table", write)
+    frames = pipeline.run_bronze(spark, PipelineConfig(str(tmp_path), sources), DAY)
+    for name in ("transactions", "debit_transactions"):
+        assert re.search(r"AS ingestion_date#", plans[name].splitlines()[0]), plans[name]
+        assert [r[0] for r in frames[name].select("ingestion_date").distinct().collect()] == [DAY]

@@ -93,3 +93,12 @@ def test_box_plot_shuffles_counts_and_narrow_ranges_only(debit, salary):
 
 def test_top_spenders_sort_in_place(debit, salary):
     assert "TakeOrderedAndProject" in plan_of(reports.top_spenders(gold.gold_score(debit, salary)))
+
+
+def test_pivot_shuffles_narrow_rows_and_sorts_names_once(debit):
+    """Cells of names come together by one shuffle without an aggregate before it; a row per month goes to its customer."""
+    plan = plan_of(silver.pivot_months(silver.monthly_spend(debit), ["1995_Jan", "1995_Feb"], "first"))
+    assert "pivotfirst" not in plan[plan.index("Exchange"):]
+    assert plan.count("Exchange") == 3
+    names = [line for line in plan.splitlines() if "min_by" in line]
+    assert len(names) == 2 and "Exchange" not in plan[plan.index(names[0]):plan.index(names[1])]
