@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import ctypes.util
 import functools
@@ -22,6 +23,7 @@ from spendscore.sources.workdir import work_dir
 #: Bytes of a shuffle partition that is still handled well by one task.
 PARTITION_BYTES = 64 << 20
 
+SHUFFLES_REMOVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The driver's own copies of what ``shipped`` serves, removed when it ends.
 _ARCHIVES: list[tempfile.TemporaryDirectory] = []
@@ -131,6 +133,20 @@ def removed(spark: SparkSession, *paths: str) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Within it, a job's shuffle files go when the job ends, instead of when the driver next collects its garbage."""
+    before = spark.conf.get(SHUFFLES_REMOVED, None)
+    spark.conf.set(SHUFFLES_REMOVED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_REMOVED)
+        else:
+            spark.conf.set(SHUFFLES_REMOVED, before)
+
+
 def in_training(doc_id: str | Column = "doc_id") -> Column:
     """Rows to learn from: the checksum of the id as text, modulo 4, is not 2."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -2,9 +2,10 @@
 
 Labels err, so the trusted documents with the least likely words are not learned from.
 The n-grams of all words of trusted text are counted, without a bound on the vocabulary, and
-kept as a table by hash of the n-gram. A small model over frequent words and word shapes (runs of letters, digits,
+kept as a table by hash of the n-gram, in buckets of packed numbers. A small model over frequent words and word shapes (runs of letters, digits,
 signs) stands below the single words. Documents are gathered into pieces; the distinct
-n-grams of a piece are joined to the table, and the piece is scored by what comes back. Documents are held against
+n-grams of a piece are sent to the buckets, and the piece is scored by what comes back. Both go share by share, so that
+little of it is on disk at a time. Documents are held against
 their language's quantile of the perplexity of trusted documents that were not counted.
 """
 
@@ -17,12 +18,15 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendscore.llm.common import in_training, mixed, removed, shipped, written, written_at
+from spendscore.llm.common import in_training, mixed, removed, shipped, shuffles_removed, written, written_at
 from spendscore.llm.filters import split_by_keys
+from spendscore.sources.workdir import work_dir
 
 #: Numbered words and shapes, at most VOCABULARY^3 trigrams (8 MB of floats); of them so many shapes, which
 #: occur in this share of the trusted documents.
@@ -39,14 +43,33 @@ WORD_CACHE = 100_000
 #: One trusted document in so many is not counted but measures the thresholds.
 MEASURED = 5
 #: Documents that are looked up together: at most so many, and no more once they have so many characters.
-PIECE_DOCS, PIECE_CHARS = 500, 500_000
+PIECE_DOCS, PIECE_CHARS = 2000, 2_000_000
+#: N-grams are counted in so many shares at most, one more for every so many characters of trusted text; documents are scored in slices alike.
+SHARES, SHARE_CHARS, SLICES, SLICE_CHARS = 6, 8_000_000, 8, 25_000_000
+#: Buckets of n-grams: at least so many, and one for every so many characters of trusted text.
+LEAST_BUCKETS, BUCKET_CHARS = 32, 4_000_000
+#: Word trigrams that a task gathers before it sends them on.
+FLUSHED = 2_000_000
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
+#: What stands for each ASCII character in a shape.
+_KINDS = {k: "a" if chr(k).islower() else "A" if chr(k).isupper() else "0" if chr(k).isdigit() else chr(k) for k in range(128)}
+
+
+@functools.lru_cache(maxsize=WORD_CACHE)
+def _short(kinds: str) -> str:
+    return "~" + _RUN.sub(r"\1", kinds)
+
+
 def shape(word: str) -> str:
     """A word with runs of letters as a or A, of digits as 0 and of any other sign as one."""
+    if word.isalpha() and word.islower():
+        return "~a"
+    if word.isascii():
+        return _short(word.translate(_KINDS))
     kinds = "".join("a" if c.islower() else "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return "~" + _RUN.sub(r"\1", kinds)
+    return _short(kinds)
 
 
 class _Numbers(dict):
@@ -113,24 +136,30 @@ def vocabulary_of(trusted: DataFrame, size: int = VOCABULARY) -> tuple[tuple[str
 
     The most frequent of all trusted text, by documents.
     """
-    counts = written(
+    counts, counts_at = written_at(
         trusted.select("text").mapInPandas(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     is_shape, order = F.col("word").startswith("~"), (F.desc("n"), "word")
     least = LEAST_SHARE * trusted.count()
     shapes = [r["word"] for r in counts.where(is_shape & (F.col("n") >= least)).orderBy(*order).limit(SHAPES).collect()]
     words = [r["word"] for r in counts.where(~is_shape).orderBy(*order).limit(size - 2 - SHAPES).collect()]
-    return (EDGE, OTHER, *shapes, *words), max(1, counts.where(is_shape).count() - len(shapes))
+    others = max(1, counts.where(is_shape).count() - len(shapes))
+    removed(trusted.sparkSession, counts_at)
+    return (EDGE, OTHER, *shapes, *words), others
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """Discounts of n-grams that occur once, twice, and more often."""
-    often = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (max(1, often[f"n{k}"] or 0) for k in (1, 2, 3, 4))
+def discounts(tallies: list[int]) -> list[float]:
+    """Discounts of n-grams that occur once, twice, and more often, from how many occur one to four times."""
+    n1, n2, n3, n4 = (max(1, n) for n in tallies)
     y = n1 / (n1 + 2 * n2)
     raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
     return [min(max(d, 0.05), k - 0.05) for d, k in zip(raw, (1, 2, 3))]
 
 
+def _discounts(counts: DataFrame) -> list[float]:
+    often = counts.agg(*[F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]).first()
+    return discounts([n or 0 for n in often])
+
+
 def _order(counts: DataFrame, lower: DataFrame | None, width: int, shared: str) -> DataFrame:
     """(gram, p) and the context's weight ``g`` for one order, from its counts (gram, n).
 
@@ -156,19 +185,27 @@ def kneser_ney(trusted: DataFrame, vocabulary: tuple[str, ...], others: int = 1,
     A word without a number is one of ``others`` shapes and pays for which.
     """
     width = len(vocabulary)
-    three = written(
+    paths: list[str] = []
+
+    def kept(df: DataFrame, purpose: str) -> DataFrame:
+        out, path = written_at(df, purpose)
+        paths.append(path)
+        return out
+
+    three = kept(
         trusted.select("lang", "text")
         .mapInPandas(functools.partial(_gram_counts, vocabulary=vocabulary, width=width, trim=trim), "gram long, n long")
         .groupBy("gram").agg(F.sum("n").alias("n")),
         "trigrams",
     )
     # Lower orders count the different words before an n-gram, not its occurrences.
-    two = written(three.groupBy(F.expr(f"gram % {width * width}").alias("gram")).agg(F.count(F.lit(1)).alias("n")), "bigrams")
-    one = written(two.groupBy(F.expr(f"gram % {width}").alias("gram")).agg(F.count(F.lit(1)).alias("n")), "unigrams")
-    p1 = written(_order(one, None, width, ""), "p1")
-    p2 = written(_order(two, p1, width, f"gram % {width}"), "p2")
-    p3 = written(_order(three, p2, width, f"gram % {width * width}"), "p3")
+    two = kept(three.groupBy(F.expr(f"gram % {width * width}").alias("gram")).agg(F.count(F.lit(1)).alias("n")), "bigrams")
+    one = kept(two.groupBy(F.expr(f"gram % {width}").alias("gram")).agg(F.count(F.lit(1)).alias("n")), "unigrams")
+    p1 = kept(_order(one, None, width, ""), "p1")
+    p2 = kept(_order(two, p1, width, f"gram % {width}"), "p2")
+    p3 = kept(_order(three, p2, width, f"gram % {width * width}"), "p3")
     first, second, third = (p.select("gram", "context", "p", "g").toPandas() for p in (p1, p2, p3))
+    removed(trusted.sparkSession, *paths)
     unigram = np.full(width, (first["g"].iloc[0] if len(first) else 1.0) / width)
     unigram[first["gram"]] = first["p"]
     weight = np.ones(width)
@@ -215,130 +252,423 @@ def trimming(trusted: DataFrame, vocabulary: tuple[str, ...], trimmed: float = T
     return logs, {r["lang"]: r["most"] for r in limits}
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, found once."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > WORD_CACHE:
-            self.clear()
-        self[word] = number = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return number
-
-
-_HASHES = _Hashes()
-
-
-def word_grams(text: str | None) -> dict[str, np.ndarray]:
-    """Keys of every word's n-grams and of their contexts: ``k3``, ``k2``, ``k1`` end in the word, ``c2``, ``c1`` before it."""
-    words = (text or "").split()
-    if not words:
-        return {name: np.empty(0, np.int64) for name in ("k3", "k2", "k1", "c2", "c1")}
-    edge = _HASHES[EDGE + "\0"]
-    ids = np.full(len(words) + 3, edge, np.uint64)
-    ids[2:-1] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    # The key of n words: each is mixed into the key of those before it.
-    one = mixed(ids + np.uint64(1))
-    two = mixed(mixed(ids[:-1] + np.uint64(2)) ^ ids[1:])
-    three = mixed(mixed(mixed(ids[:-2] + np.uint64(3)) ^ ids[1:-1]) ^ ids[2:])
-    keys = {"k3": three, "k2": two[1:], "k1": one[2:], "c2": two[:-1], "c1": one[1:-1]}
-    return {name: key.view(np.int64) for name, key in keys.items()}
-
-
-def _word_gram_counts(batches, vocabulary, trim):
-    """Word trigrams of each batch's texts but those that ``trim`` drops, with the keys they are made of."""
-    numbers, width = _numbers(vocabulary), len(vocabulary)
-    for pdf in batches:
-        found = []
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            ids = trigrams(text, numbers, width)
-            if len(ids) and -trim[0][ids % width].mean() <= trim[1].get(lang, np.inf):
-                found.append(word_grams(text))
-        if found:
-            keys = {name: np.concatenate([x[name] for x in found]) for name in found[0]}
-            _, first, n = np.unique(keys["k3"], return_index=True, return_counts=True)
-            yield pd.DataFrame({name: key[first] for name, key in keys.items()}).assign(n=n)
-
-
-def word_model(trusted: DataFrame, vocabulary: tuple[str, ...], trim) -> tuple[DataFrame, float, int]:
-    """(key, own, weight) of all word n-grams of trusted text, the weight of what is below single words, and the number of words.
-
-    ``own`` is the n-gram's discounted share of its context, ``weight`` what its words
-    leave, as a context, to the next lower order.
-    """
-    schema = "k3 long, k2 long, k1 long, c2 long, c1 long, n long"
-    first = lambda *names: [F.min(name).alias(name) for name in names]  # noqa: E731  equal in all rows of a key
-    three = written(
-        trusted.select("lang", "text").mapInPandas(functools.partial(_word_gram_counts, vocabulary=vocabulary, trim=trim), schema)
-        .groupBy("k3").agg(F.sum("n").alias("n"), *first("k2", "k1", "c2", "c1")),
-        "word-trigrams",
-    )
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers as compressed bytes, the lowest byte of each first; ``rising`` ones as differences."""
+    values = np.ascontiguousarray(values).astype(np.uint64)
+    if rising:
+        values = np.diff(values, prepend=np.uint64(0))
+    wide = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :wide].T.tobytes()
+    return bytes([wide]) + len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, rising: bool = False) -> np.ndarray:
+    wide, size = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(pa.decompress(data[9:], decompressed_size=wide * size, codec="zstd", asbytes=True), np.uint8)
+    values = np.zeros((size, 8), np.uint8)
+    values[:, :wide] = planes.reshape(wide, size).T
+    values = values.view(np.uint64).ravel()
+    return np.cumsum(values, dtype=np.uint64) if rising else values
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different values, sorted."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _joined(parts, rising: bool = False) -> np.ndarray:
+    """The numbers of a column of packed ones."""
+    parts = [unpacked(x, rising) for x in parts.to_pylist() if x is not None]
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
+def _stacked(parts, rows: int) -> np.ndarray:
+    """As many rows of numbers, of a column of such packed row after row."""
+    parts = [unpacked(x).reshape(rows, -1) for x in parts.to_pylist() if x is not None]
+    return np.concatenate(parts, axis=1) if parts else np.empty((rows, 0), np.uint64)
+
+
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, rising with the key."""
+    return ((keys >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket of sorted keys begins, and where the last ends."""
+    return np.searchsorted(buckets_of(keys, buckets), np.arange(buckets + 1))
+
+
+class Words:
+    """The words of some texts, one after another: ``n`` of each text, the different ``words``, and ``at``, which of them each is."""
+
+    def __init__(self, texts: pa.Array):
+        trimmed = pc.utf8_trim_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        empty = pc.equal(trimmed, "").to_numpy(zero_copy_only=False)
+        lists = pc.utf8_split_whitespace(trimmed)
+        self.n = np.where(empty, 0, pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+        flat = lists.flatten()
+        flat = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
+        self.words, self.at = flat.dictionary, flat.indices.to_numpy()
+        some = self.n > 0
+        slots = np.where(some, self.n + 3, 0)  # two edges before a text with words, one after
+        first = np.cumsum(slots) - slots
+        self.slots = int(slots.sum())
+        self.places = np.arange(len(self.at)) + np.repeat(first + 2 - (np.cumsum(self.n) - self.n), self.n)
+        #: Trigrams of each text, and where all of them begin.
+        self.grams = np.where(some, self.n + 1, 0)
+        self.ends = np.cumsum(self.grams)
+        self.starts = np.arange(int(self.grams.sum())) + np.repeat(first - (self.ends - self.grams), self.grams)
+
+    def spread(self, values: np.ndarray, edge) -> np.ndarray:
+        """A value for each slot from those of the different words."""
+        out = np.full(self.slots, edge, values.dtype)
+        out[self.places] = values[self.at]
+        return out
+
+    def hashes(self) -> np.ndarray:
+        """Hashes of the different words and, last, of the edge."""
+        digest = xxhash.xxh64_intdigest
+        return np.array([*map(digest, self.words.cast(pa.large_binary()).to_pylist()), digest((EDGE + "\0").encode())], np.uint64)
+
+    def keys(self) -> dict[str, np.ndarray]:
+        """Keys of every word's n-grams: of trigrams, ``three``; by slot of bigrams, ``two`` (that of the slot and the next), and of the different words, ``one``.
+
+        A trigram's context is the bigram where it begins, and a bigram follows at the next slot. The key of a trigram begins as
+        that of its context, so that both are in one bucket.
+        """
+        hashes = self.hashes()
+        ids = self.spread(hashes, hashes[-1])
+        # The key of n words: each is mixed into the key of those before it.
+        two = mixed(mixed(ids[:-1] + np.uint64(2)) ^ ids[1:])
+        three = mixed(mixed(mixed(ids[:-2] + np.uint64(3)) ^ ids[1:-1]) ^ ids[2:])[self.starts]
+        return {"three": (two[self.starts] >> np.uint64(48) << np.uint64(48)) | (three >> np.uint64(16)), "two": two, "one": mixed(hashes + np.uint64(1))}
+
+    def bigrams(self) -> np.ndarray:
+        """Slots where bigrams begin that are the context or the end of a trigram."""
+        used = np.zeros(max(0, self.slots - 1), bool)
+        used[self.starts] = used[self.starts + 1] = True
+        return np.flatnonzero(used)
+
+    def symbols(self, numbers: _Numbers) -> np.ndarray:
+        """The numbers of the words in each slot."""
+        return self.spread(np.fromiter(map(numbers.__getitem__, self.words.to_pylist()), np.int64, len(self.words)), 0)
+
+
+def _in_share(words: Words, buckets: int, share: int, shares: int) -> tuple[np.ndarray, ...]:
+    """Of the texts' trigrams those whose context is in this share, as (context, key), and those whose last bigram is, as (bigram, key, first, last)."""
+    keys = words.keys()
+    at, rows = words.starts, keys["three"]
+    mine = buckets_of(keys["two"], buckets) % shares == share
+    above, below = mine[at], mine[at + 1]
+    ids = words.spread(np.arange(len(words.words)), len(words.words))
+    one, ends = keys["one"], at[below]
+    return keys["two"][at[above]], rows[above], keys["two"][ends + 1], rows[below], one[ids[ends + 1]], one[ids[ends + 2]]
+
+
+def _gram_rows(found: list[tuple[np.ndarray, ...]], buckets: int):
+    """A row for each bucket: trigrams under their contexts, and under the bigrams that end them."""
+    c2, k3, k2, ends, c1, k1 = (np.concatenate(x) for x in zip(*found))
+    _, first, n = np.unique(k3, return_index=True, return_counts=True)
+    order = np.argsort(c2[first])
+    c2, k3, n = c2[first][order], k3[first][order], n[order]
+    _, first = np.unique(ends, return_index=True)
+    first = first[np.argsort(k2[first])]
+    k2, ends, c1, k1 = k2[first], ends[first], c1[first], k1[first]
+    cuts, cuts2 = _cuts(c2, buckets), _cuts(k2, buckets)
+    for b in range(buckets):
+        above, below = slice(cuts[b], cuts[b + 1]), slice(cuts2[b], cuts2[b + 1])
+        pairs, at, times = np.unique(k2[below], return_index=True, return_counts=True)
+        if above.start < above.stop or len(pairs):
+            yield {
+                "bucket": b, "c2": packed(c2[above], True), "k3": packed(k3[above]), "n": packed(n[above]), "k2": packed(pairs, True),
+                "times": packed(times), "ends": packed(ends[below]), "c1": packed(c1[below][at]), "k1": packed(k1[below][at])}
+
+
+def _learned(batches, vocabulary, trim):
+    """The texts with words that ``trim`` does not drop."""
+    numbers = _numbers(vocabulary)
+    for batch in batches:
+        texts = batch.column("text")
+        words = Words(texts)
+        logs = trim[0][words.symbols(numbers)[words.starts + 2]]
+        learned = [bool(n) and -logs[end - n:end].mean() <= trim[1].get(lang, np.inf)
+                   for lang, n, end in zip(batch.column("lang").to_pylist(), words.grams.tolist(), words.ends.tolist())]
+        yield pa.RecordBatch.from_arrays([texts.filter(pa.array(learned, pa.bool_()))], names=["text"])
+
+
+def _word_gram_counts(batches, buckets: int, share: int, shares: int):
+    """Word trigrams of this task's texts, gathered into a row for each bucket of a share."""
+    schema = pa.schema([("bucket", pa.int32()), *[(name, pa.binary()) for name in ("c2", "k3", "n", "k2", "times", "ends", "c1", "k1")]])
+    found, size = [], 0
+    for batch in batches:
+        words = Words(batch.column("text"))
+        if len(words.starts):
+            found.append(_in_share(words, buckets, share, shares))
+            size += len(found[-1][0]) + len(found[-1][2])
+        if size >= FLUSHED:
+            yield from _batches(_gram_rows(found, buckets), schema)
+            found, size = [], 0
+    if found:
+        yield from _batches(_gram_rows(found, buckets), schema)
+
+
+def _batches(rows, schema: pa.Schema):
+    for row in rows:
+        yield pa.RecordBatch.from_pylist([row], schema)
+
+
+def _tallies(n: np.ndarray) -> list[int]:
+    """How many of ``n`` are 1, 2, 3 and 4."""
+    return [int((n == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _by_context(contexts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different contexts; for each the sum of ``n``, and how often it is 1, 2 and more."""
+    keys, at = np.unique(contexts, return_inverse=True)
+    counts = [np.bincount(at, weights, len(keys)) for weights in (n, n == 1, n == 2, n > 2)]
+    return keys, np.array(counts).reshape(4, len(keys)).astype(np.uint64)
+
+
+def _entries(ends: np.ndarray, n: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys with a count as n-grams (``n``) or as contexts (``counts``), and five numbers of each."""
+    keys = np.union1d(ends, contexts)
+    values = np.zeros((5, len(keys)), np.uint64)
+    values[0, np.searchsorted(keys, ends)] = n
+    values[1:, np.searchsorted(keys, contexts)] = counts
+    return keys, values
+
+
+MODEL = "bucket int, keys3 binary, n3 binary, keys2 binary, values2 binary, keys1 binary, values1 binary"
+_MODEL = pa.schema([("bucket", pa.int32()), *[(x.split()[0], pa.binary()) for x in MODEL.split(", ")[1:]]])
+_TALLIES = [("tallies3", pa.list_(pa.int64())), ("tallies2", pa.list_(pa.int64()))]
+
+
+def _bucket_counts(rows: pa.Table) -> pa.Table:
+    """The entries of a bucket's trigrams and bigrams; those of words as far as this bucket tells."""
+    k3, n, c2 = _joined(rows["k3"]), _joined(rows["n"]), _joined(rows["c2"], True)
+    keys3, first, at = np.unique(k3, return_index=True, return_inverse=True)
+    n3 = np.bincount(at, n, len(keys3)).astype(np.uint64)
     # Lower orders count the different words before an n-gram, as in ``kneser_ney``.
-    two = written(three.groupBy("k2").agg(F.count(F.lit(1)).alias("n"), *first("k1", "c1")), "word-bigrams")
-    one = written(two.groupBy("k1").agg(F.count(F.lit(1)).alias("n")), "word-unigrams")
-    rows = []
-    for counts, key, context in ((three, "k3", "c2"), (two, "k2", "c1"), (one, "k1", None)):
-        d1, d2, d3 = _discounts(counts)
-        cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        sums = [F.sum("n").alias("all"), F.sum(cut).alias("cut")]
-        if context is None:
-            total = counts.agg(*sums, F.count(F.lit(1)).alias("words")).first()
-            rows.append(counts.select(F.col(key).alias("key"), ((F.col("n") - cut) / F.lit(float(total["all"] or 1))).alias("own"), F.lit(None).alias("weight")))
-            below, words = (total["cut"] / total["all"], total["words"]) if total["all"] else (1.0, 1)
-        else:
-            by = written(counts.groupBy(context).agg(*sums), "word-contexts")
-            rows.append(counts.join(by, context).select(F.col(key).alias("key"), ((F.col("n") - cut) / F.col("all")).alias("own"), F.lit(None).alias("weight")))
-            rows.append(by.select(F.col(context).alias("key"), F.lit(None).alias("own"), (F.col("cut") / F.col("all")).alias("weight")))
-    every = functools.reduce(DataFrame.unionByName, [r.select("key", F.col("own").cast("float"), F.col("weight").cast("float")) for r in rows])
-    model = written(every.groupBy("key").agg(F.max("own").alias("own"), F.max("weight").alias("weight")), "word-model")
-    return model, float(below), int(words)
+    pairs = _joined(rows["k2"], True)
+    ends, once = np.unique(_joined(rows["ends"]), return_index=True)
+    k2, n2 = np.unique(np.repeat(pairs, _joined(rows["times"]).astype(np.int64))[once], return_counts=True)
+    _, at = np.unique(pairs, return_index=True)
+    k1, n1 = np.unique(_joined(rows["k1"])[at], return_counts=True)
+    keys2, values2 = _entries(k2, n2, *_by_context(c2[first], n3))
+    keys1, values1 = _entries(k1, n1, *_by_context(_joined(rows["c1"])[at], n2))
+    return pa.Table.from_pylist([{
+        "bucket": rows["bucket"][0].as_py(), "keys3": packed(keys3, True), "n3": packed(n3), "keys2": packed(keys2, True), "values2": packed(values2.ravel()),
+        "keys1": packed(keys1, True), "values1": packed(values1.ravel()), "tallies3": _tallies(n3), "tallies2": _tallies(n2)}],
+        pa.schema([*_MODEL, *_TALLIES]))
+
+
+_PARTS = pa.schema([("bucket", pa.int32()), ("keys1", pa.binary()), ("values1", pa.binary())])
+
+
+def _word_parts(batches, buckets: int):
+    """What the buckets of n-grams tell of words, by the words' own bucket."""
+    for batch in batches:
+        for keys, values in zip(batch.column("keys1").to_pylist(), batch.column("values1").to_pylist()):
+            keys, values = unpacked(keys, True), unpacked(values).reshape(5, -1)
+            cuts = _cuts(keys, buckets)
+            rows = [{"bucket": b, "keys1": packed(keys[x:y], True), "values1": packed(values[:, x:y].ravel())}
+                    for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, _PARTS)
+
+
+def _word_sums(rows: pa.Table) -> pa.Table:
+    """The entries of a bucket's words."""
+    keys, at = np.unique(_joined(rows["keys1"], True), return_inverse=True)
+    values = np.array([np.bincount(at, x, len(keys)) for x in _stacked(rows["values1"], 5)]).astype(np.uint64)
+    n = values[0][values[0] > 0]
+    return pa.Table.from_pylist(
+        [{"bucket": rows["bucket"][0].as_py(), "keys1": packed(keys, True), "values1": packed(values.ravel()), "tallies": [*_tallies(n), len(n), int(n.sum())]}],
+        pa.schema([*_PARTS, ("tallies", pa.list_(pa.int64()))]))
+
+
+def _summed(df: DataFrame, column: str, size: int) -> list[int]:
+    row = df.agg(*[F.sum(F.col(column)[k]) for k in range(size)]).first()
+    return [n or 0 for n in row]
+
+
+class WordModel:
+    """The table of all word n-grams of trusted text, with what holds for all of it.
+
+    Rows are buckets of keys: trigrams with their counts; bigrams and words with the number of different words before them and, as
+    contexts, the sum of counts of what continues them and how many of these are 1, 2 and more. The table is bucketed, so that
+    lookups don't shuffle it again.
+    """
+
+    def __init__(self, trusted: DataFrame, trusted_at: str, vocabulary: tuple[str, ...], trim):
+        spark = trusted.sparkSession
+        learned, learned_at = written_at(
+            trusted.select("lang", "text").mapInArrow(functools.partial(_learned, vocabulary=vocabulary, trim=trim), "text string"), "learned")
+        removed(spark, trusted_at)
+        chars = learned.agg(F.sum(F.length("text"))).first()[0] or 0
+        self.buckets = min(1 << 16, max(LEAST_BUCKETS, chars // BUCKET_CHARS))
+        shares = min(SHARES, 1 + chars // SHARE_CHARS)
+        blobs = ", ".join(f"{name} binary" for name in ("c2", "k3", "n", "k2", "times", "ends", "c1", "k1"))
+        tables = []
+        for share in range(shares):
+            count = functools.partial(_word_gram_counts, buckets=self.buckets, share=share, shares=shares)
+            tables.append(written_at(
+                learned.mapInArrow(count, f"bucket int, {blobs}")
+                .groupBy("bucket").applyInArrow(_bucket_counts, f"{MODEL}, tallies3 array<long>, tallies2 array<long>"), "word-grams"))
+        removed(spark, learned_at)
+        grams = functools.reduce(DataFrame.unionByName, [df for df, _ in tables])
+        words, words_at = written_at(
+            grams.select("keys1", "values1").mapInArrow(functools.partial(_word_parts, buckets=self.buckets), "bucket int, keys1 binary, values1 binary")
+            .groupBy("bucket").applyInArrow(_word_sums, "bucket int, keys1 binary, values1 binary, tallies array<long>"), "word-sums")
+        *tallies, self.words, total = _summed(words, "tallies", 6)
+        self.cuts = [discounts(x) for x in (tallies, _summed(grams, "tallies2", 4), _summed(grams, "tallies3", 4))]
+        self.total = float(total or 1)
+        d1, d2, d3 = self.cuts[0]
+        cut = d1 * tallies[0] + d2 * tallies[1] + d3 * (self.words - tallies[0] - tallies[1])
+        self.below, self.words = (cut / total, self.words) if total else (1.0, 1)
+        self.name, self.path = f"word_model_{uuid.uuid4().hex}", work_dir(spark, "word-model")
+        for df, path in [*tables, (words.drop("tallies"), words_at)]:
+            rows = df.select("bucket", *[(F.col(x) if x in df.columns and (x[-1] == "1") == (path == words_at) else F.lit(None).cast("binary")).alias(x)
+                                         for x in _MODEL.names[1:]])
+            rows.write.bucketBy(self.buckets, "bucket").option("path", self.path).format("parquet").mode("append").saveAsTable(self.name)
+            removed(spark, path)
+        self.table = spark.table(self.name)
+
+    def known(self) -> dict:
+        """What is needed to score besides the table."""
+        return {"below": float(self.below), "words": int(self.words), "total": self.total, "cuts": self.cuts}
+
+    def remove(self) -> None:
+        spark = self.table.sparkSession
+        spark.sql(f"DROP TABLE {self.name}")
+        removed(spark, self.path)
 
 
 def _pieces(batches):
-    """Documents gathered into pieces, a row each, with the piece's distinct keys."""
+    """Documents gathered into pieces, a row each."""
+    rows, chars = [], 0
 
-    def piece(rows):
-        keys = [key for _, _, text in rows for key in word_grams(text).values()]
+    def piece():
         ids, langs, texts = (list(x) for x in zip(*rows))
-        return {"ids": ids, "langs": langs, "texts": texts, "keys": np.unique(np.concatenate(keys)), "piece": uuid.uuid4().hex}
+        return pd.DataFrame([{"piece": uuid.uuid4().hex, "ids": ids, "langs": langs, "texts": texts}])
 
     for pdf in batches:
-        rows, chars = [], 0
         for row in pdf[["id", "lang", "text"]].itertuples(index=False, name=None):
             rows.append(row)
             chars += len(row[2] or "")
             if len(rows) >= PIECE_DOCS or chars >= PIECE_CHARS:
-                yield pd.DataFrame([piece(rows)])
+                yield piece()
                 rows, chars = [], 0
-        if rows:
-            yield pd.DataFrame([piece(rows)])
+    if rows:
+        yield piece()
 
 
-def _scored(pieces: pd.DataFrame, entries: pd.DataFrame, vocabulary, table, below: float, words: int) -> pd.DataFrame:
-    """Perplexities of a piece's documents, from the entries of its keys; a key without one was never seen."""
+_ASKED = pa.schema([("in_bucket", pa.int32()), ("piece", pa.string()), ("asked3", pa.binary()), ("asked2", pa.binary()), ("asked1", pa.binary())])
+
+
+def _asked(batches, buckets: int):
+    """The different keys of each piece, a row for each bucket."""
+    for batch in batches:
+        for piece, texts in zip(batch.column("piece").to_pylist(), batch.column("texts")):
+            words = Words(texts.values)
+            keys = words.keys()
+            orders = [(x, _cuts(x, buckets)) for x in map(_different, (keys["three"], keys["two"][words.bigrams()], keys["one"] if len(words.at) else keys["one"][:0]))]
+            rows = ({"in_bucket": b, "piece": piece} | {f"asked{3 - k}": packed(keys[cuts[b]:cuts[b + 1]], True) for k, (keys, cuts) in enumerate(orders)}
+                    for b in range(buckets) if any(cuts[b] < cuts[b + 1] for _, cuts in orders))
+            yield from _batches(rows, _ASKED)
+
+
+_ANSWERS = pa.schema([("of_piece", pa.string()), ("bucket", pa.int32()), ("n3", pa.binary()), ("values2", pa.binary()), ("values1", pa.binary())])
+
+
+def _answers(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """The numbers of a bucket's keys for each piece that asks, in its order; 0 for a key that was never seen."""
+    tables = []
+    for keys, values in ((_joined(model["keys3"], True), _stacked(model["n3"], 1)), (_joined(model["keys2"], True), _stacked(model["values2"], 5)),
+                         (_joined(model["keys1"], True), _stacked(model["values1"], 5))):
+        tables.append((keys, np.pad(values, ((0, 0), (0, 1)))))
+    out = []
+    for row in asked.to_pylist():
+        found = []
+        for (keys, values), name in zip(tables, ("asked3", "asked2", "asked1")):
+            wanted = unpacked(row[name], True)
+            at = np.searchsorted(keys, wanted)
+            if len(keys):
+                at = np.where(keys[np.minimum(at, len(keys) - 1)] == wanted, at, len(keys))
+            found.append(packed(values[:, at].ravel()))
+        out.append(dict(zip(_ANSWERS.names, (row["piece"], row["in_bucket"], *found))))
+    return pa.Table.from_pylist(out, _ANSWERS)
+
+
+def _scored(pieces: pa.Table, answers: pa.Table, vocabulary, table, below: float, words: int, total: float, cuts) -> pa.Table:
+    """Perplexities of a piece's documents, from the counts of its keys."""
     numbers, logs, width = _numbers(vocabulary), table.value, len(vocabulary)
     shapes = np.array([w.startswith("~") or w == OTHER for w in vocabulary])
-    entries = entries.sort_values("key")
-    keys = entries["key"].to_numpy(np.int64)
-    own, weight = entries["own"].fillna(0.0).to_numpy(np.float64), entries["weight"].fillna(1.0).to_numpy(np.float64)
+    answers = answers.sort_by("bucket")  # as the keys are sorted
+
+    def less(n, cut):
+        return n - np.where(n == 1, cut[0], np.where(n == 2, cut[1], np.where(n > 2, cut[2], 0.0)))
 
-    def looked(wanted, values, missing):
-        if not len(keys):
-            return np.full(len(wanted), missing)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, values[at], missing)
+    def weight(values, cut):
+        """What a context's words leave to the next lower order, and the sum of their counts."""
+        every = np.maximum(values[1], 1)
+        return np.where(values[1] > 0, ((cut[0] * values[2] + cut[1] * values[3] + cut[2] * values[4]) / every).astype(np.float32), 1.0), every
 
     out = []
-    for _, row in pieces.iterrows():
-        for doc, lang, text in zip(row["ids"], row["langs"], row["texts"]):
-            g = word_grams(text)
-            ids = trigrams(text, numbers, width)
-            # Below the single words: the symbol's probability, shared by the words of a shape.
-            p = np.exp(logs[ids].astype(np.float64)) / np.where(shapes[ids % width], words, 1)
-            p = looked(g["k1"], own, 0.0) + below * p
-            p = looked(g["k2"], own, 0.0) + looked(g["c1"], weight, 1.0) * p
-            p = looked(g["k3"], own, 0.0) + looked(g["c2"], weight, 1.0) * p
-            out.append((doc, lang, len(ids), float(np.exp(-np.log(p).mean())) if len(ids) else None))
-    return pd.DataFrame(out, columns=["id", "lang", "n", "perplexity"])
+    for row in pieces.to_pylist():
+        found = Words(pa.array(row["texts"], pa.large_string()))
+        keys = found.keys()
+        n3 = _joined(answers["n3"]).astype(np.float64)
+        two, one = (_stacked(answers[name], 5).astype(np.float64) for name in ("values2", "values1"))
+        ids = found.symbols(numbers)
+        at, first = found.starts, found.bigrams()
+        ids = (ids[at] * width + ids[at + 1]) * width + ids[at + 2]
+        # Below the single words: the symbol's probability, shared by the words of a shape.
+        p = np.exp(logs[ids].astype(np.float64)) / np.where(shapes[ids % width], words, 1)
+        # Where in the answers the key of each slot's word, of its bigram and of each trigram is.
+        of_word = np.unique(keys["one"], return_inverse=True)[1]
+        word = found.spread(of_word, of_word[-1])
+        pair = np.zeros(found.slots, np.int64)
+        pair[first] = np.unique(keys["two"][first], return_inverse=True)[1]
+        w1, all1 = weight(one, cuts[1])
+        w2, all2 = weight(two, cuts[2])
+        if len(at):
+            p = (less(one[0], cuts[0]) / total).astype(np.float32)[word[at + 2]].astype(np.float64) + below * p
+            p = (less(two[0], cuts[1])[pair[at + 1]] / all1[word[at + 1]]).astype(np.float32).astype(np.float64) + w1[word[at + 1]] * p
+            triple = np.unique(keys["three"], return_inverse=True)[1]
+            p = (less(n3, cuts[2])[triple] / all2[pair[at]]).astype(np.float32).astype(np.float64) + w2[pair[at]] * p
+        logs_of = np.log(p)
+        for doc, lang, n, end in zip(row["ids"], row["langs"], found.grams.tolist(), found.ends.tolist()):
+            out.append((doc, lang, n, float(np.exp(-logs_of[end - n:end].mean())) if n else None))
+    columns = list(zip(*out)) or [(), (), (), ()]
+    return pa.table(dict(zip(_SCORED.names, columns)), _SCORED)
+
+
+_SCORED = pa.schema([("id", pa.string()), ("lang", pa.string()), ("n", pa.int32()), ("perplexity", pa.float64())])
+
+
+def perplexities(own: DataFrame, model: WordModel, vocabulary: tuple[str, ...], table) -> DataFrame:
+    """(id, lang, n, perplexity) of all documents, slice after slice, so that only a slice's keys are on disk at a time."""
+    spark = own.sparkSession
+    chars = own.agg(F.sum(F.length("text"))).first()[0] or 0
+    slices = min(SLICES, 1 + chars // SLICE_CHARS)
+    parts = []
+    rows = own.select(F.col("id").cast("string").alias("id"), "lang", "text")
+    in_slice = F.pmod(F.xxhash64(F.lit("slice"), F.coalesce("id", F.lit(""))), F.lit(slices))
+    for k in range(slices):
+        pieces, pieces_at = written_at(
+            rows.where(in_slice == k).mapInPandas(_pieces, "piece string, ids array<string>, langs array<string>, texts array<string>"), "pieces")
+        asked = pieces.select("piece", "texts").mapInArrow(
+            functools.partial(_asked, buckets=model.buckets), "in_bucket int, piece string, asked3 binary, asked2 binary, asked1 binary")
+        answers = asked.groupBy("in_bucket").cogroup(model.table.groupBy("bucket")).applyInArrow(
+            _answers, "of_piece string, bucket int, n3 binary, values2 binary, values1 binary")
+        parts.append(written(
+            pieces.groupBy("piece").cogroup(answers.groupBy("of_piece")).applyInArrow(
+                functools.partial(_scored, vocabulary=vocabulary, table=table, **model.known()), "id string, lang string, n int, perplexity double"),
+            "perplexities"))
+        removed(spark, pieces_at)
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def quality(
@@ -367,34 +697,22 @@ def quality(
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = labels.where(in_training(id_col) & (F.col(label_col) == 1)).select(F.col(id_col).alias("id"))
-    labelled, _ = split_by_keys(own, known, F.xxhash64("id"), F.xxhash64("id"))
     measured = F.pmod(F.xxhash64(F.lit("quality"), F.col("id").cast("string")), F.lit(MEASURED)) == 0
-    trusted = written(labelled.join(known.hint("merge"), "id").select("lang", "text", measured.alias("measured")), "trusted")
-    vocabulary, others = vocabulary_of(trusted, size)
-    trim = trimming(trusted, vocabulary)
-    table = spark.sparkContext.broadcast(kneser_ney(trusted, vocabulary, others, trim))
-    model, below, words = word_model(trusted.where("NOT measured"), vocabulary, trim)
-    pieces, pieces_at = written_at(
-        own.select(F.col("id").cast("string").alias("id"), "lang", "text").mapInPandas(
-            _pieces, "piece string, ids array<string>, langs array<string>, texts array<string>, keys array<long>"),
-        "pieces",
-    )
-    # Pieces, not documents: a frequent word's key is there once a piece.
-    entries = pieces.select(F.col("piece").alias("of_piece"), F.explode("keys").alias("key")).join(model, "key")
-    scored = written(
-        pieces.drop("keys").groupBy("piece").cogroup(entries.groupBy("of_piece")).applyInPandas(
-            functools.partial(_scored, vocabulary=vocabulary, table=table, below=below, words=words),
-            "id string, lang string, n int, perplexity double",
-        ).withColumn("id", F.col("id").cast(kind)),
-        "perplexities",
-    )
-    removed(spark, pieces_at)
-    trusted_rows = scored.join(known.distinct(), "id", "left_semi")
-    uncounted = trusted_rows.where(measured)
-    measured = uncounted if uncounted.head(1) else trusted_rows
-    limit = (slack * F.percentile_approx("perplexity", quantile, 10_000)).alias("limit")
-    limits = written(measured.groupBy("lang").agg(limit), "limits")
-    general = measured.agg(limit).first()["limit"]
+    with shuffles_removed(spark):
+        labelled, _ = split_by_keys(own, known, F.xxhash64("id"), F.xxhash64("id"))
+        trusted, trusted_at = written_at(labelled.join(known.hint("merge"), "id").select("lang", "text", measured.alias("measured")), "trusted")
+        vocabulary, others = vocabulary_of(trusted, size)
+        trim = trimming(trusted, vocabulary)
+        table = spark.sparkContext.broadcast(kneser_ney(trusted, vocabulary, others, trim))
+        model = WordModel(trusted.where("NOT measured"), trusted_at, vocabulary, trim)
+        scored = perplexities(own, model, vocabulary, table).withColumn("id", F.col("id").cast(kind))
+        model.remove()
+        trusted_rows = scored.join(known.distinct(), "id", "left_semi")
+        uncounted = trusted_rows.where(measured)
+        measured = uncounted if uncounted.head(1) else trusted_rows
+        limit = (slack * F.percentile_approx("perplexity", quantile, 10_000)).alias("limit")
+        limits = written(measured.groupBy("lang").agg(limit), "limits")
+        general = measured.agg(limit).first()["limit"]
     threshold = F.coalesce("limit", F.lit(general).cast("double")) * F.exp(SHORT / F.sqrt(F.greatest("n", F.lit(1))))
     return (
         scored.join(limits.select(F.col("lang").alias("of"), "limit"), F.col("lang").eqNullSafe(F.col("of")), "left")

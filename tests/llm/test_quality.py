@@ -6,8 +6,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
-from spendscore.llm.quality import _Numbers, kneser_ney, quality, shape, trigrams, vocabulary_of
+from spendscore.llm import common
+from spendscore.llm import quality as module
+from spendscore.llm.quality import WordModel, _Numbers, kneser_ney, packed, perplexities, quality, shape, trigrams, unpacked, vocabulary_of
 
 WORDS = ["the", "sun", "and", "rain", "over", "a", "house", "of", "stone", "by", "river"]
 
@@ -107,3 +110,79 @@ def test_every_trusted_word_counts(spark, documents):
     kept = {r["doc_id"]: r["kept"] for r in run(spark, documents, rows + junk + clean, [(i, 1, 0) for i, *_ in rows])}
     assert [kept[i] for i, *_ in junk] == [False] * 5
     assert [kept[i] for i, *_ in clean] == [True] * 5
+
+
+@pytest.fixture
+def folder(monkeypatch, tmp_path):
+    """Where written tables go in this test."""
+    for owner in (common, module):
+        monkeypatch.setattr(owner, "work_dir", lambda spark, purpose: f"{tmp_path}/{purpose}-{random.getrandbits(64):x}", raising=False)
+    return tmp_path
+
+
+def test_no_table_of_ngrams_stays(spark, documents, folder):
+    """Only what the result reads is left on disk."""
+    rows, labels = table(60)
+    assert len(run(spark, documents, rows, labels)) == 60
+    left = {file.relative_to(folder).parts[0].rsplit("-", 2)[0] for file in folder.rglob("*.parquet")}
+    assert left <= {"perplexities", "limits", "key-filter"}
+    assert spark.conf.get(common.SHUFFLES_REMOVED, None) in (None, "false") and not [t for t in spark.catalog.listTables() if t.name.startswith("word_model")]
+
+
+def test_numbers_packed():
+    draw = random.Random(3)
+    for values in ([], [0], [5] * 9, sorted(draw.getrandbits(64) for _ in range(500)), [2**64 - 1]):
+        for rising in (False, True):
+            assert unpacked(packed(np.array(values, np.uint64), rising), rising).tolist() == values
+
+
+def test_shares_and_slices_by_the_formulas(spark, monkeypatch, folder):
+    """Perplexities from the table of word n-grams, counted and looked up share by share, against the formulas on all of them."""
+    monkeypatch.setattr(module, "SHARE_CHARS", 1000)
+    monkeypatch.setattr(module, "SLICE_CHARS", 2000)
+    monkeypatch.setattr(module, "PIECE_DOCS", 7)
+    draw = random.Random(12)
+    texts = [" ".join(draw.choices("aa b\u00e9 cc dd ee ff gg hh".split(), [20, 9, 5, 4, 3, 2, 1, 1], k=draw.randrange(1, 40))) for _ in range(50)]
+    asked = texts + [None, " \u3000", "unseen words here", "aa unseen b\u00e9", "\u3000aa\tcc \n"]
+    learned = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    vocabulary, _ = vocabulary_of(learned, 36)
+    numbers, width = _Numbers(list(vocabulary)), len(vocabulary)
+    below = kneser_ney(learned, vocabulary)
+    model = WordModel(learned, f"{folder}/none", vocabulary, (np.zeros(width), {}))
+    own = spark.createDataFrame([(k, None, t) for k, t in enumerate(asked)], "id long, lang string, text string")
+    found = {int(r["id"]): (r["n"], r["perplexity"]) for r in perplexities(own, model, vocabulary, spark.sparkContext.broadcast(below)).collect()}
+    model.remove()
+
+    def spread(text):
+        words = (text or "").split()
+        return ["", "", *words, ""] if words else []
+
+    three = Counter(tuple(w[k:k + 3]) for w in map(spread, texts) for k in range(len(w) - 2))
+    two = Counter(g[1:] for g in three)
+    one = Counter(g[1:] for g in two)
+    cuts = [module.discounts([sum(n == k for n in c.values()) for k in (1, 2, 3, 4)]) for c in (one, two, three)]
+
+    def probability(gram, least):
+        if not gram:
+            return least
+        counts, cut = (one, two, three)[len(gram) - 1], cuts[len(gram) - 1]
+        same = [n for g, n in counts.items() if g[:-1] == gram[:-1]]
+        lower = probability(gram[1:], least)
+        if not same:
+            return lower
+        n = counts[gram]
+        return ((n - cut[min(n, 3) - 1] if n else 0) + sum(cut[min(x, 3) - 1] for x in same) * lower) / sum(same)
+
+    assert len(found) == len(asked)
+    for k, text in enumerate(asked):
+        words, ids = spread(text), trigrams(text, numbers, width)
+        logs = []
+        for at, symbol in enumerate(ids):
+            kind = vocabulary[symbol % width]
+            least = math.exp(below[symbol]) / (len(one) if kind.startswith("~") or kind == module.OTHER else 1)
+            logs.append(math.log(probability(tuple(words[at:at + 3]), least)))
+        assert found[k][0] == len(logs)
+        if logs:
+            assert math.isclose(found[k][1], math.exp(-sum(logs) / len(logs)), rel_tol=1e-5), text
+        else:
+            assert found[k][1] is None
