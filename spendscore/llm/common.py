@@ -66,6 +66,15 @@ def _libc() -> ctypes.CDLL | None:
     return library if hasattr(library, "malloc_trim") else None
 
 
+@functools.cache
+def settled() -> None:
+    """Keep what a Python worker has imported out of the garbage collections that follow each of its tasks, once per worker.
+
+    They go through all modules' objects, 45 ms of CPU time each.
+    """
+    gc.freeze()
+
+
 def tidied(function):
     """A function over a task's batches that leaves no memory behind.
 

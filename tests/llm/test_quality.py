@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spendscore.llm import common
@@ -186,3 +187,55 @@ def test_shares_and_slices_by_the_formulas(spark, monkeypatch, folder):
             assert math.isclose(found[k][1], math.exp(-sum(logs) / len(logs)), rel_tol=1e-5), text
         else:
             assert found[k][1] is None
+
+
+def test_many_words_at_once():
+    """Shapes, numbers and hashes of an array of words against those word by word."""
+    draw = random.Random(5)
+    signs = [*map(chr, range(33, 127)), *"\0\u00e9\u00c9\u00df\u00aa\u01c5\u0661\u00b2\u4e2d\u20ac\u0345\u2160\U0001f600\U00010400\U0001d7ce"]
+    words = [*dict.fromkeys(["".join(draw.choices(signs, k=draw.randrange(1, 12))) for _ in range(3000)] + ["a" * k for k in range(1, 99)]
+                            + ["b" + "\0" * k for k in range(12)] + ["~a", "the", "<edge>", "<other>"])]
+    vocabulary = ("<edge>", "<other>", "~a", "~Aa", "~0-0", "the", "a")
+    numbers = _Numbers(list(vocabulary))
+    for some in (pa.array(words, pa.large_string()), pa.array(["cut off", *words]).slice(1)):
+        assert ["~" + x for x in module.shapes(some).to_pylist()] == [shape(w) for w in words]
+        assert module.numbered(some, vocabulary).tolist() == [numbers[w] for w in words]
+    hashes = module.hashed(pa.array(words))
+    assert len(set(hashes.tolist())) == len(words)
+    assert module.hashed(pa.array(words[::-1]).slice(5)).tolist() == hashes[::-1][5:].tolist()
+    none = pa.array([], pa.string())
+    assert not len(module.shapes(none)) and not len(module.numbered(none, vocabulary)) and not len(module.hashed(none))
+
+
+def test_numbers_kept_as_codes():
+    draw = np.random.default_rng(5)
+    for size in (0, 1, 500):
+        values = draw.geometric(0.7, (5, size)).astype(np.uint64)
+        codes, kinds = module._coded(values)
+        assert (kinds[:, codes] == values).all() and len(set(zip(*kinds.tolist()))) == kinds.shape[1]
+        keys = module._different(draw.integers(0, 1 << 63, size).astype(np.uint64))
+        wanted = [keys[::3], keys[:0], np.append(keys[1::2], np.uint64(2**64 - 1))]
+        for found, asked in zip(module._places(keys, wanted), wanted):
+            assert [keys[k] if k < len(keys) else None for k in found] == [x if x in keys else None for x in asked]
+        for buckets in (1, 7, 32, 65536):
+            assert module._cuts(keys, buckets).tolist() == np.searchsorted(module.buckets_of(keys, buckets), np.arange(buckets + 1)).tolist()
+
+
+def test_texts_are_cut_once(monkeypatch):
+    """Keys and scores come from the words found when a piece was made, which holds no text."""
+    vocabulary = ("<edge>", "<other>", "~a", "one")
+    texts = ["one two two", None, " ", "three\u3000one"] * 3
+    rows = pa.record_batch({"id": [str(k) for k in range(len(texts))], "lang": ["en", None, "de", "en"] * 3, "text": pa.array(texts, pa.string())})
+    monkeypatch.setattr(module, "PIECE_DOCS", 5)
+    pieces = [*module._pieces([rows, rows.slice(0, 0), rows.slice(3)], vocabulary)]
+    assert [i for x in pieces for i in x.column("ids")[0].as_py()] == [str(k) for k in [*range(12), *range(3, 12)]]
+    assert [len(x.column("ids")[0]) for x in pieces] == [5, 5, 5, 5, 1]
+    monkeypatch.setattr(module, "Words", None)
+    for piece in pieces:
+        asked = pa.Table.from_batches(module._asked([piece], 4))
+        empty = pa.table({name: pa.array([], pa.binary()) for name in module.MODEL})
+        answers = pa.concat_tables(module._answers(asked.slice(k, 1), empty) for k in range(len(asked)))
+        table = type("Shared", (), {"value": np.full(len(vocabulary)**3, math.log(0.25), np.float32)})
+        found = module._scored(pa.Table.from_batches([piece]), answers, vocabulary, table, 1.0, 1, 1.0, [[0.5, 0.5, 0.5]] * 3).to_pylist()
+        assert [r["n"] for r in found] == [{"one two two": 4, "three\u3000one": 3}.get(texts[int(r["id"])], 0) for r in found]
+        assert all(math.isclose(r["perplexity"], 4, rel_tol=1e-6) if r["n"] else r["perplexity"] is None for r in found)
